@@ -8,12 +8,18 @@ and nested-column pruning reads only ``key`` and the one value slot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = ("string", "int", "double")
 
 
+def _matches(arr: Column, key: str) -> Column:
+    """Entries of ``arr`` whose key is ``key`` (one-argument lambda: a
+    two-argument one would be read as (element, index))."""
+    return F.filter(arr, lambda p: p["key"] == F.lit(key))
+
+
 def param(key: str, slot: str, strict: bool = True,
           params: str | Column = "event_params") -> Column:
     """Value of parameter ``key`` read from its ``<slot>_value`` field.
@@ -26,7 +32,7 @@ def param(key: str, slot: str, strict: bool = True,
     if slot not in SLOTS:
         raise ValueError(f"slot must be one of {SLOTS}, got {slot!r}")
     arr = F.col(params) if isinstance(params, str) else params
-    matches = F.filter(arr, lambda p: p["key"] == F.lit(key))
+    matches = _matches(arr, key)
     # ``get`` is NULL out of bounds (``element_at`` raises under ANSI mode).
     value = F.get(matches, F.lit(0))["value"][f"{slot}_value"]
     if strict:
@@ -35,3 +41,34 @@ def param(key: str, slot: str, strict: bool = True,
             F.raise_error(F.lit(f"event parameter '{key}' occurs more than once")),
         ).otherwise(value)
     return value
+
+
+def with_params(df: DataFrame, outputs: list[tuple], strict: bool = True,
+                params: str = "event_params") -> DataFrame:
+    """Select ``outputs``: ``(alias, column)`` or ``(alias, key, slot)`` items.
+
+    The matches of each key are computed once in a first projection and read
+    twice (first element, duplicate check) in a second one. Catalyst keeps
+    the two projections apart because the higher-order ``filter`` is not a
+    cheap expression, so a strict lookup costs one pass over the array.
+    """
+    stage1, stage2 = [], []
+    for i, out in enumerate(outputs):
+        if len(out) == 3:
+            alias, key, slot = out
+            if slot not in SLOTS:
+                raise ValueError(f"slot must be one of {SLOTS}, got {slot!r}")
+            tmp = f"__p{i}"
+            stage1.append(_matches(F.col(params), key).alias(tmp))
+            value = F.get(F.col(tmp), F.lit(0))["value"][f"{slot}_value"]
+            if strict:
+                value = F.when(
+                    F.size(F.col(tmp)) > 1,
+                    F.raise_error(F.lit(f"event parameter '{key}' occurs more than once")),
+                ).otherwise(value)
+            stage2.append(value.alias(alias))
+        else:
+            alias, col = out
+            stage1.append(col.alias(alias))
+            stage2.append(F.col(alias))
+    return df.select(*stage1).select(*stage2)

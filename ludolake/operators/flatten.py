@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.params import param
+from ..functions.params import with_params
 
 
 @dataclass(frozen=True)
@@ -85,21 +85,21 @@ USER_DATA_COLUMNS = ["user_pseudo_id", "event_date", "version", "country"]
 # -----------------------------------------------------------------------------
 
 
-def _column(c, strict: bool) -> Column:
+def _output(c) -> tuple:
     if isinstance(c, P):
-        return param(c.key, c.slot, strict=strict).alias(c.key)
+        return (c.key, c.key, c.slot)
     if isinstance(c, Lit):
-        return F.lit(c.value).alias(c.name)
+        return (c.name, F.lit(c.value))
     if c == DATE:
-        return F.col("date_par").alias("event_date")
-    return F.col(c)
+        return ("event_date", F.col("date_par"))
+    return (c, F.col(c))
 
 
 def flatten(raw: DataFrame, table: str, strict: bool = True) -> DataFrame:
     """The flat table ``table`` computed from the raw event table."""
     spec = FLAT_SPECS[table]
-    return (raw.filter(F.col("event_name") == F.lit(spec.event))
-            .select(*[_column(c, strict) for c in spec.columns]))
+    return with_params(raw.filter(F.col("event_name") == F.lit(spec.event)),
+                       [_output(c) for c in spec.columns], strict=strict)
 
 
 def user_data(raw: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import safe_int, strict_int
 from ..functions.exact import money, ratio2
-from ..functions.params import param
+from ..functions.params import with_params
 from ..schemas import METRIC_COLUMNS
 
 USER = "user_pseudo_id"
@@ -77,10 +77,10 @@ def playtime(raw: DataFrame, extra: bool = False) -> DataFrame:
     ``pct_long_sessions``.
     """
     keys = ["version", "date_par", "platform", "country"]
-    rows = (raw.filter(F.col("event_name").isin(PLAYTIME_EVENTS))
-            .select(*keys, USER,
-                    safe_int(param("engagement_time_msec", "int")).alias("ms"),
-                    safe_int(param("ga_session_id", "int")).alias("session_id"))
+    rows = (with_params(raw.filter(F.col("event_name").isin(PLAYTIME_EVENTS)),
+                        [(c, F.col(c)) for c in keys + [USER]]
+                        + [("ms", "engagement_time_msec", "int"),
+                           ("session_id", "ga_session_id", "int")])
             .filter(F.col("ms").isNotNull()))
     agg = rows.groupBy(*keys).agg(
         F.count_distinct(USER).alias("users"),

@@ -39,7 +39,18 @@ ALL_EVENTS = (
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The ``events`` table, spread over the cluster's cores.
+
+    A test table can be a single Parquet row group (one scan task); every
+    raw event is derived row-wise, so the rows are hash-distributed on
+    ``event_id`` first when the scan has fewer splits than there are cores.
+    A large input keeps its scan parallelism and gets no shuffle.
+    """
+    df = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, "event_id")
+    return df
 
 
 def _p(key: str, slot: str, value: Column) -> Column:

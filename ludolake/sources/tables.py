@@ -32,6 +32,13 @@ def _layout(df: DataFrame, partition: str, cluster: list[str],
         # key inside it) lands in one task.
         bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
         df = df.repartition(F.col(partition), bucket)
+    elif files_per_date is None:
+        # AQE rebalance by day: small days are merged into one task, a big or
+        # skewed day is split over several (advisory partition size), so file
+        # sizes follow the data instead of the input split.
+        df = df.hint("rebalance", partition)
+    # files_per_date == 0: no shuffle; each task writes its own rows (keeps a
+    # day-partitioned input day-aligned).
     return df.sortWithinPartitions(partition, *cluster)
 
 
@@ -43,8 +50,8 @@ def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
     ``mode="overwrite"`` replaces the whole table (a full build);
     ``mode="dynamic"`` replaces only the days present in ``df`` (a refresh);
     ``mode="append"`` adds rows (the scheduled increment).
-    Without ``files_per_date`` there is no shuffle: each task writes its own
-    rows, which keeps a day-partitioned input day-aligned.
+    ``files_per_date``: None rebalances by day under AQE (default), N hashes
+    each day into N files, 0 writes without a shuffle.
     """
     out = _layout(df, partition, list(cluster or []), files_per_date)
     writer = out.write.partitionBy(partition)
