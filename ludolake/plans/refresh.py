@@ -33,10 +33,14 @@ RAW_TABLE = "raw"
 
 
 # ------------------------------------------------------------------ sources
-def warehouse_sources(spark: SparkSession, root: str) -> Sources:
-    """Inputs read from materialized tables under ``root``."""
+def warehouse_sources(spark: SparkSession, root: str, raw: DataFrame | None = None) -> Sources:
+    """Inputs read from materialized tables under ``root``; the raw event
+    table is ``raw`` when given (the export usually lives elsewhere), else
+    ``<root>/raw``."""
     def get(name: str) -> DataFrame:
         if name == RAW:
+            if raw is not None:
+                return raw
             return read_table(spark, table_path(root, RAW_TABLE), partition="date_par")
         cols = USER_DATA_COLUMNS if name == USER_DATA else FLAT_SPECS[name].column_names()
         return read_table(spark, table_path(root, name), cols)
@@ -68,9 +72,10 @@ def build_flat(spark: SparkSession, raw: DataFrame, root: str,
                     files_per_date=files_per_date)
 
 
-def build_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None) -> None:
+def build_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None,
+                  raw: DataFrame | None = None) -> None:
     """Overwrite the dashboard tables from the flat tables under ``root``."""
-    sources = warehouse_sources(spark, root)
+    sources = warehouse_sources(spark, root, raw)
     for name in metrics or list(METRICS):
         _write_metric(METRICS[name], sources, root, "overwrite")
 
@@ -132,9 +137,9 @@ def append_flat(spark: SparkSession, raw: DataFrame, root: str,
 
 
 def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None,
-                   bootstrap: bool = False) -> None:
+                   bootstrap: bool = False, raw: DataFrame | None = None) -> None:
     """Append new days to the dashboard tables."""
-    sources = warehouse_sources(spark, root)
+    sources = warehouse_sources(spark, root, raw)
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
         spec = METRICS[name]
         path = table_path(root, name)
@@ -151,10 +156,10 @@ def lookback_start(mark, lookback_days: int):
 
 
 def refresh_metrics(spark: SparkSession, root: str, lookback_days: int = 30,
-                    metrics: list[str] | None = None) -> None:
+                    metrics: list[str] | None = None, raw: DataFrame | None = None) -> None:
     """Recompute the days after (mark - lookback) and replace just those
     partitions (dynamic overwrite). Cohort needs ``lookback_days >= 30``."""
-    sources = warehouse_sources(spark, root)
+    sources = warehouse_sources(spark, root, raw)
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
         spec = METRICS[name]
         path = table_path(root, name)

@@ -1,0 +1,59 @@
+"""Invariants of the metric tables on the sf0.01 fixture."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tests.conftest import SF_MID
+
+Q = entry.queries()
+GRAIN = {
+    "new_user": ["event_date", "country", "version"],
+    "dau": ["event_date", "country", "version"],
+    "playtime": ["version", "event_date", "platform", "country"],
+    "cohort": ["event_date", "days_since_first_open", "version", "country"],
+    "rev_iap_ads3": ["event_date", "version", "country"],
+    "winrate2": ["event_date", "version", "level"],
+    "level_booster2": ["event_date", "version", "level"],
+    "booster_type": ["event_date", "version", "booster_type"],
+    "ads_inter_rw_cnt": ["event_date", "version", "country"],
+    "drop_final": ["event_date", "version", "level"],
+    "drop_rate3": ["event_date", "version", "level"],
+}
+
+
+@pytest.mark.parametrize("name", list(GRAIN))
+def test_one_row_per_group(spark, name):
+    df = Q[name](spark, SF_MID)
+    dupes = df.groupBy(*GRAIN[name]).count().filter("count > 1").count()
+    assert dupes == 0
+
+
+def test_cohort_ranges(spark):
+    df = Q["cohort"](spark, SF_MID)
+    bad = df.filter(~F.col("days_since_first_open").between(0, 30)
+                    | ~F.col("retention_rate").between(0, 100)
+                    | (F.col("retained_user") > F.col("total_users"))
+                    | F.col("version").isNull() | F.col("country").isNull())
+    assert bad.count() == 0
+
+
+def test_drop_next_below_current(spark):
+    df = Q["drop_final"](spark, SF_MID)
+    assert df.filter(F.col("user_start_next_level") >= F.col("user_start")).count() == 0
+
+
+def test_winrate_bounds(spark):
+    df = Q["winrate2"](spark, SF_MID)
+    assert df.filter(~F.col("winrate").between(0, 100)).count() == 0
+    assert df.filter(F.col("event_win") > F.col("user_start")).count() == 0
+
+
+def test_corrected_revenue_never_exceeds_reference(spark):
+    a = Q["rev_iap_ads3"](spark, SF_MID).alias("a")
+    c = Q["rev_iap_ads3_corrected"](spark, SF_MID).alias("c")
+    ref = {(r.event_date, r.version, r.country): r.iap_rev for r in a.collect()}
+    cor = {(r.event_date, r.version, r.country): r.iap_rev for r in c.collect()}
+    assert ref.keys() == cor.keys()
+    assert all(cor[k] <= ref[k] + 1e-9 for k in ref)
+    assert sum(ref.values()) > sum(cor.values())      # the fixture has fan-out

@@ -1,0 +1,59 @@
+"""Parameter lookup: the micro-cases the fixture mapping cannot reach."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ludolake.functions.params import param, with_params
+
+SCHEMA = ("id int, event_params array<struct<key:string, "
+          "value:struct<string_value:string, int_value:bigint, double_value:double>>>")
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    rows = [
+        (1, None),                                            # NULL array
+        (2, []),                                              # empty array
+        (3, [("other", ("x", None, None))]),                  # key absent
+        (4, [("level", (None, 7, None))]),                    # other slot
+        (5, [("level", ("3", None, None)), ("k", (None, 1, None))]),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_absent_empty_null_and_other_slot_give_null(df):
+    got = dict(df.select("id", param("level", "string").alias("v")).collect())
+    assert got == {1: None, 2: None, 3: None, 4: None, 5: "3"}
+
+
+def test_int_slot(df):
+    got = dict(df.select("id", param("level", "int").alias("v")).collect())
+    assert got == {1: None, 2: None, 3: None, 4: 7, 5: None}
+
+
+def test_with_params_matches_param(df):
+    a = df.select("id", param("level", "string").alias("level"), param("k", "int").alias("k"))
+    b = with_params(df, [("id", F.col("id")), ("level", "level", "string"), ("k", "k", "int")])
+    assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_duplicate_key_strict_raises_first_otherwise(spark):
+    dup = spark.createDataFrame(
+        [(1, [("level", ("1", None, None)), ("level", ("2", None, None))])], SCHEMA)
+    with pytest.raises(Exception, match="occurs more than once"):
+        dup.select(param("level", "string")).collect()
+    with pytest.raises(Exception, match="occurs more than once"):
+        with_params(dup, [("level", "level", "string")]).collect()
+    assert dup.select(param("level", "string", strict=False)).first()[0] == "1"
+    assert with_params(dup, [("level", "level", "string")], strict=False).first()[0] == "1"
+
+
+def test_duplicate_of_another_key_is_fine(spark):
+    row = [(1, [("level", ("1", None, None)), ("x", ("a", None, None)), ("x", ("b", None, None))])]
+    dup = spark.createDataFrame(row, SCHEMA)
+    assert dup.select(param("level", "string")).first()[0] == "1"
+
+
+def test_unknown_slot_rejected():
+    with pytest.raises(ValueError):
+        param("level", "bool")
