@@ -116,15 +116,22 @@ def cohort(first_open: DataFrame, session_start: DataFrame, user_data: DataFrame
     offset N (0..max_day, inclusive) = had a session N days after the cohort
     day. Offsets without retained users have no row.
     """
-    members = (first_open.select(USER, F.col(DAY).alias("cohort_date"))
-               .join(user_data.select(USER, F.col(DAY).alias("cohort_date"),
-                                      "version", "country"),
-                     [USER, "cohort_date"], "left")
+    # Members without a version or country on their cohort day are dropped
+    # by both consumers (the retention join and the final join with the
+    # base), so the warehouse's LEFT join is an inner join on non-NULL info.
+    # Both consumers share this one subtree, so its shuffles run once.
+    info = (user_data.filter(F.col(USER).isNotNull() & F.col("version").isNotNull()
+                             & F.col("country").isNotNull())
+            .select(USER, F.col(DAY).alias("cohort_date"), "version", "country"))
+    members = (first_open.filter(F.col(USER).isNotNull())
+               .select(USER, F.col(DAY).alias("cohort_date"))
+               .join(info, [USER, "cohort_date"])
                .distinct())
+    # One row per user and active day: partial dedup before the shuffle, so
+    # a hot user sends at most one row per day and map task.
     sessions = session_start.select(USER, DAY).distinct()
     offset = F.datediff(F.col(DAY), F.col("cohort_date"))
-    retained = (members.filter(F.col("version").isNotNull() & F.col("country").isNotNull())
-                .join(sessions, USER)
+    retained = (members.join(sessions, USER)
                 .filter(offset.between(0, max_day))
                 # members and sessions are deduplicated: each user occurs once
                 # per (cohort_date, day, version, country), so count = distinct.
@@ -223,12 +230,18 @@ def winrate2(start_level: DataFrame, win_level: DataFrame, lose_level: DataFrame
     of one user count twice.
     """
     k = [USER, DAY, "version", "level"]
-    starts = (start_level.select(*k)
-              .join(first_open.select(USER), USER, "left_semi")
-              .distinct())
+    # Dedup each side on the same four keys first (partial, map-side): the
+    # three aggregates share one hash partitioning, so both left joins run
+    # without another shuffle, and the first_open filter then sees one row
+    # per user, day, version and level (a hot user sends few rows).
+    starts = start_level.select(*k).distinct()
     wins = win_level.select(*k).distinct().withColumn("w", F.lit(1))
     losses = lose_level.select(*k).distinct().withColumn("l", F.lit(1))
-    j = starts.join(wins, k, "left").join(losses, k, "left")
+    # ``IN (SELECT DISTINCT user FROM first_open)`` as an inner join with the
+    # distinct users, after the outcome joins: a semi join here would be
+    # pushed below them and reshuffle the starts twice.
+    j = (starts.join(wins, k, "left").join(losses, k, "left")
+         .join(first_open.select(USER).distinct(), USER))
     agg = j.groupBy(DAY, "version", safe_int("level").alias("level")).agg(
         F.count("*").alias("user_start"),
         F.sum(F.coalesce("w", F.lit(0))).cast("bigint").alias("event_win"),
