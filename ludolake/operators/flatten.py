@@ -112,3 +112,62 @@ def user_data(raw: DataFrame) -> DataFrame:
     return (raw.select("user_pseudo_id", F.col("date_par").alias("event_date"),
                        "version", "country")
             .distinct())
+
+
+# ----------------------------------------------------------- single-pass layer
+FLAT_EVENTS = "flat_events"
+# Sort keys inside each (day, event) partition: every flat table's cluster
+# keys appear in its own order; columns another event leaves NULL cost nothing.
+WIDE_SORT = ["level__string", "level__int", "booster_type__string",
+             "ad_platform__string", "version", "country"]
+
+
+def wide_name(p: P) -> str:
+    return f"{p.key}__{p.slot}"
+
+
+def _readers() -> tuple[dict[str, set], dict[P, set]]:
+    plain: dict[str, set] = {}
+    params: dict[P, set] = {}
+    for spec in FLAT_SPECS.values():
+        for c in spec.columns:
+            if isinstance(c, P):
+                params.setdefault(c, set()).add(spec.event)
+            elif not isinstance(c, Lit) and c != DATE:
+                plain.setdefault(c, set()).add(spec.event)
+    return plain, params
+
+
+def flatten_all(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """All flat tables in one pass over the raw table.
+
+    One row per event of a flattened kind: ``event_name``, ``event_date``,
+    the raw columns any flat table keeps, and one ``<key>__<slot>`` column
+    per extracted parameter, filled only for the events whose table reads
+    it. ``flat_view`` turns it back into each table. Reading raw once
+    instead of once per table matters when raw is not sorted by event name.
+    """
+    events = sorted({s.event for s in FLAT_SPECS.values()})
+    name = F.col("event_name")
+    plain, params = _readers()
+    outputs: list[tuple] = [("event_name", name), ("event_date", F.col("date_par"))]
+    for c, evs in plain.items():
+        col = F.col(c) if len(evs) == len(events) else F.when(name.isin(sorted(evs)), F.col(c))
+        outputs.append((c, col))
+    for p, evs in params.items():
+        outputs.append((wide_name(p), p.key, p.slot, name.isin(sorted(evs))))
+    return with_params(raw.filter(name.isin(events)), outputs, strict=strict)
+
+
+def flat_view(wide: DataFrame, table: str) -> DataFrame:
+    """Flat table ``table`` read from the single-pass layer."""
+    spec = FLAT_SPECS[table]
+    cols = []
+    for c in spec.columns:
+        if isinstance(c, P):
+            cols.append(F.col(wide_name(c)).alias(c.key))
+        elif isinstance(c, Lit):
+            cols.append(F.lit(c.value).alias(c.name))
+        else:
+            cols.append(F.col(c))
+    return wide.filter(F.col("event_name") == F.lit(spec.event)).select(*cols)

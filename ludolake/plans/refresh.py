@@ -23,11 +23,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.flatten import FLAT_SPECS, USER_DATA_COLUMNS, flatten, user_data
+from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
+                                 flat_view, flatten, flatten_all, user_data)
 from ..schemas import METRIC_CLUSTER, METRIC_COLUMNS
 from ..sources.tables import (high_water_mark, read_table, table_exists, table_path,
                               write_table)
-from .pipeline import FLAT_TABLES, METRICS, RAW, USER_DATA, MetricSpec, Sources
+from .pipeline import METRICS, RAW, USER_DATA, MetricSpec, Sources
 
 RAW_TABLE = "raw"
 
@@ -42,8 +43,9 @@ def warehouse_sources(spark: SparkSession, root: str, raw: DataFrame | None = No
             if raw is not None:
                 return raw
             return read_table(spark, table_path(root, RAW_TABLE), partition="date_par")
-        cols = USER_DATA_COLUMNS if name == USER_DATA else FLAT_SPECS[name].column_names()
-        return read_table(spark, table_path(root, name), cols)
+        if name == USER_DATA:
+            return read_table(spark, table_path(root, USER_DATA), USER_DATA_COLUMNS)
+        return flat_view(read_table(spark, table_path(root, FLAT_EVENTS)), name)
     return get
 
 
@@ -58,18 +60,19 @@ def _flat_df(raw: DataFrame, name: str, strict: bool) -> DataFrame:
     return user_data(raw) if name == USER_DATA else flatten(raw, name, strict=strict)
 
 
-def _flat_cluster(name: str) -> list[str]:
-    return [] if name == USER_DATA else FLAT_SPECS[name].cluster
-
-
 # --------------------------------------------------------------- full builds
-def build_flat(spark: SparkSession, raw: DataFrame, root: str,
-               tables: list[str] | None = None, strict: bool = True,
+def build_flat(spark: SparkSession, raw: DataFrame, root: str, strict: bool = True,
                files_per_date: int | None = None) -> None:
-    """Overwrite the flat tables (and ``user_data``) from the raw table."""
-    for name in tables or FLAT_TABLES:
-        write_table(_flat_df(raw, name, strict), table_path(root, name), _flat_cluster(name),
-                    files_per_date=files_per_date)
+    """Overwrite the flat layer from the raw table.
+
+    The 12 flat tables are one dataset, ``flat_events``, partitioned by day
+    and event name and written from ONE scan of raw (``flatten_all``); each
+    table is a partition-pruned view of it (``warehouse_sources``).
+    ``user_data`` is its own table.
+    """
+    write_table(flatten_all(raw, strict), table_path(root, FLAT_EVENTS), WIDE_SORT,
+                partition=["event_date", "event_name"], files_per_date=files_per_date)
+    write_table(user_data(raw), table_path(root, USER_DATA), files_per_date=files_per_date)
 
 
 def build_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None,
@@ -125,15 +128,42 @@ def metric_increment(spec: MetricSpec, sources: Sources, target: DataFrame | Non
     return spec.build(sources, after=mark)
 
 
-def append_flat(spark: SparkSession, raw: DataFrame, root: str,
-                tables: list[str] | None = None, hwm: str = "target",
+def flat_marks(spark: SparkSession, root: str) -> dict[str, object]:
+    """Latest day of each flat table (one small job over partition values)."""
+    path = table_path(root, FLAT_EVENTS)
+    if not table_exists(spark, path):
+        return {}
+    df = read_table(spark, path)
+    return {r[0]: r[1] for r in
+            df.groupBy("event_name").agg(F.max("event_date")).collect()}
+
+
+def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "target",
                 strict: bool = True) -> None:
-    """Append new days to the flat tables."""
-    for name in tables or FLAT_TABLES:
-        path = table_path(root, name)
-        target = read_table(spark, path) if table_exists(spark, path) else None
-        inc = flat_increment(raw, name, target, hwm=hwm, strict=strict)
-        write_table(inc, path, _flat_cluster(name), mode="append")
+    """Append new days to the flat layer in one pass over raw.
+
+    Each flat table keeps its own mark: an event kind's rows are appended
+    only for days after that kind's latest day (a kind with no rows yet gets
+    none, like an empty target upstream). ``hwm="source"`` reproduces the
+    upstream script, which compares raw with its own maximum: no rows.
+    """
+    if hwm == "source":
+        marks = {spec.event: high_water_mark(raw, "date_par") for spec in FLAT_SPECS.values()}
+    elif hwm == "target":
+        marks = flat_marks(spark, root)
+    else:
+        raise ValueError("hwm must be 'target' or 'source'")
+    keep = F.lit(False)
+    for event, mark in marks.items():
+        if mark is not None:
+            keep = keep | ((F.col("event_name") == F.lit(event))
+                           & (F.col("date_par") > F.lit(mark)))
+    write_table(flatten_all(raw.filter(keep), strict), table_path(root, FLAT_EVENTS),
+                WIDE_SORT, mode="append", partition=["event_date", "event_name"])
+    path = table_path(root, USER_DATA)
+    target = read_table(spark, path) if table_exists(spark, path) else None
+    inc = flat_increment(raw, USER_DATA, target, hwm=hwm, strict=strict)
+    write_table(inc, path, mode="append")
 
 
 def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None,

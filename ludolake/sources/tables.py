@@ -24,37 +24,39 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _layout(df: DataFrame, partition: str, cluster: list[str],
+def _layout(df: DataFrame, partitions: list[str], cluster: list[str],
             files_per_date: int | None) -> DataFrame:
     if files_per_date:
-        # Spread each day over ``files_per_date`` tasks by a deterministic row
-        # hash: a retried task sees the same rows, and no single day (or hot
-        # key inside it) lands in one task.
+        # Spread each partition over ``files_per_date`` tasks by a
+        # deterministic row hash: a retried task sees the same rows, and no
+        # single day (or hot key inside it) lands in one task.
         bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
-        df = df.repartition(F.col(partition), bucket)
+        df = df.repartition(*[F.col(c) for c in partitions], bucket)
     elif files_per_date is None:
-        # AQE rebalance by day: small days are merged into one task, a big or
-        # skewed day is split over several (advisory partition size), so file
-        # sizes follow the data instead of the input split.
-        df = df.hint("rebalance", partition)
+        # AQE rebalance by partition: small days are merged into one task, a
+        # big or skewed day is split over several (advisory partition size),
+        # so file sizes follow the data instead of the input split.
+        df = df.hint("rebalance", *partitions)
     # files_per_date == 0: no shuffle; each task writes its own rows (keeps a
     # day-partitioned input day-aligned).
-    return df.sortWithinPartitions(partition, *cluster)
+    return df.sortWithinPartitions(*partitions, *cluster)
 
 
 def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
-                mode: str = "overwrite", partition: str = PARTITION,
+                mode: str = "overwrite", partition: str | list[str] = PARTITION,
                 files_per_date: int | None = None) -> None:
-    """Write ``df`` partitioned by day and clustered by ``cluster``.
+    """Write ``df`` partitioned by day (and more columns) and clustered by
+    ``cluster``.
 
     ``mode="overwrite"`` replaces the whole table (a full build);
-    ``mode="dynamic"`` replaces only the days present in ``df`` (a refresh);
-    ``mode="append"`` adds rows (the scheduled increment).
-    ``files_per_date``: None rebalances by day under AQE (default), N hashes
-    each day into N files, 0 writes without a shuffle.
+    ``mode="dynamic"`` replaces only the partitions present in ``df`` (a
+    refresh); ``mode="append"`` adds rows (the scheduled increment).
+    ``files_per_date``: None rebalances by partition under AQE (default), N
+    hashes each partition into N files, 0 writes without a shuffle.
     """
-    out = _layout(df, partition, list(cluster or []), files_per_date)
-    writer = out.write.partitionBy(partition)
+    partitions = [partition] if isinstance(partition, str) else list(partition)
+    out = _layout(df, partitions, list(cluster or []), files_per_date)
+    writer = out.write.partitionBy(*partitions)
     if mode == "dynamic":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":

@@ -40,8 +40,18 @@ def warehouses(spark, tmp_path_factory):
 @pytest.mark.parametrize("table", FLAT_TABLES)
 def test_flat_append_equals_full_build(warehouses, table):
     spark, _, full, inc = warehouses
-    a = read_table(spark, table_path(full, table))
-    b = read_table(spark, table_path(inc, table), a.columns)
+    a = R.warehouse_sources(spark, full)(table)
+    b = R.warehouse_sources(spark, inc)(table)
+    assert a.columns == b.columns
+    assert rows(a) == rows(b)
+
+
+@pytest.mark.parametrize("table", FLAT_TABLES)
+def test_flat_layer_equals_per_table_flatten(warehouses, table):
+    spark, raw_t, full, _ = warehouses
+    a = R.warehouse_sources(spark, full)(table)
+    b = R._flat_df(raw_t, table, strict=True)
+    assert a.columns == b.columns
     assert rows(a) == rows(b)
 
 
@@ -67,16 +77,21 @@ def test_cohort_append_is_stale_and_lookback_repairs_it(warehouses):
 def test_rerun_appends_nothing(warehouses):
     spark, raw_t, _, inc = warehouses
     before = {m: read_table(spark, table_path(inc, m)).count() for m in ["dau", "winrate2"]}
+    flat_before = R.warehouse_sources(spark, inc)("first_open").count()
     R.append_metrics(spark, inc, ["dau", "winrate2"], raw=raw_t)
-    R.append_flat(spark, raw_t, inc, ["first_open"])
+    R.append_flat(spark, raw_t, inc)
     after = {m: read_table(spark, table_path(inc, m)).count() for m in ["dau", "winrate2"]}
     assert before == after
+    assert R.warehouse_sources(spark, inc)("first_open").count() == flat_before
 
 
 def test_source_high_water_mark_selects_nothing(warehouses):
     spark, raw_t, _, inc = warehouses
-    target = read_table(spark, table_path(inc, "start_level"))
+    target = R.warehouse_sources(spark, inc)("start_level")
     assert R.flat_increment(raw_t, "start_level", target, hwm="source").count() == 0
+    before = R.warehouse_sources(spark, inc)("win_level").count()
+    R.append_flat(spark, raw_t, inc, hwm="source")
+    assert R.warehouse_sources(spark, inc)("win_level").count() == before
 
 
 def test_empty_target_appends_nothing_unless_bootstrap(warehouses):
@@ -89,7 +104,7 @@ def test_empty_target_appends_nothing_unless_bootstrap(warehouses):
 
 def test_late_rows_are_not_appended(warehouses):
     spark, raw_t, full, _ = warehouses
-    target = read_table(spark, table_path(full, "session_start"))
+    target = R.warehouse_sources(spark, full)("session_start")
     inc = R.flat_increment(raw_t, "session_start", target)
     assert inc.count() == 0            # every day is already at or below the mark
 
