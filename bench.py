@@ -109,6 +109,8 @@ def main() -> None:
     noop = lambda df: df.write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
 
+    # JVM and code-generation warm-up, untimed
+    noop(read_raw(spark, sf_dir))
     # raw table: the adapter from the test tables (one-off, outside ``value``)
     times["raw_build"] = _timed(spark, "raw_build",
                                 lambda: R.write_raw(read_raw(spark, sf_dir), root))
@@ -133,8 +135,8 @@ def main() -> None:
     def append_all():
         for name, spec in METRICS.items():
             if spec.incremental:
-                target = read_table(spark, table_path(inc_root, name))
-                noop(R.metric_increment(spec, sources, target))
+                mark = R.table_high_water_mark(spark, table_path(inc_root, name))
+                noop(R.metric_increment(spec, sources, None, mark=mark))
     times["append_all"] = _median(spark, "append_all", append_all, repeat)
 
     # dashboard read: one version over a date range, from raw vs. metric table

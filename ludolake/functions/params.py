@@ -49,43 +49,30 @@ def with_params(df: DataFrame, outputs: list[tuple], strict: bool = True,
     ``(alias, key, slot, when)`` items; a ``when`` condition limits the
     lookup (and its duplicate check) to the rows where it holds, else NULL.
 
-    The matches of each key are computed once, in a first projection, for
-    all slots read from it, then read (first element, duplicate check) in a
-    second one. Catalyst keeps the two projections apart because the
-    higher-order ``filter`` is not a cheap expression.
+    The strict duplicate check is two-level: one codegen'd test per row
+    (are all keys of the row distinct?) and, only for a row that has some
+    repeated key, a count of the wanted key's matches. The common row pays
+    one ``array_distinct`` instead of a second pass per parameter.
     """
-    conds: dict[str, list] = {}
+    arr = F.col(params)
+    keys_distinct = F.size(F.array_distinct(arr["key"])) == F.size(arr)
+    cols = []
     for out in outputs:
-        if len(out) >= 3:
-            if out[2] not in SLOTS:
-                raise ValueError(f"slot must be one of {SLOTS}, got {out[2]!r}")
-            conds.setdefault(out[1], []).append(out[3] if len(out) == 4 else None)
-    stage1, stage2, tmp_of = [], [], {}
-    for j, (key, cs) in enumerate(conds.items()):
-        tmp_of[key] = f"__k{j}"
-        matches = _matches(F.col(params), key)
-        if all(c is not None for c in cs):
-            any_cond = cs[0]
-            for c in cs[1:]:
-                any_cond = any_cond | c
-            matches = F.when(any_cond, matches)
-        stage1.append(matches.alias(tmp_of[key]))
-    for i, out in enumerate(outputs):
         if len(out) >= 3:
             alias, key, slot = out[:3]
-            tmp = F.col(tmp_of[key])
-            value = F.get(tmp, F.lit(0))["value"][f"{slot}_value"]
+            if slot not in SLOTS:
+                raise ValueError(f"slot must be one of {SLOTS}, got {slot!r}")
+            matches = _matches(arr, key)
+            value = F.get(matches, F.lit(0))["value"][f"{slot}_value"]
             if strict:
                 value = F.when(
-                    F.size(tmp) > 1,
+                    ~keys_distinct & (F.size(matches) > 1),
                     F.raise_error(F.lit(f"event parameter '{key}' occurs more than once")),
                 ).otherwise(value)
             if len(out) == 4:
-                stage1.append(out[3].alias(f"__c{i}"))
-                value = F.when(F.col(f"__c{i}"), value)
-            stage2.append(value.alias(alias))
+                value = F.when(out[3], value)
+            cols.append(value.alias(alias))
         else:
             alias, col = out
-            stage1.append(col.alias(alias))
-            stage2.append(F.col(alias))
-    return df.select(*stage1).select(*stage2)
+            cols.append(col.alias(alias))
+    return df.select(*cols)

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
                                  flat_view, flatten, flatten_all, user_data)
 from ..schemas import METRIC_CLUSTER, METRIC_COLUMNS
-from ..sources.tables import (high_water_mark, read_table, table_exists, table_path,
-                              write_table)
+from ..sources.tables import (high_water_mark, read_table, table_exists,
+                              table_high_water_mark, table_path, write_table)
 from .pipeline import METRICS, RAW, USER_DATA, MetricSpec, Sources
 
 RAW_TABLE = "raw"
@@ -38,14 +38,21 @@ def warehouse_sources(spark: SparkSession, root: str, raw: DataFrame | None = No
     """Inputs read from materialized tables under ``root``; the raw event
     table is ``raw`` when given (the export usually lives elsewhere), else
     ``<root>/raw``."""
+    opened: dict[str, DataFrame] = {}
+
+    def table(name: str, **kw) -> DataFrame:
+        # One relation per table and job: its file listing is done once and
+        # shared by every view and branch that reads it.
+        if name not in opened:
+            opened[name] = read_table(spark, table_path(root, name), **kw)
+        return opened[name]
+
     def get(name: str) -> DataFrame:
         if name == RAW:
-            if raw is not None:
-                return raw
-            return read_table(spark, table_path(root, RAW_TABLE), partition="date_par")
+            return raw if raw is not None else table(RAW_TABLE, partition="date_par")
         if name == USER_DATA:
-            return read_table(spark, table_path(root, USER_DATA), USER_DATA_COLUMNS)
-        return flat_view(read_table(spark, table_path(root, FLAT_EVENTS)), name)
+            return table(USER_DATA, columns=USER_DATA_COLUMNS)
+        return flat_view(table(FLAT_EVENTS), name)
     return get
 
 
@@ -115,13 +122,15 @@ def flat_increment(raw: DataFrame, table: str, target: DataFrame | None,
 
 
 def metric_increment(spec: MetricSpec, sources: Sources, target: DataFrame | None,
-                     bootstrap: bool = False) -> DataFrame:
+                     bootstrap: bool = False, mark=None) -> DataFrame:
     """Rows a scheduled run appends to metric table ``spec.name``.
 
-    Inputs are cut at the target's mark before any join or aggregation (see
+    The mark is the target's latest day (given, or computed from
+    ``target``). Inputs are cut at it before any join or aggregation (see
     ``MetricSpec.scoped``), so only new days are read.
     """
-    mark = high_water_mark(target) if target is not None else None
+    if mark is None and target is not None:
+        mark = high_water_mark(target)
     if mark is None:
         df = spec.build(sources)
         return df if bootstrap else df.filter(F.lit(False))
@@ -129,13 +138,8 @@ def metric_increment(spec: MetricSpec, sources: Sources, target: DataFrame | Non
 
 
 def flat_marks(spark: SparkSession, root: str) -> dict[str, object]:
-    """Latest day of each flat table (one small job over partition values)."""
-    path = table_path(root, FLAT_EVENTS)
-    if not table_exists(spark, path):
-        return {}
-    df = read_table(spark, path)
-    return {r[0]: r[1] for r in
-            df.groupBy("event_name").agg(F.max("event_date")).collect()}
+    """Latest day of each flat table, from the partition directories."""
+    return table_high_water_mark(spark, table_path(root, FLAT_EVENTS), by="event_name")
 
 
 def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "target",
@@ -161,8 +165,11 @@ def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "targ
     write_table(flatten_all(raw.filter(keep), strict), table_path(root, FLAT_EVENTS),
                 WIDE_SORT, mode="append", partition=["event_date", "event_name"])
     path = table_path(root, USER_DATA)
-    target = read_table(spark, path) if table_exists(spark, path) else None
-    inc = flat_increment(raw, USER_DATA, target, hwm=hwm, strict=strict)
+    if hwm == "source":
+        inc = flat_increment(raw, USER_DATA, None, hwm="source")
+    else:
+        mark = table_high_water_mark(spark, path)
+        inc = user_data(raw.filter(F.lit(mark is not None) & (F.col("date_par") > F.lit(mark))))
     write_table(inc, path, mode="append")
 
 
@@ -173,8 +180,8 @@ def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = N
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
         spec = METRICS[name]
         path = table_path(root, name)
-        target = read_table(spark, path) if table_exists(spark, path) else None
-        df = metric_increment(spec, sources, target, bootstrap=bootstrap)
+        mark = table_high_water_mark(spark, path)
+        df = metric_increment(spec, sources, None, bootstrap=bootstrap, mark=mark)
         table = name if name in METRIC_COLUMNS else "rev_iap_ads3"
         write_table(df.repartition(F.col("event_date")), path, METRIC_CLUSTER[table],
                     mode="append")
@@ -193,6 +200,5 @@ def refresh_metrics(spark: SparkSession, root: str, lookback_days: int = 30,
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
         spec = METRICS[name]
         path = table_path(root, name)
-        mark = high_water_mark(read_table(spark, path)) if table_exists(spark, path) else None
-        after = lookback_start(mark, lookback_days)
+        after = lookback_start(table_high_water_mark(spark, path), lookback_days)
         _write_metric(spec, sources, root, "dynamic", after=after)

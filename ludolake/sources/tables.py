@@ -13,6 +13,9 @@ declared column order back.
 
 from __future__ import annotations
 
+import datetime as dt
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -84,6 +87,36 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def partition_values(df: DataFrame, cols: list[str]) -> set[tuple]:
+    """Distinct values of partition columns, from the file listing the
+    relation already holds (no job). Only for tables written by this
+    package (``col=value`` directories)."""
+    out = set()
+    for f in df.inputFiles():
+        parts = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg)
+        if all(c in parts for c in cols):
+            out.add(tuple(unquote(parts[c]) for c in cols))
+    return out
+
+
+def table_high_water_mark(spark: SparkSession, path: str, col: str = PARTITION,
+                          by: str | None = None):
+    """Latest day of a written table (per ``by`` value when given), read
+    from its partition directories; None (or {}) for a missing table."""
+    if not table_exists(spark, path):
+        return {} if by else None
+    df = spark.read.parquet(path)
+    if by is None:
+        days = [v[0] for v in partition_values(df, [col])]
+        return dt.date.fromisoformat(max(days)) if days else None
+    marks: dict[str, dt.date] = {}
+    for day, key in partition_values(df, [col, by]):
+        d = dt.date.fromisoformat(day)
+        if key not in marks or d > marks[key]:
+            marks[key] = d
+    return marks
+
+
 def high_water_mark(df: DataFrame, col: str = PARTITION):
     """``max(col)`` as a driver-side literal (None for an empty table).
 
