@@ -202,3 +202,29 @@ def refresh_metrics(spark: SparkSession, root: str, lookback_days: int = 30,
         path = table_path(root, name)
         after = lookback_start(table_high_water_mark(spark, path), lookback_days)
         _write_metric(spec, sources, root, "dynamic", after=after)
+
+
+def refresh_days(spark: SparkSession, raw: DataFrame, root: str, days: list,
+                 metrics: list[str] | None = None, cohort_lookback: int = 30,
+                 strict: bool = True) -> None:
+    """Recompute everything that depends on the given raw days.
+
+    The flat layer and ``user_data`` are rebuilt for exactly those days
+    (dynamic partition overwrite), then every metric is recomputed from the
+    earliest of them on (cohort from ``cohort_lookback`` days before, as its
+    rows for a cohort day depend on later sessions). Idempotent: running it
+    twice writes the same partitions with the same rows, so late data for a
+    day is absorbed by rerunning that day.
+    """
+    if not days:
+        return
+    on_days = raw.filter(F.col("date_par").isin(sorted(days)))
+    write_table(flatten_all(on_days, strict), table_path(root, FLAT_EVENTS), WIDE_SORT,
+                mode="dynamic", partition=["event_date", "event_name"])
+    write_table(user_data(on_days), table_path(root, USER_DATA), mode="dynamic")
+    sources = warehouse_sources(spark, root, raw)
+    first = min(days)
+    for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
+        back = cohort_lookback if name == "cohort" else 0
+        _write_metric(METRICS[name], sources, root, "dynamic",
+                      after=first - dt.timedelta(days=back + 1))
