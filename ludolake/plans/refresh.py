@@ -162,6 +162,11 @@ def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "targ
         if mark is not None:
             keep = keep | ((F.col("event_name") == F.lit(event))
                            & (F.col("date_par") > F.lit(mark)))
+    known = [m for m in marks.values() if m is not None]
+    if known:
+        # The earliest mark as a plain day predicate: partition pruning on
+        # raw does not depend on splitting the per-event disjunction.
+        keep = keep & (F.col("date_par") > F.lit(min(known)))
     write_table(flatten_all(raw.filter(keep), strict), table_path(root, FLAT_EVENTS),
                 WIDE_SORT, mode="append", partition=["event_date", "event_name"])
     path = table_path(root, USER_DATA)
