@@ -124,7 +124,7 @@ def cohort(first_open: DataFrame, session_start: DataFrame, user_data: DataFrame
                              & F.col("country").isNotNull())
             .select(USER, F.col(DAY).alias("cohort_date"), "version", "country"))
     members = (first_open.filter(F.col(USER).isNotNull())
-               .select(USER, F.col(DAY).alias("cohort_date"))
+               .select(USER, F.col(DAY).alias("cohort_date")).distinct()
                .join(info, [USER, "cohort_date"])
                .distinct())
     # One row per user and active day: partial dedup before the shuffle, so
