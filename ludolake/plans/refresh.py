@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
                                  flat_view, flatten, flatten_all, user_data)
 from ..schemas import METRIC_CLUSTER, METRIC_COLUMNS
-from ..sources.tables import (high_water_mark, read_table, table_exists,
-                              table_high_water_mark, table_path, write_table)
+from ..sources.tables import (high_water_mark, read_table, table_high_water_mark,
+                              table_path, write_table)
 from .pipeline import METRICS, RAW, USER_DATA, MetricSpec, Sources
 
 RAW_TABLE = "raw"

@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ludolake.plans import refresh as R
-from ludolake.plans.pipeline import FLAT_TABLES, METRICS
+from ludolake.plans.pipeline import FLAT_TABLES
 from ludolake.sources.fixture import read_raw
 from ludolake.sources.tables import read_table, table_path, write_table
 from ludolake.streaming.flatten_stream import flat_stream
