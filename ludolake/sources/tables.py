@@ -103,9 +103,13 @@ def table_high_water_mark(spark: SparkSession, path: str, col: str = PARTITION,
                           by: str | None = None):
     """Latest day of a written table (per ``by`` value when given), read
     from its partition directories; None (or {}) for a missing table."""
-    if not table_exists(spark, path):
+    # Only partition columns in the read schema: one directory listing, no
+    # footer read for schema inference.
+    schema = f"{col} string" + (f", {by} string" if by else "")
+    try:
+        df = spark.read.schema(schema).parquet(path)
+    except AnalysisException:
         return {} if by else None
-    df = spark.read.parquet(path)
     if by is None:
         days = [v[0] for v in partition_values(df, [col])]
         return dt.date.fromisoformat(max(days)) if days else None
