@@ -43,7 +43,7 @@ from ludolake.plans import refresh as R  # noqa: E402
 from ludolake.plans.pipeline import METRICS  # noqa: E402
 from ludolake.session import JOB_DEFAULTS, checkpoint_dir, configure  # noqa: E402
 from ludolake.sources.fixture import read_raw  # noqa: E402
-from ludolake.sources.tables import read_table, table_path, write_table  # noqa: E402
+from ludolake.sources.tables import read_raw_table, table_path, write_table  # noqa: E402
 
 
 def _session(cpus: str, event_dir: str) -> SparkSession:
@@ -114,7 +114,7 @@ def main() -> None:
     # raw table: the adapter from the test tables (one-off, outside ``value``)
     times["raw_build"] = _timed(spark, "raw_build",
                                 lambda: R.write_raw(read_raw(spark, sf_dir), root))
-    raw = read_table(spark, table_path(root, R.RAW_TABLE), partition="date_par")
+    raw = read_raw_table(spark, table_path(root, R.RAW_TABLE))
 
     # full rebuild of the flat layer (overwrites the same tables each run)
     times["flatten_all"] = _median(spark, "flatten_all", lambda: R.build_flat(spark, raw, root),
@@ -147,9 +147,8 @@ def main() -> None:
     lo, hi = F.lit(s["start"]).cast("date"), F.lit(s["end"]).cast("date")
     from_raw = lambda: M.playtime(raw.filter(
         F.col("date_par").between(lo, hi) & (F.col("version") == s["version"]))).collect()
-    from_table = lambda: (read_table(spark, table_path(root, "playtime"))
-                          .filter(F.col("event_date").between(lo, hi)
-                                  & (F.col("version") == s["version"])).collect())
+    from_table = lambda: R.dashboard_slice(
+        spark, root, "playtime", s["start"], s["end"], version=s["version"]).collect()
     times["slice_from_raw"] = _median(spark, "slice_from_raw", from_raw, repeat)
     times["slice_from_table"] = _median(spark, "slice_from_table", from_table, repeat)
 

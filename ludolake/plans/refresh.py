@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
                                  flat_view, flatten, flatten_all, user_data)
 from ..schemas import METRIC_CLUSTER, METRIC_COLUMNS
-from ..sources.tables import (high_water_mark, read_table, table_high_water_mark,
-                              table_path, write_table)
+from ..sources.tables import (high_water_mark, read_raw_table, read_table,
+                              table_high_water_mark, table_path, write_table)
 from .pipeline import METRICS, RAW, USER_DATA, MetricSpec, Sources
 
 RAW_TABLE = "raw"
@@ -49,7 +49,11 @@ def warehouse_sources(spark: SparkSession, root: str, raw: DataFrame | None = No
 
     def get(name: str) -> DataFrame:
         if name == RAW:
-            return raw if raw is not None else table(RAW_TABLE, partition="date_par")
+            if raw is not None:
+                return raw
+            if RAW_TABLE not in opened:
+                opened[RAW_TABLE] = read_raw_table(spark, table_path(root, RAW_TABLE))
+            return opened[RAW_TABLE]
         if name == USER_DATA:
             return table(USER_DATA, columns=USER_DATA_COLUMNS)
         return flat_view(table(FLAT_EVENTS), name)
@@ -233,3 +237,18 @@ def refresh_days(spark: SparkSession, raw: DataFrame, root: str, days: list,
         back = cohort_lookback if name == "cohort" else 0
         _write_metric(METRICS[name], sources, root, "dynamic",
                       after=first - dt.timedelta(days=back + 1))
+
+
+def dashboard_slice(spark: SparkSession, root: str, metric: str, start, end,
+                    version: str | None = None, country: str | None = None) -> DataFrame:
+    """What a dashboard reads: a metric table over a day range, optionally
+    one version and one country. The day range prunes partitions at
+    planning; version and country reach the Parquet scan as pushed filters,
+    which skip row groups because files are sorted by the cluster keys."""
+    df = read_table(spark, table_path(root, metric))
+    cond = F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    if version is not None:
+        cond = cond & (F.col("version") == F.lit(version))
+    if country is not None:
+        cond = cond & (F.col("country") == F.lit(country))
+    return df.filter(cond)

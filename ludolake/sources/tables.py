@@ -79,6 +79,14 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
     return df.select(*(columns or df.columns))
 
 
+def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
+    """The raw event export (partitioned by ``date_par``) with the declared
+    ``RAW_SCHEMA``: no schema inference over a large table's files, and the
+    nested parameter type is fixed even if early files lack a slot."""
+    from ..schemas import RAW_SCHEMA
+    return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_SCHEMA.fieldNames())
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema

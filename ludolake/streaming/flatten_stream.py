@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.refresh import refresh_days
 from ..schemas import RAW_SCHEMA
 from ..session import checkpoint_dir
-from ..sources.tables import read_table
+from ..sources.tables import read_raw_table
 
 
 def flat_stream(spark: SparkSession, raw_path: str, root: str,
@@ -41,7 +41,7 @@ def flat_stream(spark: SparkSession, raw_path: str, root: str,
         session = batch.sparkSession
         # The days a batch touches: one value per day, not per row.
         days = [r[0] for r in batch.select("date_par").distinct().collect()]
-        raw = read_table(session, raw_path, partition="date_par")
+        raw = read_raw_table(session, raw_path)
         refresh_days(session, raw, root, days, metrics=metrics,
                      cohort_lookback=cohort_lookback)
 

@@ -119,3 +119,22 @@ def test_tables_are_date_partitioned_in_declared_order(warehouses):
     import os
     parts = os.listdir(table_path(full, "dau"))
     assert any(p.startswith("event_date=2024-01-") for p in parts)
+
+
+def test_dashboard_slice_reads_the_metric_table(warehouses):
+    spark, _, full, _ = warehouses
+    s = R.dashboard_slice(spark, full, "dau", "2024-01-05", "2024-01-25", version="1.1")
+    full_dau = read_table(spark, table_path(full, "dau"))
+    want = full_dau.filter((F.col("event_date").between(dt.date(2024, 1, 5), dt.date(2024, 1, 25)))
+                           & (F.col("version") == "1.1"))
+    assert rows(s) == rows(want) and s.count() > 0
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "EqualTo(version,1.1)" in plan
+
+
+def test_raw_table_reads_with_declared_schema(warehouses):
+    spark, _, full, _ = warehouses
+    from ludolake.schemas import RAW_SCHEMA
+    from ludolake.sources.tables import read_raw_table
+    df = read_raw_table(spark, table_path(full, R.RAW_TABLE))
+    assert df.schema.simpleString() == RAW_SCHEMA.simpleString()
