@@ -156,19 +156,32 @@ def _engaged(user_engagement: DataFrame) -> DataFrame:
     return user_engagement.select(*_UDVC).distinct()
 
 
+def _ads_reach(ad_impression: DataFrame) -> DataFrame:
+    """Per (user, day, version, country): was a rewarded / interstitial ad shown."""
+    fmt = F.col("ad_format")
+    return ad_impression.groupBy(*_UDVC).agg(
+        F.max(_flag(fmt == REWARDED)).alias("rw"),
+        F.max(_flag(fmt == INTER)).alias("inter"),
+    )
+
+
 def _ads_per_user(ad_impression: DataFrame) -> DataFrame:
     """Ad impressions collapsed to one row per (user, day, version, country).
 
-    ``n_formats`` is the number of ``ad_format`` groups (NULL is a group): the
-    warehouse joins one row per format, which multiplies a user's purchase
-    revenue; it is kept to reproduce that.
+    First one row per ad format (the warehouse's pre-aggregation), then per
+    user: ``n_formats`` counts those rows (NULL is a format group), because
+    the warehouse joins one row per format, which multiplies a user's
+    purchase revenue; it is kept to reproduce that. Both steps are
+    fixed-width hash aggregations with map-side partial aggregation.
     """
     fmt = F.col("ad_format")
-    return ad_impression.groupBy(*_UDVC).agg(
+    per_format = ad_impression.groupBy(*_UDVC, "ad_format").agg(
+        F.sum(money("value")).alias("ads"))
+    return per_format.groupBy(*_UDVC).agg(
         F.max(_flag(fmt == REWARDED)).alias("rw"),
         F.max(_flag(fmt == INTER)).alias("inter"),
-        F.sum(money("value")).alias("ads"),
-        (F.size(F.collect_set(fmt)) + F.max(_flag(fmt.isNull()))).alias("n_formats"),
+        F.sum("ads").alias("ads"),
+        F.count("*").alias("n_formats"),
     )
 
 
@@ -179,7 +192,7 @@ def _reach(engaged: DataFrame, ads: DataFrame) -> DataFrame:
 def ads_inter_rw_cnt(user_engagement: DataFrame, ad_impression: DataFrame) -> DataFrame:
     """Engaged users, and those of them shown rewarded / interstitial ads,
     per (day, version, country)."""
-    j = _reach(_engaged(user_engagement), _ads_per_user(ad_impression))
+    j = _reach(_engaged(user_engagement), _ads_reach(ad_impression))
     out = j.groupBy(DAY, "version", "country").agg(
         F.count(USER).alias("total_user"),
         F.sum(F.coalesce("rw", F.lit(0))).cast("bigint").alias("ad_rw_count"),
