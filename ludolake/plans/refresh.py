@@ -252,3 +252,25 @@ def dashboard_slice(spark: SparkSession, root: str, metric: str, start, end,
     if country is not None:
         cond = cond & (F.col("country") == F.lit(country))
     return df.filter(cond)
+
+
+def register_views(spark: SparkSession, root: str, raw: DataFrame | None = None) -> list[str]:
+    """Register the flat tables, ``user_data`` and the metric tables found
+    under ``root`` as temporary views, for ``spark.sql`` users. Returns
+    the view names."""
+    sources = warehouse_sources(spark, root, raw)
+    names = []
+    for name in list(FLAT_SPECS) + [USER_DATA]:
+        try:
+            sources(name).createOrReplaceTempView(name)
+            names.append(name)
+        except Exception:  # table not built yet
+            continue
+    for name in METRICS:
+        path = table_path(root, name)
+        try:
+            read_table(spark, path).createOrReplaceTempView(name)
+            names.append(name)
+        except Exception:
+            continue
+    return names

@@ -138,3 +138,30 @@ def test_raw_table_reads_with_declared_schema(warehouses):
     from ludolake.sources.tables import read_raw_table
     df = read_raw_table(spark, table_path(full, R.RAW_TABLE))
     assert df.schema.simpleString() == RAW_SCHEMA.simpleString()
+
+
+def test_sql_views_over_the_warehouse(warehouses):
+    spark, raw_t, full, _ = warehouses
+    names = R.register_views(spark, full, raw_t)
+    assert {"start_level", "user_data", "dau", "cohort"} <= set(names)
+    n = spark.sql("SELECT count(*) FROM dau WHERE version = '1.1'").first()[0]
+    assert n == read_table(spark, table_path(full, "dau")).filter("version = '1.1'").count() > 0
+    lvl = spark.sql("SELECT level FROM booster_used LIMIT 1").schema["level"].dataType.simpleString()
+    assert lvl == "bigint"
+
+
+def test_command_line_build_then_append(spark, tmp_path):
+    from ludolake.__main__ import main
+    from ludolake.sources.tables import write_table
+    raw = read_raw(spark, SF_SMALL)
+    export, root = str(tmp_path / "export"), str(tmp_path / "wh")
+    write_table(raw.filter(F.col("date_par") <= F.lit(CUTOFF)), export, partition="date_par",
+                files_per_date=0)
+    main(["build", "--raw", export, "--root", root, "--metrics", "dau"])
+    write_table(raw.filter(F.col("date_par") > F.lit(CUTOFF)), export, partition="date_par",
+                mode="append", files_per_date=0)
+    main(["append", "--raw", export, "--root", root, "--metrics", "dau"])
+    from ludolake.operators import metrics as M
+    want = M.dau(R._flat_df(raw, "session_start", True))
+    got = read_table(spark, table_path(root, "dau"), want.columns)
+    assert rows(got) == rows(want)
