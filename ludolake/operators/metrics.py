@@ -119,7 +119,7 @@ def cohort(first_open: DataFrame, session_start: DataFrame, user_data: DataFrame
     # Members without a version or country on their cohort day are dropped
     # by both consumers (the retention join and the final join with the
     # base), so the warehouse's LEFT join is an inner join on non-NULL info.
-    # Both consumers share this one subtree, so its shuffles run once.
+    # Both consumers read this one subtree; AQE reuses its shuffle stages.
     info = (user_data.filter(F.col(USER).isNotNull() & F.col("version").isNotNull()
                              & F.col("country").isNotNull())
             .select(USER, F.col(DAY).alias("cohort_date"), "version", "country"))
