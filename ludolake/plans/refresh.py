@@ -9,7 +9,11 @@ Three kinds of job, as scheduled upstream:
   once on the driver and append only later days;
 * **lookback refresh** (ours): ``refresh_metrics`` recomputes the last N
   days and replaces just those date partitions, which also repairs late data
-  and later retention days of recent cohorts.
+  and later retention days of recent cohorts; ``refresh_days`` does the same
+  for given raw days across both layers (the streaming job uses it).
+
+Readers: ``warehouse_sources`` (inputs for the metric code),
+``dashboard_slice`` (what a dashboard reads) and ``register_views`` (SQL).
 
 Reruns are safe: an increment after a successful one finds nothing newer than
 the mark, and a refresh rewrites the same partitions with the same rows.
