@@ -77,7 +77,10 @@ def playtime(raw: DataFrame, extra: bool = False) -> DataFrame:
     ``pct_long_sessions``.
     """
     keys = ["version", "date_par", "platform", "country"]
-    rows = (with_params(raw.filter(F.col("event_name").isin(PLAYTIME_EVENTS)),
+    # The key test is a cheap, code-generated pre-filter (a row without the
+    # key has no engagement time); the exact NULL test follows.
+    has_time = F.array_contains(F.col("event_params")["key"], F.lit("engagement_time_msec"))
+    rows = (with_params(raw.filter(F.col("event_name").isin(PLAYTIME_EVENTS) & has_time),
                         [(c, F.col(c)) for c in keys + [USER]]
                         + [("ms", "engagement_time_msec", "int"),
                            ("session_id", "ga_session_id", "int")])
