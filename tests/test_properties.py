@@ -135,3 +135,51 @@ def test_cohort_matches_model(spark, fo, ud, ss):
                 ret.setdefault((d, sd - d, v, c), set()).add(u)
     want = {(day(d), k, v, c): (len(total[(d, v, c)]), len(us)) for (d, k, v, c), us in ret.items()}
     assert got == want
+
+
+ENGAGE = DIMS + ", ga_session_id bigint, engagement_time_msec bigint"
+ADS = DIMS + ", ad_platform string, ad_format string, value double, ad_source string, currency string"
+IAP = (DIMS + ", product_id string, price bigint, currency string, quantity bigint, value bigint, "
+       "event_value_in_usd double")
+dims = st.tuples(users, st.integers(0, 1), st.sampled_from(["1.1", None]))
+
+
+@SETTINGS
+@given(st.lists(dims, min_size=1, max_size=8),
+       st.lists(st.tuples(dims, st.sampled_from(["REWARDED", "INTER", "BANNER", None]),
+                          st.integers(0, 300)), max_size=10),
+       st.lists(st.tuples(dims, st.integers(0, 900)), max_size=6))
+def test_revenue_matches_join_model(spark, eng, ads, iap):
+    """The warehouse shape: distinct engagement rows LEFT JOIN per-format ad
+    sums LEFT JOIN per-user purchase sums, then group; fan-out included."""
+    day = lambda n: D0 + dt.timedelta(days=n)
+    e_df = spark.createDataFrame([(u, day(d), v, "VN", 1, 1) for u, d, v in eng], ENGAGE)
+    a_df = spark.createDataFrame([(u, day(d), v, "VN", "p", f, c / 100, "s", "USD")
+                                  for (u, d, v), f, c in ads], ADS)
+    i_df = spark.createDataFrame([(u, day(d), v, "VN", "x", 1, "USD", 1, 1, c / 100)
+                                  for (u, d, v), c in iap], IAP)
+    for corrected in (False, True):
+        got = {(r.event_date, r.version): (r.iap_rev, r.ads_rev, r.total_user, r.ad_rw_count,
+                                           r.ad_inter_count)
+               for r in M.rev_iap_ads3(e_df, a_df, i_df, corrected=corrected).collect()}
+        e_rows = {(u, d, v) for u, d, v in eng}
+        a_grp, i_grp = {}, {}
+        for (u, d, v), f, c in ads:
+            a_grp[(u, d, v, f)] = a_grp.get((u, d, v, f), 0) + c
+        for (u, d, v), c in iap:
+            i_grp[(u, d, v)] = i_grp.get((u, d, v), 0) + c
+        want = {}
+        for (u, d, v) in e_rows:
+            key = (day(d), v)
+            iap_c, ads_c, users, rw, inter = want.get(key, (0, 0, set(), set(), set()))
+            users.add(u)
+            fmts = [(f, c) for (u2, d2, v2, f), c in a_grp.items()
+                    if v is not None and (u2, d2, v2) == (u, d, v)]
+            paid = i_grp.get((u, d, v), 0) if v is not None else 0
+            iap_c += paid * (1 if corrected else max(1, len(fmts)))
+            ads_c += sum(c for _, c in fmts)
+            rw |= {u for f, _ in fmts if f == "REWARDED"}
+            inter |= {u for f, _ in fmts if f == "INTER"}
+            want[key] = (iap_c, ads_c, users, rw, inter)
+        want = {k: (a / 100, b / 100, len(u), len(r), len(i)) for k, (a, b, u, r, i) in want.items()}
+        assert got == want
