@@ -72,20 +72,10 @@ METRICS: dict[str, MetricSpec] = {s.name: s for s in [
     _spec("drop_rate3", M.drop_rate3, ["start_level"], incremental=False),
 ]}
 
-# Output table of each metric (the corrected revenue metric has the same
-# columns as rev_iap_ads3).
-METRIC_TABLE_COLUMNS = {name: name if name in M.METRIC_COLUMNS else "rev_iap_ads3"
-                        for name in METRICS}
-
-
-def raw_event_names(inputs: list[str]) -> list[str] | None:
-    """Raw event names needed to derive the given inputs (None: all)."""
-    names: set[str] = set()
-    for name in inputs:
-        if name in (RAW, USER_DATA):
-            return None
-        names.add(FLAT_SPECS[name].event)
-    return sorted(names)
+# The column layout (and cluster keys) of each metric's table: the corrected
+# revenue metric has the same columns as rev_iap_ads3.
+METRIC_SHAPE = {name: name if name in M.METRIC_COLUMNS else "rev_iap_ads3"
+                for name in METRICS}
 
 
 def derived_sources(raw: DataFrame, strict: bool = True) -> Sources:

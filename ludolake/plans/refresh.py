@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
                                  flat_view, flatten, flatten_all, user_data)
-from ..schemas import METRIC_CLUSTER, METRIC_COLUMNS
+from ..schemas import METRIC_CLUSTER
 from ..sources.tables import (high_water_mark, read_raw_table, read_table,
                               table_high_water_mark, table_path, write_table)
-from .pipeline import METRICS, RAW, USER_DATA, MetricSpec, Sources
+from .pipeline import METRIC_SHAPE, METRICS, RAW, USER_DATA, MetricSpec, Sources
 
 RAW_TABLE = "raw"
 
@@ -101,10 +101,10 @@ def build_metrics(spark: SparkSession, root: str, metrics: list[str] | None = No
 def _write_metric(spec: MetricSpec, sources: Sources, root: str, mode: str,
                   after=None) -> None:
     df = spec.build(sources, after=after)
-    table = spec.name if spec.name in METRIC_COLUMNS else "rev_iap_ads3"
     # Metric tables are small aggregates: the day rebalance of write_table
     # gives about one file per day.
-    write_table(df, table_path(root, spec.name), METRIC_CLUSTER[table], mode=mode)
+    write_table(df, table_path(root, spec.name), METRIC_CLUSTER[METRIC_SHAPE[spec.name]],
+                mode=mode)
 
 
 # ---------------------------------------------------------------- increments
@@ -195,8 +195,7 @@ def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = N
         path = table_path(root, name)
         mark = table_high_water_mark(spark, path)
         df = metric_increment(spec, sources, None, bootstrap=bootstrap, mark=mark)
-        table = name if name in METRIC_COLUMNS else "rev_iap_ads3"
-        write_table(df, path, METRIC_CLUSTER[table], mode="append")
+        write_table(df, path, METRIC_CLUSTER[METRIC_SHAPE[name]], mode="append")
 
 
 def lookback_start(mark, lookback_days: int):

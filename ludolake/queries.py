@@ -108,9 +108,6 @@ def _incremental_cutoff(name: str) -> str:
     return oracle.COHORT_CUTOFF if name == "cohort" else oracle.INCREMENTAL_CUTOFF
 
 
-FLAT_KEYS = list(FLAT_SPECS) + [USER_DATA]
-
-
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for t in FLAT_SPECS:
