@@ -13,9 +13,10 @@ warm runs, default 3):
 * ``flatten_all``  12 flat tables + ``user_data`` from the raw table;
 * ``<metric>``     each dashboard table from the flat tables (full build);
 * ``append_all``   scheduled increments of all metrics after a cutoff day;
-* ``slice_*``      a dashboard read (one version over a date range) from the
-                   raw table vs. from the metric table; bytes read come from
-                   Spark's event log, not from estimates.
+* ``*slice_*``     dashboard reads (one version over a date range) of
+                   playtime and dau, computed from the raw table vs. read
+                   from the metric table; bytes read come from Spark's event
+                   log, not from estimates.
 
 ``value`` = flatten_all + the sum of the metric builds (one full rebuild).
 Scratch tables go under ``spark.checkpoint.dir`` (a fresh folder per run).
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ludolake import oracle  # noqa: E402
 from ludolake.operators import metrics as M  # noqa: E402
+from ludolake.operators.flatten import flatten  # noqa: E402
 from ludolake.plans import refresh as R  # noqa: E402
 from ludolake.plans.pipeline import METRICS  # noqa: E402
 from ludolake.session import JOB_DEFAULTS, checkpoint_dir, configure  # noqa: E402
@@ -141,21 +143,29 @@ def main() -> None:
                 noop(R.metric_increment(spec, sources, None, mark=mark))
     times["append_all"] = _median(spark, "append_all", append_all, repeat)
 
-    # dashboard read: one version over a date range, from raw vs. metric table
-    R.build_metrics(spark, root, ["playtime"])
+    # dashboard reads: one version over a date range, computed from raw vs.
+    # read from the metric table (playtime reads raw upstream; dau reads a
+    # flat table there, here it is computed from raw for the comparison)
+    R.build_metrics(spark, root, ["playtime", "dau"])
     s = oracle.SLICE
     lo, hi = F.lit(s["start"]).cast("date"), F.lit(s["end"]).cast("date")
-    from_raw = lambda: M.playtime(raw.filter(
-        F.col("date_par").between(lo, hi) & (F.col("version") == s["version"]))).collect()
-    from_table = lambda: R.dashboard_slice(
-        spark, root, "playtime", s["start"], s["end"], version=s["version"]).collect()
-    times["slice_from_raw"] = _median(spark, "slice_from_raw", from_raw, repeat)
-    times["slice_from_table"] = _median(spark, "slice_from_table", from_table, repeat)
+    raw_slice = lambda: raw.filter(
+        F.col("date_par").between(lo, hi) & (F.col("version") == s["version"]))
+    slices = {
+        "slice_from_raw": lambda: M.playtime(raw_slice()).collect(),
+        "slice_from_table": lambda: R.dashboard_slice(
+            spark, root, "playtime", s["start"], s["end"], version=s["version"]).collect(),
+        "dau_slice_from_raw": lambda: M.dau(flatten(raw_slice(), "session_start")).collect(),
+        "dau_slice_from_table": lambda: R.dashboard_slice(
+            spark, root, "dau", s["start"], s["end"], version=s["version"]).collect(),
+    }
+    for label, fn in slices.items():
+        times[label] = _median(spark, label, fn, repeat)
 
     spark.stop()
     got = _bytes_read(event_dir)
     # the slice jobs ran ``repeat`` times under the same description
-    bytes_read = {k: got.get(k, 0) // repeat for k in ("slice_from_raw", "slice_from_table")}
+    bytes_read = {k: got.get(k, 0) // repeat for k in slices}
     value = times["flatten_all"] + sum(times[m] for m in METRICS)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
