@@ -322,23 +322,36 @@ def drop_rate3(start_level: DataFrame) -> DataFrame:
     """User-level continuation: starters of level n who also started n+1.
 
     First start per (day, version, user, level) by ``event_timestamp``
-    (``ROW_NUMBER() = 1`` as a ``min`` aggregation), then a self join on
-    (user, day, version, level + 1). Published in the warehouse only as a
-    disabled query; fully specified, so built.
+    (``ROW_NUMBER() = 1`` as a ``min`` aggregation, partial map-side). The
+    self join on (user, day, version, level + 1) becomes a one-row range
+    frame per (day, version, user): does the same user have level - 1?
+    Each start then counts once for its own level and, when it continues
+    one, once for the level below, in a single aggregation (one scan, no
+    join). Published in the warehouse only as a disabled query; fully
+    specified, so built.
     """
     first = (start_level
              .select(DAY, "version", USER, strict_int("level", "level").alias("level"),
                      "event_timestamp")
              .groupBy(DAY, "version", USER, "level")
              .agg(F.min("event_timestamp").alias("first_ts")))
-    stats = first.groupBy(DAY, "version", "level").agg(F.count(USER).alias("user_start"))
-    nxt = first.select(DAY, "version", USER, "level")
-    prev = first.select(DAY, "version", USER, (F.col("level") + 1).alias("level"))
-    cont = (nxt.join(prev, [DAY, "version", USER, "level"])
-            .groupBy(DAY, "version", (F.col("level") - 1).alias("level"))
-            .agg(F.count(USER).alias("n")))
-    out = (stats.join(cont, [DAY, "version", "level"], "left")
-           .withColumn("user_start_next_level", F.coalesce("n", F.lit(0)).cast("bigint"))
+    w = Window.partitionBy(DAY, "version", USER).orderBy("level").rangeBetween(-1, -1)
+    keys_ok = (F.col(DAY).isNotNull() & F.col("version").isNotNull()
+               & F.col(USER).isNotNull() & F.col("level").isNotNull())
+    flagged = first.withColumn(
+        "continues", F.coalesce(F.when(keys_ok, F.count("*").over(w)), F.lit(0)) > 0)
+    continues = F.col("continues")
+    user = F.when(F.col(USER).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    parts = F.array(
+        F.struct(F.col("level").alias("k"), user.alias("start"), F.lit(0).alias("next")),
+        F.when(continues, F.struct((F.col("level") - 1).alias("k"), F.lit(0).alias("start"),
+                                   F.lit(1).alias("next"))),
+    )
+    out = (flagged.select(DAY, "version", F.explode(parts).alias("c"))
+           .filter(F.col("c").isNotNull())
+           .groupBy(DAY, "version", F.col("c.k").alias("level"))
+           .agg(F.sum("c.start").cast("bigint").alias("user_start"),
+                F.sum("c.next").cast("bigint").alias("user_start_next_level"))
            .withColumn("retention_rate",
                        ratio2(F.col("user_start_next_level") * 100, "user_start")))
     return _out(out, "drop_rate3")
