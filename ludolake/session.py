@@ -7,6 +7,7 @@ The library never builds its own cluster session: jobs take the caller's
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,16 +39,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (a
-    test run) is a fresh local temp folder created and registered.
+    Read from ``spark.checkpoint.dir`` (or what was set on the context). Only
+    a local session that has none, as in tests, gets a temp folder of its own;
+    on a cluster a missing setting is an error, because executors can't see a
+    folder of the driver's machine.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ludolake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(path)
     return path
 
 
