@@ -9,6 +9,8 @@ import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,25 @@ def bucket_count(docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET
 
 def bucket_of(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+
+def _compress(batches):
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        body = [packer.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, pa.field("text", pa.binary()), pa.array(body, pa.binary()))
+
+
+def dealt(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with compressed texts and their bucket,
+    ready to be dealt out: texts are most of what such a shuffle writes."""
+    schema = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}"
+                       for f in docs.schema)
+    return docs.mapInArrow(_compress, schema).withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets))
+
+
+def texts(column: pa.ChunkedArray) -> pa.Array:
+    """The texts of a dealt table, as UTF-8 bytes."""
+    unpacker = zstandard.ZstdDecompressor()
+    return pa.array([unpacker.decompress(x) for x in column.to_pylist()], pa.large_binary())

@@ -51,7 +51,7 @@ from .components import components
 GROUP_SETS = 512
 #: Query sets that one copy of a chunk is opened for.
 QUERY_SETS = 4096
-LOT_BYTES = 16 << 20
+LOT_BYTES = 4 << 20
 
 _SEEDS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 

@@ -5,27 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import ngram_join
+from . import decontaminate, mixing, ngram_join, quality_model, secret_scan
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def all_queries() -> dict[str, Query]:
-    named = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+    named = {f.__name__: f for f in (op1_mixing, op3_quality_model, op6_ngram_jaccard_join,
+                                     op7_decontaminate, op9_secret_scan)}
     return named | {"pipeline": _pipeline}
 
 
 def all_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontaminate": decontaminate.ORACLE}
