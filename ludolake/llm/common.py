@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import math
 import os
 import shutil
 import tempfile
@@ -56,10 +55,16 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
 
 
-def bucket_count(docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Buckets needed so that each holds about ``bucket_bytes`` of text; it
-    grows with the data, so a bucket's size doesn't."""
-    return max(1, math.ceil(text_bytes(docs, text) / bucket_bytes))
+#: Stands for a null id inside the operators; sorts before all others.
+NO_ID = -(1 << 63)
+
+
+def id_in(key: Column) -> Column:
+    return F.coalesce(key.cast("long"), F.lit(NO_ID))
+
+
+def id_out(key: Column) -> Column:
+    return F.when(key != NO_ID, key)
 
 
 def bucket_of(key: Column, n: int) -> Column:

@@ -29,7 +29,8 @@ groups is done in blocks of groups and queries.
 Defined cases: null, empty or whitespace text has an empty set, links with
 nothing, and is its own component. Fewer words than a shingle: the whole
 sequence is one shingle. Rows that repeat a document id are kept, each with
-the component of its own text. Other columns are ignored. Empty table: empty
+the component of its own text. A null id counts as smaller than all others.
+Other columns are ignored. Empty table: empty
 result.
 """
 
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import askshare, wordhash as W
-from .common import bucket_of, cut, text_bytes, BUCKET_BYTES
+from .common import BUCKET_BYTES, bucket_of, cut, id_in, id_out, text_bytes
 from .components import components
 
 #: Sets compared with each other inside one chunk of a group.
@@ -420,7 +421,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     # About one prefix hash for every 14 bytes of text.
     n_parts = max(1, math.ceil(size / 14 / askshare.RANGE_KEYS))
-    dealt = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    dealt = (docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(text).alias("text"))
              .withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets)))
     asked = dealt.groupBy("bucket").applyInArrow(
         lambda t: _ask(t, shingle, percent, n_parts), askshare.ASK_SCHEMA)
@@ -442,14 +443,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
              .select("doc", F.coalesce("root", "comp").alias("component")))
     of_local = member.join(final, "doc").select("local", "component")
     return (rows.select("doc_id", "n", "local").join(of_local, "local", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "local").alias("component_id")))
+            .select(id_out(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+                    id_out(F.coalesce("component", "local")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest
-    id. Rows that repeat that id all stay."""
+    id. Rows that repeat that id all stay, as do rows without an id."""
     found = jaccard_components(docs, doc_id, text, **how)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(kept, doc_id, "left_semi")
+    return docs.join(gone, doc_id, "left_anti")

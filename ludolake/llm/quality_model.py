@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import bucket_of, cut, dealt, text_bytes, texts
+from .common import bucket_of, cut, dealt, id_in, id_out, text_bytes, texts
 
 ORDER = 5
 QUANTILE = 0.995
@@ -249,7 +249,7 @@ def perplexities(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text:
     size = text_bytes(docs, text)
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     n_parts = max(1, math.ceil(size / PART_BYTES))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).alias("lang"),
+    rows = docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(lang).alias("lang"),
                        F.col(text).alias("text"))
     sent = dealt(rows, n_buckets)
     marks = good.withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets))
@@ -263,7 +263,7 @@ def perplexities(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text:
     answers = (asks.groupBy("part").cogroup(known.groupBy("part"))
                .applyInArrow(_answer_part, "bucket int, body binary"))
     scored = cut(sent.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score, _SCORED))
-    return scored.select("doc_id", "lang", "n_bytes", F.when(
+    return scored.select(id_out(F.col("doc_id")).alias("doc_id"), "lang", "n_bytes", F.when(
         F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("cost") / F.col("n_bytes"))).alias("perplexity"))
 
 

@@ -1,4 +1,9 @@
-"""The registered queries of the training-data operators, and their SQL."""
+"""The registered queries of the training-data operators, and their SQL.
+
+Each query runs one operator, with its production parameters, over its whole
+table. Where SQL can't express the operator there is no SQL here; the tests
+hold the query against a brute-force version instead.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, ngram_join, quality_model, secret_scan
-from .common import table
+from . import (decontaminate, fingerprint, language_id, mixing, ngram_join, quality_model, secret_scan,
+               suffix_dedup, url_rules, warc)
+from .common import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +22,24 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    rules = cut(url_rules.mine(url_rules.labelled_urls(pages, table(spark, sf_dir, "labels"))))
+    return url_rules.judge(pages, rules)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -29,20 +49,28 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find(table(spark, sf_dir, "documents")))
 
 
-def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def all_queries() -> dict[str, Query]:
-    named = {f.__name__: f for f in (op1_mixing, op3_quality_model, op6_ngram_jaccard_join,
-                                     op7_decontaminate, op9_secret_scan)}
-    return named | {"pipeline": _pipeline}
+    return {f.__name__: f for f in (
+        op1_mixing, op2_fingerprint, op3_quality_model, op4_url_rules, op5_language_id, op6_ngram_jaccard_join,
+        op7_decontaminate, op8_suffix_dedup, op9_secret_scan, op10_warc, pipeline)}
 
 
 def all_oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": decontaminate.ORACLE}
+    return {"op7_decontaminate": decontaminate.ORACLE, "op10_warc": warc.ORACLE}
