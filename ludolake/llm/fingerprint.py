@@ -149,7 +149,8 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     n = max(1, math.ceil(text_bytes(rows) / BUCKET_BYTES))
     shares = [i / n for i in range(1, n)]
     ends = rows.agg(F.percentile_approx("doc_id", shares, max(10000, 20 * n))).first()[0] if shares else []
-    splits = [-math.inf, *sorted({float(x) for x in ends or []}), math.inf]
+    # (A bucketizer wants one inner end at least.)
+    splits = [-math.inf, *(sorted({float(x) for x in ends or []}) or [0.0]), math.inf]
     # A bucketizer finds the range by binary search, inside the engine.
     parts = Bucketizer(splits=splits, inputCol="at", outputCol="range")
     rows = (parts.transform(rows.withColumn("at", F.col("doc_id").cast("double")))
