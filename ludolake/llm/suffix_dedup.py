@@ -11,9 +11,11 @@ can matter are sorted:
    strings of a run with one anchor form a *segment*, about 18 strings on
    average. Every bucket of documents asks (``askshare``), once for each
    distinct segment, whether its anchor occurs in other documents.
-2. *Sorted runs.* Where all segments of a shared anchor are equal, one suffix
-   stands for the segment; otherwise each of its strings is a suffix of its
-   own. A bucket sorts its distinct suffixes, front-codes them (length of the
+2. *Sorted runs.* A suffix begins at its anchor; what stands before the anchor
+   follows in reverse, so strings of one anchor sort next to each other and
+   share long prefixes. Where all segments of a shared anchor are equal, one
+   suffix stands for the segment; otherwise each of its strings has its own.
+   A bucket sorts its distinct suffixes, front-codes them (length of the
    prefix shared with the one before, and the rest) and deals the run out by
    key ranges.
 3. *Merge.* A range merges its runs with a loser tree that keeps, for every
@@ -24,7 +26,8 @@ can matter are sorted:
    them.
 4. *Removal.* Buckets get those answers for their segments and strings back.
 
-Hashes of segments are 64 bits; the merge compares bytes.
+Hashes of segments are 64 bits (39 of them tell a bucket's segments of one
+anchor from another's); the merge compares bytes.
 
 Defined cases: null text is empty; texts under ``SPAN`` bytes lose nothing;
 rows that repeat an id don't remove each other's bytes; a null id counts as
@@ -49,28 +52,33 @@ from . import askshare, wordhash as W
 from .common import BUCKET_BYTES, cut, dealt, id_in, id_out, text_bytes, texts
 
 SPAN = 50
-KMER = 16
+KMER = 28
 WINDOW = SPAN - KMER + 1
-#: Longest suffix: a segment of one anchor.
-LONGEST = SPAN + WINDOW - 1
+#: Longest key: a segment of one anchor, and a last byte, never zero, that
+#: tells how much of the key stands before the anchor (more for WHOLE).
+LONGEST = SPAN + WINDOW
 #: Text whose suffixes one key range is meant to merge.
 RANGE_BYTES = 16 << 20
 RUN_ROWS = 1 << 18
+#: Text whose segments are found at once: its arrays fit a processor's cache.
+SLICE_BYTES = 1 << 19
 WHOLE, MANY = 127, 128   # a suffix that stands for its segment; one of several documents
 
 _U64 = np.uint64
+_ODD = _U64(0xD6E8FEB86659FD93)
 _HIGH, _LOW = _U64(0xFFFFFFFF00000000), _U64(0xFFFFFFFF)
 
 
 def _piece(data: np.ndarray, first: int, last: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, begin and end of the segments of strings that start in
-    first..last-1 of one stretch of bytes, and their hashes."""
+    """For the strings that start in first..last-1: the k-mers' hashes, each
+    string's anchor, and the prefix sums of the bytes."""
     part = data[first:last + SPAN - 1]
     n = len(part)
     sums = W.prefix_sums(part)
     _, down = W._powers_to(n)
-    kmers = W.mix((sums[KMER:] - sums[:-KMER]) * down[:n - KMER + 1])
-    least = (kmers & _HIGH) | np.arange(len(kmers), dtype=_U64)
+    kmers = (sums[KMER:] - sums[:-KMER]) * down[:n - KMER + 1]
+    # The high bits depend on all bytes; the low ones give way to the place.
+    least = (kmers * _ODD & _HIGH) | np.arange(len(kmers), dtype=_U64)
     width = 1
     while width * 2 <= WINDOW:
         least = np.minimum(least[:-width], least[width:])
@@ -81,12 +89,13 @@ def _piece(data: np.ndarray, first: int, last: int) -> tuple[np.ndarray, ...]:
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Document (index), begin, end, anchor and hash of all segments."""
-    docs, begins, ends, anchors, hashes = [], [], [], [], []
+    """Document (index), begin, end, anchor's hash, own hash and anchor's place
+    of all segments."""
+    docs, begins, ends, anchors, hashes, places = [], [], [], [], [], []
     lengths = np.diff(offsets)
     lo, end = 0, len(data)
     while end - lo >= SPAN:
-        hi = min(end - SPAN + 1, lo + W.SLICE_BYTES)   # string starts lo..hi-1
+        hi = min(end - SPAN + 1, lo + 2 * SLICE_BYTES)   # string starts lo..hi-1
         kmers, anchor, sums = _piece(data, lo, hi)
         # Strings that cross a document's end don't count.
         i, j = np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, hi, "left")
@@ -105,19 +114,21 @@ def _segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         docs.append(np.searchsorted(offsets, begin + lo, "right") - 1)
         begins.append(begin + lo)
         ends.append(stop + lo)
-        anchors.append(kmers[anchor[begin]])
+        anchors.append(W.mix(kmers[anchor[begin]]))
+        places.append(anchor[begin] - begin)
         hashes.append(W.mix(W.span_hash(sums, begin, stop) + (stop - begin).astype(_U64)))
         lo = hi
     if not docs:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U64),) * 2
-    return tuple(np.concatenate(x) for x in (docs, begins, ends, anchors, hashes))
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, _U64), np.zeros(0, _U64), none
+    return tuple(np.concatenate(x) for x in (docs, begins, ends, anchors, hashes, places))
 
 
 def _bucket(docs: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Slices of a bucket: index of the first document, bytes, offsets, ids."""
     ids = docs["doc_id"].to_numpy(zero_copy_only=False)
     data, offsets = W.text_buffer(texts(docs["text"]))
-    for i, j in W.slices(offsets):
+    for i, j in W.slices(offsets, SLICE_BYTES):
         yield i, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], ids[i:j]
 
 
@@ -132,19 +143,23 @@ def _least_most(group: np.ndarray, n: int, ids: np.ndarray) -> tuple[np.ndarray,
 def _ask(docs: pa.Table, n_parts: int) -> pa.Table:
     found = []
     for _, data, offsets, ids in _bucket(docs):
-        doc, _, _, anchor, seg = _segments(data, offsets)
+        doc, _, _, anchor, seg, _ = _segments(data, offsets)
         found.append((anchor, seg, ids[doc]))
     anchor, seg, ids = (np.concatenate(x) for x in zip(*found))
     if not len(anchor):
         return askshare.empty_ask()
-    _, group = np.unique(anchor, return_inverse=True)
-    low_id, high_id = _least_most(group, group.max() + 1, ids)
-    many = (low_id != high_id)[group]
-    order = np.lexsort((seg, anchor))
-    order = order[np.concatenate(([True], (np.diff(anchor[order]) > 0) | (np.diff(seg[order]) > 0)))]
-    anchor, seg, many = anchor[order], seg[order], many[order].astype(np.uint8)
-    return askshare.pack(askshare.part_of(anchor, n_parts), int(docs["bucket"][0].as_py()),
-                         [anchor.astype(np.uint32), seg, many])
+    key = _anchor_ids(anchor, n_parts)
+    order = np.lexsort((seg, key))
+    key, seg, ids = key[order], seg[order], ids[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    first = np.flatnonzero(new)
+    many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+    many = many[np.cumsum(new) - 1].astype(np.uint8)
+    once = new | np.concatenate(([True], seg[1:] != seg[:-1]))
+    key, seg, many = key[once], seg[once], many[once]
+    rest = (seg >> _U64(32)).astype(np.uint8) & np.uint8(127) | (many << np.uint8(7))
+    return askshare.pack((key >> _U64(32)).astype(np.int32), int(docs["bucket"][0].as_py()),
+                         [key.astype(np.uint32), seg.astype(np.uint32), rest])
 
 
 def _anchor_ids(anchor: np.ndarray, n_parts: int) -> np.ndarray:
@@ -154,7 +169,9 @@ def _anchor_ids(anchor: np.ndarray, n_parts: int) -> np.ndarray:
 
 def _answer(asked: pa.Table) -> pa.Table:
     """Shared anchors, for each bucket; the top bit: its segments differ."""
-    buckets, (low, seg, many) = askshare.unpack(asked, [np.uint32, _U64, np.uint8])
+    buckets, (low, seg, rest) = askshare.unpack(asked, [np.uint32, np.uint32, np.uint8])
+    seg = seg.astype(_U64) | ((rest & np.uint8(127)).astype(_U64) << _U64(32))
+    many = rest >> np.uint8(7)
     part = _U64(asked["part"][0].as_py()) << _U64(32)
     order = np.lexsort((buckets, low))
     low, seg, many, buckets = low[order], seg[order], many[order], buckets[order]
@@ -171,80 +188,93 @@ def _answer(asked: pa.Table) -> pa.Table:
 
 # -- 2: sorted, front-coded runs --------------------------------------------------
 
+def _keys(data: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray,
+          code: np.ndarray) -> np.ndarray:
+    """Keys in rows of ``LONGEST`` bytes, filled up with zeros: ``right`` bytes
+    from the anchor on, ``left`` bytes before it in reverse, and the code."""
+    out = np.zeros((len(anchor), LONGEST), np.uint8)
+    column = np.arange(LONGEST)
+    for lo in range(0, len(anchor), 1 << 15):
+        rows = slice(lo, lo + (1 << 15))
+        a, m, n = anchor[rows, None], right[rows, None], (left + right)[rows, None]
+        at = np.where(column < m, a + column, a - 1 - (column - m))
+        out[rows] = np.where(column < n, data[np.clip(at, 0, len(data) - 1)], 0)
+    out[np.arange(len(out)), left + right] = code
+    return out
+
+
 def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
-    """Distinct suffixes of a bucket: lists of bytes, segment hash, place in
-    the segment (with flags) and smallest document."""
+    """Distinct suffixes of a bucket: keys, segment hash, place in the segment
+    (with flags) and smallest document."""
     (told,) = askshare.read_answers(answers, [_U64])
     mixed = (told >> _U64(63)).astype(bool)
     told = told & ~(_U64(1) << _U64(63))
     order = np.argsort(told)
     told, mixed = told[order], mixed[order]
-    hashes, ids, differ, strings = [], [], [], []
-    seen: set[int] = set()
-    if len(told):
-        for _, data, offsets, doc_ids in _bucket(docs):
-            doc, begin, end, anchor, seg = _segments(data, offsets)
-            anchor = _anchor_ids(anchor, n_parts)
-            at = np.searchsorted(told, anchor)
-            at[at == len(told)] = 0
-            held = np.flatnonzero(told[at] == anchor)
-            hashes.append(seg[held])
-            ids.append(doc_ids[doc[held]])
-            _, once = np.unique(seg[held], return_index=True)
-            raw = data.tobytes()
-            for k in held[once].tolist():
-                h = int(seg[k])
-                if h not in seen:
-                    seen.add(h)
-                    differ.append(bool(mixed[at[k]]))
-                    strings.append((h, raw[begin[k]:end[k]]))
-    if not strings:
-        return [], np.zeros(0, _U64), np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    hashes, ids, keys, of, places = [], [], [], [], []
+    seen = np.zeros(0, _U64)
+    for _, data, offsets, doc_ids in (_bucket(docs) if len(told) else ()):
+        doc, begin, end, anchor, seg, place = _segments(data, offsets)
+        anchor = _anchor_ids(anchor, n_parts)
+        at = np.searchsorted(told, anchor)
+        at[at == len(told)] = 0
+        held = np.flatnonzero(told[at] == anchor)
+        hashes.append(seg[held])
+        ids.append(doc_ids[doc[held]])
+        _, once = np.unique(seg[held], return_index=True)
+        once = held[once]
+        once = once[~np.isin(seg[once], seen)]
+        seen = np.concatenate((seen, seg[once]))
+        split = mixed[at[once]]
+        # One suffix for a whole segment, or one for each of its strings.
+        n = np.where(split, end[once] - begin[once] - SPAN + 1, 1)
+        k = np.repeat(once, n)
+        w = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+        whole = ~np.repeat(split, n)
+        left = place[k] - w
+        right = np.where(whole, end[k] - begin[k], SPAN) - left
+        keys.append(_keys(data, begin[k] + place[k], left, right,
+                          (left + 1 + np.where(whole, WHOLE, 0)).astype(np.uint8)))
+        of.append(seg[k])
+        places.append(np.where(whole, WHOLE, w).astype(np.uint8))
+    if not keys or not sum(map(len, of)):
+        return None
     distinct, group = np.unique(np.concatenate(hashes), return_inverse=True)
     low_id, high_id = _least_most(group, len(distinct), np.concatenate(ids))
-    out, of, place = [], [], []
-    for (h, s), split in zip(strings, differ):
-        if split:
-            n = len(s) - SPAN + 1
-            out += [s[o:o + SPAN] for o in range(n)]
-            of += [h] * n
-            place += range(n)
-        else:
-            out.append(s)
-            of.append(h)
-            place.append(WHOLE)
-    of = np.array(of, _U64)
+    of = np.concatenate(of)
     at = np.searchsorted(distinct, of)
-    flags = np.array(place, np.uint8) | np.where(low_id[at] != high_id[at], np.uint8(MANY), np.uint8(0))
-    return out, of, flags, low_id[at]
+    flags = np.concatenate(places) | np.where(low_id[at] != high_id[at], np.uint8(MANY), np.uint8(0))
+    return np.concatenate(keys), of, flags, low_id[at]
 
 
-def _front_code(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """Shared prefix with the string before, length, and the rests in a row."""
-    lengths = np.array([len(s) for s in strings], np.uint8)
-    flat = np.frombuffer(b"".join(s.ljust(LONGEST, b"\0") for s in strings), np.uint8).reshape(-1, LONGEST)
-    differ = flat[1:] != flat[:-1]
-    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), LONGEST)
+def front_code(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Of sorted keys (rows that end at their last byte that isn't zero): the
+    prefix shared with the one before, the length, and the rests in a row."""
+    width = keys.shape[1]
+    lengths = (width - (keys[:, ::-1] != 0).argmax(axis=1)).astype(np.uint8)
+    differ = keys[1:] != keys[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     shared = np.concatenate(([0], np.minimum(shared, np.minimum(lengths[1:], lengths[:-1])))).astype(np.uint8)
-    column = np.arange(LONGEST)
-    rest = flat[(column >= shared[:, None]) & (column < lengths[:, None])]
+    column = np.arange(width)
+    rest = keys[(column >= shared[:, None]) & (column < lengths[:, None])]
     return shared, lengths, rest.tobytes()
 
 
 def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) -> pa.Table:
-    strings, of, flags, ids = _suffixes(docs, answers, n_parts) if docs.num_rows else ([], None, None, None)
-    if not strings:
+    found = _suffixes(docs, answers, n_parts) if docs.num_rows else None
+    if found is None:
         return askshare.empty_ask()
-    order = sorted(range(len(strings)), key=strings.__getitem__)
-    strings = [strings[i] for i in order]
-    of, flags, ids = of[order], flags[order], ids[order]
-    cuts = [0, *(bisect_left(strings, e) for e in ends), len(strings)]
+    keys, of, flags, ids = found
+    text = keys.view(f"S{LONGEST}")[:, 0]
+    order = np.argsort(text)
+    keys, text, of, flags, ids = keys[order], text[order], of[order], flags[order], ids[order]
+    cuts = [0, *np.searchsorted(text, np.array(ends, text.dtype)).tolist(), len(text)]
     packer = zstandard.ZstdCompressor(level=1)
     rows = []
     for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         for lo in range(a, b, RUN_ROWS):
             hi = min(b, lo + RUN_ROWS)
-            shared, lengths, rest = _front_code(strings[lo:hi])
+            shared, lengths, rest = front_code(keys[lo:hi])
             body = b"".join(x[lo:hi].tobytes() for x in (of, ids, flags))
             rows.append((p, hi - lo, packer.compress(body + shared.tobytes() + lengths.tobytes() + rest)))
     parts, n, body = zip(*rows)
@@ -314,21 +344,29 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int, bool]]:
         return
     winner, shared = first(1)
     last = -1
-    while runs[winner].head is not None:
+    heads = [run.head for run in runs]
+    while heads[winner] is not None:
         run = runs[winner]
-        n = len(run.head)
+        n = len(heads[winner])
         yield winner, run.i, shared == n == last
         last = n
         run.step()
-        head, shared = run.head, run.shared
+        head = heads[winner] = run.head
+        shared = run.shared
         node = (winner + k) >> 1
         while node:
-            other = loser[node]
-            won, kept = _beats(head, shared, runs[other].head, known[node])
-            if won:
-                known[node] = kept
-            else:
-                loser[node], winner, head, shared, known[node] = winner, other, runs[other].head, known[node], kept
+            # ``_beats`` at full length: this is the inner loop.
+            near = known[node]
+            if shared < near:
+                loser[node], winner, known[node], shared = winner, loser[node], shared, near
+                head = heads[winner]
+            elif shared == near and shared >= 0:
+                won, kept = _beats(head, shared, heads[loser[node]], near)
+                if won:
+                    known[node] = kept
+                else:
+                    loser[node], winner, known[node] = winner, loser[node], kept
+                    head = heads[winner]
             node >>= 1
 
 
@@ -370,7 +408,7 @@ def _remove(docs: pa.Table, answers: pa.Table, texts_too: bool) -> pa.Table:
     order = np.argsort(of, kind="stable")
     of, least, place = of[order], least[order], place[order].astype(np.int64)
     for _, data, offsets, ids in (_bucket(docs) if docs.num_rows else ()):
-        doc, begin, end, _, seg = _segments(data, offsets)
+        doc, begin, end, _, seg, _ = _segments(data, offsets)
         lo, hi = np.searchsorted(of, seg, "left"), np.searchsorted(of, seg, "right")
         n = hi - lo
         which = np.repeat(np.arange(len(seg)), n)
