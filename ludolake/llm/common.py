@@ -72,7 +72,7 @@ def bucket_of(key: Column, n: int) -> Column:
 
 
 def _compress(batches):
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         body = [packer.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
         at = batch.schema.get_field_index("text")

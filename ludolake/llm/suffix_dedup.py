@@ -269,14 +269,21 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
     order = np.argsort(text)
     keys, text, of, flags, ids = keys[order], text[order], of[order], flags[order], ids[order]
     cuts = [0, *np.searchsorted(text, np.array(ends, text.dtype)).tolist(), len(text)]
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     rows = []
     for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
         for lo in range(a, b, RUN_ROWS):
             hi = min(b, lo + RUN_ROWS)
             shared, lengths, rest = front_code(keys[lo:hi])
-            body = b"".join(x[lo:hi].tobytes() for x in (of, ids, flags))
-            rows.append((p, hi - lo, packer.compress(body + shared.tobytes() + lengths.tobytes() + rest)))
+            # What belongs to a segment is sent once for all of its strings.
+            segs, at, index = np.unique(of[lo:hi], return_index=True, return_inverse=True)
+            seen = np.argsort(at)
+            rank = np.empty(len(seen), np.uint32)
+            rank[seen] = np.arange(len(seen), dtype=np.uint32)
+            at = at[seen] + lo
+            body = [np.array([len(segs)]), segs[seen], ids[at], flags[at] & np.uint8(MANY), rank[index],
+                    flags[lo:hi] & np.uint8(WHOLE), shared, lengths]
+            rows.append((p, hi - lo, packer.compress(b"".join([*(x.tobytes() for x in body), rest]))))
     parts, n, body = zip(*rows)
     bucket = int(docs["bucket"][0].as_py())
     return pa.table({"part": pa.array(parts, pa.int32()), "bucket": pa.array([bucket] * len(n), pa.int32()),
@@ -375,12 +382,15 @@ def _merge_range(rows: pa.Table) -> pa.Table:
     runs, of, flags, ids = [], [], [], []
     for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist()):
         body = unpacker.decompress(body)
-        of.append(np.frombuffer(body, _U64, n))
-        ids.append(np.frombuffer(body, np.int64, n, 8 * n))
-        flags.append(np.frombuffer(body, np.uint8, n, 16 * n))
-        shared = np.frombuffer(body, np.uint8, n, 17 * n).tolist()
-        lengths = np.frombuffer(body, np.uint8, n, 18 * n).tolist()
-        runs.append(Run(shared, lengths, body[19 * n:]))
+        m = int(np.frombuffer(body, np.int64, 1)[0])
+        index = np.frombuffer(body, np.uint32, n, 8 + 17 * m)
+        of.append(np.frombuffer(body, _U64, m, 8)[index])
+        ids.append(np.frombuffer(body, np.int64, m, 8 + 8 * m)[index])
+        at = 8 + 17 * m + 4 * n
+        flags.append(np.frombuffer(body, np.uint8, m, 8 + 16 * m)[index] | np.frombuffer(body, np.uint8, n, at))
+        shared = np.frombuffer(body, np.uint8, n, at + n).tolist()
+        lengths = np.frombuffer(body, np.uint8, n, at + 2 * n).tolist()
+        runs.append(Run(shared, lengths, body[at + 3 * n:]))
     begin = np.concatenate(([0], np.cumsum([len(x) for x in of])))
     starts = begin.tolist()
     order, equal = [], []
@@ -394,7 +404,20 @@ def _merge_range(rows: pa.Table) -> pa.Table:
     size = np.diff(np.concatenate((first, [len(order)])))
     least = np.repeat(np.minimum.reduceat(ids, first), size)
     tell = (np.repeat(size, size) > 1) | (flags >= MANY)
-    return askshare.answer(buckets[tell], [of[tell], least[tell], flags[tell] & np.uint8(WHOLE)])
+    # Neighbouring strings of a segment with one smallest document go together.
+    place = flags & np.uint8(WHOLE)
+    order = np.flatnonzero(tell)
+    order = order[np.lexsort((place[order], of[order], buckets[order]))]
+    buckets, of, least, place = buckets[order], of[order], least[order], place[order].astype(np.int64)
+    if not len(order):
+        return askshare.answer(buckets, [of, least, place.astype(np.uint8), place.astype(np.uint8)])
+    new = np.ones(len(order), bool)
+    new[1:] = ((buckets[1:] != buckets[:-1]) | (of[1:] != of[:-1]) | (least[1:] != least[:-1])
+               | (place[1:] != place[:-1] + 1))
+    first = np.flatnonzero(new)
+    last = np.concatenate((first[1:], [len(order)])) - 1
+    return askshare.answer(buckets[first], [of[first], least[first], place[first].astype(np.uint8),
+                                            place[last].astype(np.uint8)])
 
 
 # -- 4: removal -----------------------------------------------------------------------
@@ -404,9 +427,10 @@ _SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 def _remove(docs: pa.Table, answers: pa.Table, texts_too: bool) -> pa.Table:
     out = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
-    of, least, place = askshare.read_answers(answers, [_U64, np.int64, np.uint8])
+    of, least, first, last = askshare.read_answers(answers, [_U64, np.int64, np.uint8, np.uint8])
     order = np.argsort(of, kind="stable")
-    of, least, place = of[order], least[order], place[order].astype(np.int64)
+    of, least = of[order], least[order]
+    first, last = first[order].astype(np.int64), last[order].astype(np.int64)
     for _, data, offsets, ids in (_bucket(docs) if docs.num_rows else ()):
         doc, begin, end, _, seg, _ = _segments(data, offsets)
         lo, hi = np.searchsorted(of, seg, "left"), np.searchsorted(of, seg, "right")
@@ -415,9 +439,9 @@ def _remove(docs: pa.Table, answers: pa.Table, texts_too: bool) -> pa.Table:
         told = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         later = ids[doc[which]] > least[told]
         which, told = which[later], told[later]
-        whole = place[told] == WHOLE
-        a = begin[which] + np.where(whole, 0, place[told])
-        b = np.where(whole, end[which], a + SPAN)
+        whole = first[told] == WHOLE
+        a = begin[which] + np.where(whole, 0, first[told])
+        b = np.where(whole, end[which], begin[which] + last[told] + SPAN)
         cover = np.bincount(a, minlength=len(data) + 1) - np.bincount(b, minlength=len(data) + 1)
         gone = np.cumsum(cover[:-1]) > 0
         total = np.concatenate(([0], np.cumsum(gone)))
