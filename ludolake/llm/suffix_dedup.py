@@ -15,9 +15,10 @@ can matter are sorted:
    follows in reverse, so strings of one anchor sort next to each other and
    share long prefixes. Where all segments of a shared anchor are equal, one
    suffix stands for the segment; otherwise each of its strings has its own.
-   A bucket sorts its distinct suffixes, front-codes them (length of the
+   A bucket sorts its distinct segments, front-codes them (length of the
    prefix shared with the one before, and the rest) and deals the run out by
-   key ranges.
+   key ranges; a range makes and sorts the strings of those that differ. (The
+   strings of an anchor never part: range ends are shorter than an anchor.)
 3. *Merge.* A range merges its runs with a loser tree that keeps, for every
    loser, the prefix length it shares with the last suffix put out. The longer
    one wins without a look at the bytes; on a tie the comparison goes on after
@@ -62,7 +63,8 @@ RANGE_BYTES = 16 << 20
 RUN_ROWS = 1 << 18
 #: Text whose segments are found at once: its arrays fit a processor's cache.
 SLICE_BYTES = 1 << 19
-WHOLE, MANY = 127, 128   # a suffix that stands for its segment; one of several documents
+WHOLE = 127               # the place of a suffix that stands for its segment
+MIXED, MANY = 1, 128      # flags: a segment sorted by its strings; one of several documents
 
 _U64 = np.uint64
 _ODD = _U64(0xD6E8FEB86659FD93)
@@ -188,30 +190,31 @@ def _answer(asked: pa.Table) -> pa.Table:
 
 # -- 2: sorted, front-coded runs --------------------------------------------------
 
-def _keys(data: np.ndarray, anchor: np.ndarray, left: np.ndarray, right: np.ndarray,
-          code: np.ndarray) -> np.ndarray:
+def _keys(source: np.ndarray, right_at: np.ndarray, right: np.ndarray, left_at: np.ndarray, step: int,
+          left: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Keys in rows of ``LONGEST`` bytes, filled up with zeros: ``right`` bytes
-    from the anchor on, ``left`` bytes before it in reverse, and the code."""
-    out = np.zeros((len(anchor), LONGEST), np.uint8)
+    from ``right_at`` on, ``left`` bytes from ``left_at`` on by ``step``, and
+    the code."""
+    out = np.zeros((len(right), LONGEST), np.uint8)
     column = np.arange(LONGEST)
-    for lo in range(0, len(anchor), 1 << 15):
+    for lo in range(0, len(out), 1 << 15):
         rows = slice(lo, lo + (1 << 15))
-        a, m, n = anchor[rows, None], right[rows, None], (left + right)[rows, None]
-        at = np.where(column < m, a + column, a - 1 - (column - m))
-        out[rows] = np.where(column < n, data[np.clip(at, 0, len(data) - 1)], 0)
+        m, n = right[rows, None], (left + right)[rows, None]
+        at = np.where(column < m, right_at[rows, None] + column, left_at[rows, None] + step * (column - m))
+        out[rows] = np.where(column < n, source[np.clip(at, 0, len(source) - 1)], 0)
     out[np.arange(len(out)), left + right] = code
     return out
 
 
 def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
-    """Distinct suffixes of a bucket: keys, segment hash, place in the segment
-    (with flags) and smallest document."""
+    """Distinct shared segments of a bucket: key, hash, flags, bytes before
+    the anchor and smallest document."""
     (told,) = askshare.read_answers(answers, [_U64])
     mixed = (told >> _U64(63)).astype(bool)
     told = told & ~(_U64(1) << _U64(63))
     order = np.argsort(told)
     told, mixed = told[order], mixed[order]
-    hashes, ids, keys, of, places = [], [], [], [], []
+    hashes, ids, keys, of, flags, lefts = [], [], [], [], [], []
     seen = np.zeros(0, _U64)
     for _, data, offsets, doc_ids in (_bucket(docs) if len(told) else ()):
         doc, begin, end, anchor, seg, place = _segments(data, offsets)
@@ -225,26 +228,20 @@ def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
         once = held[once]
         once = once[~np.isin(seg[once], seen)]
         seen = np.concatenate((seen, seg[once]))
-        split = mixed[at[once]]
-        # One suffix for a whole segment, or one for each of its strings.
-        n = np.where(split, end[once] - begin[once] - SPAN + 1, 1)
-        k = np.repeat(once, n)
-        w = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
-        whole = ~np.repeat(split, n)
-        left = place[k] - w
-        right = np.where(whole, end[k] - begin[k], SPAN) - left
-        keys.append(_keys(data, begin[k] + place[k], left, right,
-                          (left + 1 + np.where(whole, WHOLE, 0)).astype(np.uint8)))
-        of.append(seg[k])
-        places.append(np.where(whole, WHOLE, w).astype(np.uint8))
+        left, middle = place[once], begin[once] + place[once]
+        keys.append(_keys(data, middle, end[once] - middle, middle - 1, -1, left,
+                          (left + 1 + WHOLE).astype(np.uint8)))
+        of.append(seg[once])
+        flags.append(np.where(mixed[at[once]], np.uint8(MIXED), np.uint8(0)))
+        lefts.append(left.astype(np.uint8))
     if not keys or not sum(map(len, of)):
         return None
     distinct, group = np.unique(np.concatenate(hashes), return_inverse=True)
     low_id, high_id = _least_most(group, len(distinct), np.concatenate(ids))
     of = np.concatenate(of)
     at = np.searchsorted(distinct, of)
-    flags = np.concatenate(places) | np.where(low_id[at] != high_id[at], np.uint8(MANY), np.uint8(0))
-    return np.concatenate(keys), of, flags, low_id[at]
+    flags = np.concatenate(flags) | np.where(low_id[at] != high_id[at], np.uint8(MANY), np.uint8(0))
+    return np.concatenate(keys), of, flags, np.concatenate(lefts), low_id[at]
 
 
 def front_code(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -264,10 +261,10 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
     found = _suffixes(docs, answers, n_parts) if docs.num_rows else None
     if found is None:
         return askshare.empty_ask()
-    keys, of, flags, ids = found
+    keys, of, flags, left, ids = found
     text = keys.view(f"S{LONGEST}")[:, 0]
     order = np.argsort(text)
-    keys, text, of, flags, ids = keys[order], text[order], of[order], flags[order], ids[order]
+    keys, text, of, flags, left, ids = (x[order] for x in (keys, text, of, flags, left, ids))
     cuts = [0, *np.searchsorted(text, np.array(ends, text.dtype)).tolist(), len(text)]
     packer = zstandard.ZstdCompressor(level=3)
     rows = []
@@ -275,14 +272,7 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
         for lo in range(a, b, RUN_ROWS):
             hi = min(b, lo + RUN_ROWS)
             shared, lengths, rest = front_code(keys[lo:hi])
-            # What belongs to a segment is sent once for all of its strings.
-            segs, at, index = np.unique(of[lo:hi], return_index=True, return_inverse=True)
-            seen = np.argsort(at)
-            rank = np.empty(len(seen), np.uint32)
-            rank[seen] = np.arange(len(seen), dtype=np.uint32)
-            at = at[seen] + lo
-            body = [np.array([len(segs)]), segs[seen], ids[at], flags[at] & np.uint8(MANY), rank[index],
-                    flags[lo:hi] & np.uint8(WHOLE), shared, lengths]
+            body = [of[lo:hi], ids[lo:hi], flags[lo:hi], left[lo:hi], shared, lengths]
             rows.append((p, hi - lo, packer.compress(b"".join([*(x.tobytes() for x in body), rest]))))
     parts, n, body = zip(*rows)
     bucket = int(docs["bucket"][0].as_py())
@@ -377,20 +367,45 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int, bool]]:
             node >>= 1
 
 
+def _decode(shared: np.ndarray, lengths: np.ndarray, rest: bytes) -> np.ndarray:
+    """Keys of a front-coded run, in rows."""
+    run, out = Run(shared.tolist(), lengths.tolist(), rest), []
+    while run.head is not None:
+        out.append(run.head.ljust(LONGEST, b"\0"))
+        run.step()
+    return np.frombuffer(b"".join(out), np.uint8).reshape(-1, LONGEST)
+
+
+def _open_run(n: int, body: bytes) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted run of a row's suffixes, with the hash, smallest document,
+    several-documents flag and place of each."""
+    of, ids = np.frombuffer(body, _U64, n), np.frombuffer(body, np.int64, n, 8 * n)
+    flags, left, shared, lengths = (np.frombuffer(body, np.uint8, n, (16 + i) * n) for i in range(4))
+    keys = _decode(shared, lengths, body[20 * n:])
+    split = (flags & np.uint8(MIXED)) > 0
+    before = left.astype(np.int64)
+    right = lengths.astype(np.int64) - 1 - before
+    count = np.where(split, before + right - SPAN + 1, 0)
+    seg = np.repeat(np.arange(n), count)
+    w = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+    m = before[seg] - w
+    strings = _keys(keys.reshape(-1), seg * LONGEST, SPAN - m, seg * LONGEST + right[seg], 1, m,
+                    (m + 1).astype(np.uint8))
+    whole = np.flatnonzero(~split)
+    keys = np.concatenate((keys[whole], strings))
+    seg = np.concatenate((whole, seg))
+    place = np.concatenate((np.full(len(whole), WHOLE), w)).astype(np.uint8)
+    order = np.argsort(keys.view(f"S{LONGEST}")[:, 0])
+    seg, place = seg[order], place[order]
+    shared, lengths, rest = front_code(keys[order])
+    return Run(shared.tolist(), lengths.tolist(), rest), of[seg], ids[seg], flags[seg] >= MANY, place
+
+
 def _merge_range(rows: pa.Table) -> pa.Table:
     unpacker = zstandard.ZstdDecompressor()
-    runs, of, flags, ids = [], [], [], []
-    for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist()):
-        body = unpacker.decompress(body)
-        m = int(np.frombuffer(body, np.int64, 1)[0])
-        index = np.frombuffer(body, np.uint32, n, 8 + 17 * m)
-        of.append(np.frombuffer(body, _U64, m, 8)[index])
-        ids.append(np.frombuffer(body, np.int64, m, 8 + 8 * m)[index])
-        at = 8 + 17 * m + 4 * n
-        flags.append(np.frombuffer(body, np.uint8, m, 8 + 16 * m)[index] | np.frombuffer(body, np.uint8, n, at))
-        shared = np.frombuffer(body, np.uint8, n, at + n).tolist()
-        lengths = np.frombuffer(body, np.uint8, n, at + 2 * n).tolist()
-        runs.append(Run(shared, lengths, body[at + 3 * n:]))
+    opened = [_open_run(n, unpacker.decompress(body))
+              for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist())]
+    runs, of, ids, many, place = zip(*opened)
     begin = np.concatenate(([0], np.cumsum([len(x) for x in of])))
     starts = begin.tolist()
     order, equal = [], []
@@ -399,13 +414,12 @@ def _merge_range(rows: pa.Table) -> pa.Table:
         equal.append(same)
     order = np.array(order, np.int64)
     first = np.flatnonzero(~np.array(equal, bool))
-    of, flags, ids = (np.concatenate(x)[order] for x in (of, flags, ids))
+    of, ids, many, place = (np.concatenate(x)[order] for x in (of, ids, many, place))
     buckets = np.repeat(rows["bucket"].to_numpy(), np.diff(begin))[order]
     size = np.diff(np.concatenate((first, [len(order)])))
     least = np.repeat(np.minimum.reduceat(ids, first), size)
-    tell = (np.repeat(size, size) > 1) | (flags >= MANY)
+    tell = (np.repeat(size, size) > 1) | many
     # Neighbouring strings of a segment with one smallest document go together.
-    place = flags & np.uint8(WHOLE)
     order = np.flatnonzero(tell)
     order = order[np.lexsort((place[order], of[order], buckets[order]))]
     buckets, of, least, place = buckets[order], of[order], least[order], place[order].astype(np.int64)
@@ -473,7 +487,7 @@ def _range_ends(rows: DataFrame, n_rows: int, n_ranges: int) -> list[bytes]:
     place = F.expr("cast(1 + pmod(xxhash64(doc_id), greatest(1, length(text) - 60)) AS int)")
     sample = (rows.filter("octet_length(text) >= 60").sample(min(1.0, wanted / n_rows), seed=1)
               .select(F.substring("text", place, F.lit(24)).alias("s")))
-    found = sorted(r["s"].encode() for r in sample.collect())
+    found = sorted(r["s"].encode()[:KMER - 4] for r in sample.collect())
     return sorted({found[len(found) * i // n_ranges] for i in range(1, n_ranges)}) if found else []
 
 
