@@ -8,29 +8,35 @@ never grows, and nothing but a checksum reaches the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
 
+EDGES_PER_TASK = 200_000
+
 
 def _least(both: DataFrame) -> DataFrame:
     return both.groupBy("u").agg(F.min("v").alias("m"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.explode(F.array(
+        F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
     least = _least(both).select("u", F.least("u", "m").alias("m"))
     return (both.join(least, "u").filter(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     # Every edge points from the larger node to the smaller one here.
     joined = edges.join(_least(edges), "u")
-    return (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(joined.select("u", F.col("m").alias("v")))
-            .filter("u <> v").distinct())
+    return (joined.select(F.explode(F.array(
+        F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+        F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e"))
+        .select("e.u", "e.v").filter("u <> v").distinct())
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -46,6 +52,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 .select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
     seen = _checksum(edges)
     while seen[0]:
+        # As many tasks as the edges need: late rounds are small.
+        edges = edges.coalesce(max(1, math.ceil(seen[0] / EDGES_PER_TASK)))
         edges = cut(_small_star(_large_star(edges)))
         now = _checksum(edges)
         if now == seen:

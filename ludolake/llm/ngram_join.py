@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import askshare, wordhash as W
-from .common import BUCKET_BYTES, bucket_of, cut, id_in, id_out, text_bytes
+from .common import BUCKET_BYTES, bucket_of, cut, dealt, id_in, id_out, text_bytes, texts
 from .components import components
 
 #: Sets compared with each other inside one chunk of a group.
@@ -87,7 +87,7 @@ class _Bucket:
 
     def __init__(self, docs: pa.Table, shingle: int):
         self.ids = docs["doc_id"].to_numpy(zero_copy_only=False)
-        data, offsets = W.text_buffer(docs["text"])
+        data, offsets = W.text_buffer(texts(docs["text"]))
         self.sets: list[np.ndarray] = []
         self.owner: list[int] = []          # smallest document id of each set
         self.rows = np.full(len(self.ids), -1)   # set of each document
@@ -369,11 +369,11 @@ def _link_across(sets: DataFrame, percent: int) -> DataFrame:
     size = _body_bytes(sets)
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     n_parts = max(1, math.ceil(size / 8 / askshare.RANGE_KEYS))
-    dealt = sets.select("doc", "comp", "body").withColumn("bucket", bucket_of(F.col("doc"), n_buckets))
-    asked = dealt.groupBy("bucket").applyInArrow(
+    sent = sets.select("doc", "comp", "body").withColumn("bucket", bucket_of(F.col("doc"), n_buckets))
+    asked = sent.groupBy("bucket").applyInArrow(
         lambda t: _ask_components(t, n_parts), askshare.ASK_SCHEMA)
     answers = asked.groupBy("part").applyInArrow(_answer_components, askshare.ANSWER_SCHEMA)
-    open_sets = (dealt.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+    open_sets = (sent.groupBy("bucket").cogroup(answers.groupBy("bucket"))
                  .applyInArrow(lambda s, a: _candidates(s, a, percent, n_parts),
                                "doc long, tokens array<long>"))
     open_sets = cut(open_sets)
@@ -421,12 +421,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     # About one prefix hash for every 14 bytes of text.
     n_parts = max(1, math.ceil(size / 14 / askshare.RANGE_KEYS))
-    dealt = (docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(text).alias("text"))
-             .withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets)))
-    asked = dealt.groupBy("bucket").applyInArrow(
+    sent = dealt(docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(text).alias("text")), n_buckets)
+    asked = sent.groupBy("bucket").applyInArrow(
         lambda t: _ask(t, shingle, percent, n_parts), askshare.ASK_SCHEMA)
     answers = asked.groupBy("part").applyInArrow(_answer, askshare.ANSWER_SCHEMA)
-    rows = cut(dealt.groupBy("bucket").cogroup(answers.groupBy("bucket"))
+    rows = cut(sent.groupBy("bucket").cogroup(answers.groupBy("bucket"))
                .applyInArrow(lambda d, a: _sets(d, a, shingle, percent, n_parts), _SETS_SCHEMA))
     held = rows.filter("body is not null")
     classes = held.groupBy("digest").agg(F.min("local").alias("doc"))
