@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import safe_int, strict_int
-from ..functions.exact import money, ratio2
+from ..functions.exact import COUNT_FACTOR, MONEY_ADDEND, MONEY_FACTOR, money, ratio2
 from ..functions.params import with_params
 from ..schemas import METRIC_COLUMNS
 
@@ -215,8 +215,9 @@ def rev_iap_ads3(user_engagement: DataFrame, ad_impression: DataFrame,
     """
     iap = in_app_purchase.groupBy(*_UDVC).agg(F.sum(money("event_value_in_usd")).alias("iap"))
     j = _reach(_engaged(user_engagement), _ads_per_user(ad_impression)).join(iap, _UDVC, "left")
-    iap_term = F.col("iap") if corrected else F.col("iap") * F.coalesce("n_formats", F.lit(1))
-    zero = F.lit(0).cast("decimal(38,9)")
+    iap_term = F.col("iap") if corrected else (
+        F.col("iap").cast(MONEY_FACTOR) * F.coalesce("n_formats", F.lit(1)).cast(COUNT_FACTOR))
+    zero = F.lit(0).cast("decimal(38,12)")
     agg = j.groupBy(DAY, "version", "country").agg(
         F.count(USER).alias("total_user"),
         F.sum(F.coalesce("rw", F.lit(0))).cast("bigint").alias("ad_rw_count"),
@@ -228,7 +229,7 @@ def rev_iap_ads3(user_engagement: DataFrame, ad_impression: DataFrame,
         DAY, "version", "country",
         F.col("iap_dec").cast("double").alias("iap_rev"),
         F.col("ads_dec").cast("double").alias("ads_rev"),
-        (F.col("iap_dec") + F.col("ads_dec")).cast("double").alias("total_revenue"),
+        (F.col("iap_dec").cast(MONEY_ADDEND) + F.col("ads_dec").cast(MONEY_ADDEND)).cast("double").alias("total_revenue"),
         "total_user", "ad_rw_count", "ad_inter_count",
     )
     return _out(out, "rev_iap_ads3")

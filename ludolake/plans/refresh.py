@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..operators.flatten import (FLAT_EVENTS, FLAT_SPECS, USER_DATA_COLUMNS, WIDE_SORT,
                                  flat_view, flatten, flatten_all, user_data)
 from ..schemas import METRIC_CLUSTER
-from ..sources.tables import (high_water_mark, read_raw_table, read_table,
+from ..sources.tables import (high_water_mark, read_raw_table, read_table, table_exists,
                               table_high_water_mark, table_path, write_table)
 from .pipeline import METRIC_SHAPE, METRICS, RAW, USER_DATA, MetricSpec, Sources
 
@@ -151,13 +151,15 @@ def flat_marks(spark: SparkSession, root: str) -> dict[str, object]:
 
 
 def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "target",
-                strict: bool = True) -> None:
+                strict: bool = True, bootstrap: bool = False) -> list[str]:
     """Append new days to the flat layer in one pass over raw.
 
     Each flat table keeps its own mark: an event kind's rows are appended
-    only for days after that kind's latest day (a kind with no rows yet gets
-    none, like an empty target upstream). ``hwm="source"`` reproduces the
-    upstream script, which compares raw with its own maximum: no rows.
+    only for days after that kind's latest day. A kind with no rows yet gets
+    none, like an empty target upstream, unless ``bootstrap`` is set, which
+    loads all of its days. The kinds left out for that reason are returned.
+    ``hwm="source"`` reproduces the upstream script, which compares raw with
+    its own maximum: no rows.
     """
     if hwm == "source":
         marks = {spec.event: high_water_mark(raw, "date_par") for spec in FLAT_SPECS.values()}
@@ -171,7 +173,11 @@ def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "targ
             keep = keep | ((F.col("event_name") == F.lit(event))
                            & (F.col("date_par") > F.lit(mark)))
     known = [m for m in marks.values() if m is not None]
-    if known:
+    without = sorted({spec.event for spec in FLAT_SPECS.values()} - {e for e, m in marks.items() if m is not None})
+    if bootstrap and hwm == "target":
+        keep = keep | F.col("event_name").isin(without)
+        without = []
+    elif known:
         # The earliest mark as a plain day predicate: partition pruning on
         # raw does not depend on splitting the per-event disjunction.
         keep = keep & (F.col("date_par") > F.lit(min(known)))
@@ -182,8 +188,12 @@ def append_flat(spark: SparkSession, raw: DataFrame, root: str, hwm: str = "targ
         inc = flat_increment(raw, USER_DATA, None, hwm="source")
     else:
         mark = table_high_water_mark(spark, path)
-        inc = user_data(raw.filter(F.lit(mark is not None) & (F.col("date_par") > F.lit(mark))))
+        if mark is None and bootstrap:
+            inc = user_data(raw)
+        else:
+            inc = user_data(raw.filter(F.lit(mark is not None) & (F.col("date_par") > F.lit(mark))))
     write_table(inc, path, mode="append")
+    return without
 
 
 def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = None,
@@ -263,16 +273,12 @@ def register_views(spark: SparkSession, root: str, raw: DataFrame | None = None)
     sources = warehouse_sources(spark, root, raw)
     names = []
     for name in list(FLAT_SPECS) + [USER_DATA]:
-        try:
+        if table_exists(spark, table_path(root, USER_DATA if name == USER_DATA else FLAT_EVENTS)):
             sources(name).createOrReplaceTempView(name)
             names.append(name)
-        except Exception:  # table not built yet
-            continue
     for name in METRICS:
         path = table_path(root, name)
-        try:
+        if table_exists(spark, path):
             read_table(spark, path).createOrReplaceTempView(name)
             names.append(name)
-        except Exception:
-            continue
     return names

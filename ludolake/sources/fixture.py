@@ -39,22 +39,9 @@ ALL_EVENTS = (
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table, spread over the cluster's cores.
-
-    A test table can be a single Parquet row group (one scan task); every
-    raw event is derived row-wise, so the rows are hash-distributed on
-    ``event_id`` first when the scan has fewer splits than there are cores.
-    A large input keeps its scan parallelism and gets no shuffle.
-    """
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: keep the scan as is
-        return df
-    if splits < cores:
-        df = df.repartition(cores, "event_id")
-    return df
+    """The ``events`` table. Every raw event is derived row by row, so the
+    scan's splits (``spark.sql.files.*`` of the session) are kept."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _p(key: str, slot: str, value: Column) -> Column:

@@ -95,34 +95,37 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def partition_values(df: DataFrame, cols: list[str]) -> set[tuple]:
-    """Distinct values of partition columns, from the file listing the
-    relation already holds (no job). Only for tables written by this
-    package (``col=value`` directories)."""
-    out = set()
-    for f in df.inputFiles():
-        parts = dict(seg.split("=", 1) for seg in f.split("/") if "=" in seg)
-        if all(c in parts for c in cols):
-            out.add(tuple(unquote(parts[c]) for c in cols))
-    return out
+#: Spark's name for the partition of a NULL value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_values(spark: SparkSession, path: str, cols: list[str]) -> set[tuple]:
+    """Distinct values of the partition columns of a table written by this
+    package, from its ``col=value`` directories, one level for each column.
+    The listing grows with the partitions, not with the files; the partition
+    of NULL is left out, as ``max`` ignores NULL."""
+    jvm, found = spark._jvm, {(): path}
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for col in cols:
+        below = {}
+        for values, folder in found.items():
+            for entry in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, f"{col}=*")) or ():
+                value = entry.getPath().getName().split("=", 1)[1]
+                if value != NULL_PARTITION:
+                    below[(*values, unquote(value))] = entry.getPath().toString()
+        found = below
+    return set(found)
 
 
 def table_high_water_mark(spark: SparkSession, path: str, col: str = PARTITION,
                           by: str | None = None):
     """Latest day of a written table (per ``by`` value when given), read
     from its partition directories; None (or {}) for a missing table."""
-    # Only partition columns in the read schema: one directory listing, no
-    # footer read for schema inference.
-    schema = f"{col} string" + (f", {by} string" if by else "")
-    try:
-        df = spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return {} if by else None
     if by is None:
-        days = [v[0] for v in partition_values(df, [col])]
+        days = [v[0] for v in partition_values(spark, path, [col])]
         return dt.date.fromisoformat(max(days)) if days else None
     marks: dict[str, dt.date] = {}
-    for day, key in partition_values(df, [col, by]):
+    for day, key in partition_values(spark, path, [col, by]):
         d = dt.date.fromisoformat(day)
         if key not in marks or d > marks[key]:
             marks[key] = d
