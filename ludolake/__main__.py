@@ -23,6 +23,8 @@ from .sources.tables import read_raw_table
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="ludolake")
     ap.add_argument("job", choices=["build", "append", "refresh"])
+    ap.add_argument("--bootstrap", action="store_true",
+                    help="append: load event kinds and tables that have no rows yet in full")
     ap.add_argument("--raw", required=True, help="raw export path (partitioned by date_par)")
     ap.add_argument("--root", required=True, help="warehouse root (shared file system)")
     ap.add_argument("--metrics", nargs="*", default=None)
@@ -38,8 +40,10 @@ def main(argv: list[str] | None = None) -> None:
         R.build_flat(spark, raw, args.root, strict=strict)
         R.build_metrics(spark, args.root, args.metrics, raw=raw)
     elif args.job == "append":
-        R.append_flat(spark, raw, args.root, strict=strict)
-        R.append_metrics(spark, args.root, args.metrics, raw=raw)
+        skipped = R.append_flat(spark, raw, args.root, strict=strict, bootstrap=args.bootstrap)
+        if skipped:
+            print("not loaded before, so not appended (--bootstrap loads them):", ", ".join(skipped))
+        R.append_metrics(spark, args.root, args.metrics, raw=raw, bootstrap=args.bootstrap)
     else:
         R.refresh_metrics(spark, args.root, args.lookback, args.metrics, raw=raw)
 

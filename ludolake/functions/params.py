@@ -1,9 +1,10 @@
 """Typed lookup of one event parameter in the raw ``event_params`` array.
 
 The warehouse form is a correlated scalar subquery over the unnested array
-(``SELECT value.<slot> FROM UNNEST(event_params) WHERE key = K``). Here it is a
-higher-order ``filter`` on the array of the same row: no explode, no shuffle,
-and nested-column pruning reads only ``key`` and the one value slot.
+(``SELECT value.<slot> FROM UNNEST(event_params) WHERE key = K``). Here it is
+the position of the key, looked up in the slot's own array: no explode, no
+shuffle. The slot is taken before the element (``params.value.<slot>[i]``),
+because only then does nested-column pruning read just ``key`` and that slot.
 """
 
 from __future__ import annotations
@@ -14,10 +15,15 @@ from pyspark.sql import functions as F
 SLOTS = ("string", "int", "double")
 
 
-def _matches(arr: Column, key: str) -> Column:
-    """Entries of ``arr`` whose key is ``key`` (one-argument lambda: a
-    two-argument one would be read as (element, index))."""
-    return F.filter(arr, lambda p: p["key"] == F.lit(key))
+def _value(arr: Column, key: str, slot: str) -> Column:
+    """The slot of the first entry with that key; NULL without one."""
+    at = F.array_position(arr["key"], F.lit(key))
+    # ``get`` is NULL out of bounds (``element_at`` raises under ANSI mode).
+    return F.get(arr["value"][f"{slot}_value"], (at - 1).cast("int"))
+
+
+def _occurrences(arr: Column, key: str) -> Column:
+    return F.size(F.filter(arr["key"], lambda k: k == F.lit(key)))
 
 
 def param(key: str, slot: str, strict: bool = True,
@@ -32,12 +38,10 @@ def param(key: str, slot: str, strict: bool = True,
     if slot not in SLOTS:
         raise ValueError(f"slot must be one of {SLOTS}, got {slot!r}")
     arr = F.col(params) if isinstance(params, str) else params
-    matches = _matches(arr, key)
-    # ``get`` is NULL out of bounds (``element_at`` raises under ANSI mode).
-    value = F.get(matches, F.lit(0))["value"][f"{slot}_value"]
+    value = _value(arr, key, slot)
     if strict:
         value = F.when(
-            F.size(matches) > 1,
+            _occurrences(arr, key) > 1,
             F.raise_error(F.lit(f"event parameter '{key}' occurs more than once")),
         ).otherwise(value)
     return value
@@ -55,18 +59,17 @@ def with_params(df: DataFrame, outputs: list[tuple], strict: bool = True,
     one ``array_distinct`` instead of a second pass per parameter.
     """
     arr = F.col(params)
-    keys_distinct = F.size(F.array_distinct(arr["key"])) == F.size(arr)
+    keys_distinct = F.size(F.array_distinct(arr["key"])) == F.size(arr["key"])
     cols = []
     for out in outputs:
         if len(out) >= 3:
             alias, key, slot = out[:3]
             if slot not in SLOTS:
                 raise ValueError(f"slot must be one of {SLOTS}, got {slot!r}")
-            matches = _matches(arr, key)
-            value = F.get(matches, F.lit(0))["value"][f"{slot}_value"]
+            value = _value(arr, key, slot)
             if strict:
                 value = F.when(
-                    ~keys_distinct & (F.size(matches) > 1),
+                    ~keys_distinct & (_occurrences(arr, key) > 1),
                     F.raise_error(F.lit(f"event parameter '{key}' occurs more than once")),
                 ).otherwise(value)
             if len(out) == 4:

@@ -104,7 +104,7 @@ def _write_metric(spec: MetricSpec, sources: Sources, root: str, mode: str,
     # Metric tables are small aggregates: the day rebalance of write_table
     # gives about one file per day.
     write_table(df, table_path(root, spec.name), METRIC_CLUSTER[METRIC_SHAPE[spec.name]],
-                mode=mode)
+                mode=mode, stale=lambda v: after is None or dt.date.fromisoformat(v[0]) > after)
 
 
 # ---------------------------------------------------------------- increments
@@ -209,20 +209,28 @@ def append_metrics(spark: SparkSession, root: str, metrics: list[str] | None = N
 
 
 def lookback_start(mark, lookback_days: int):
-    """First day a lookback refresh rewrites is the day after this value."""
-    return mark - dt.timedelta(days=lookback_days) if mark is not None else None
+    """The day before the first one that a lookback refresh rewrites: the rows
+    of the day ``lookback_days`` before the mark still depend on it."""
+    return mark - dt.timedelta(days=lookback_days + 1) if mark is not None else None
 
 
 def refresh_metrics(spark: SparkSession, root: str, lookback_days: int = 30,
-                    metrics: list[str] | None = None, raw: DataFrame | None = None) -> None:
-    """Recompute the days after (mark - lookback) and replace just those
-    partitions (dynamic overwrite). Cohort needs ``lookback_days >= 30``."""
+                    metrics: list[str] | None = None, raw: DataFrame | None = None,
+                    since: dt.date | None = None) -> None:
+    """Recompute the days from ``since - lookback_days`` on and replace just
+    those partitions (dynamic overwrite). ``since`` is the first day loaded
+    since the last refresh; without it, the target's latest day, which is
+    right when one day is loaded at a time. Cohort needs ``lookback_days >=
+    30``. A missing target is an error: build it first."""
     sources = warehouse_sources(spark, root, raw)
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:
         spec = METRICS[name]
         path = table_path(root, name)
-        after = lookback_start(table_high_water_mark(spark, path), lookback_days)
-        _write_metric(spec, sources, root, "dynamic", after=after)
+        mark = table_high_water_mark(spark, path)
+        if mark is None:
+            raise ValueError(f"{name} has not been built under {root}")
+        first = min(since, mark) if since is not None else mark
+        _write_metric(spec, sources, root, "dynamic", after=lookback_start(first, lookback_days))
 
 
 def refresh_days(spark: SparkSession, raw: DataFrame, root: str, days: list,
@@ -240,9 +248,11 @@ def refresh_days(spark: SparkSession, raw: DataFrame, root: str, days: list,
     if not days:
         return
     on_days = raw.filter(F.col("date_par").isin(sorted(days)))
+    listed = {str(d) for d in days}
     write_table(flatten_all(on_days, strict), table_path(root, FLAT_EVENTS), WIDE_SORT,
-                mode="dynamic", partition=["event_date", "event_name"])
-    write_table(user_data(on_days), table_path(root, USER_DATA), mode="dynamic")
+                mode="dynamic", partition=["event_date", "event_name"], stale=lambda v: v[0] in listed)
+    write_table(user_data(on_days), table_path(root, USER_DATA), mode="dynamic",
+                stale=lambda v: v[0] in listed)
     sources = warehouse_sources(spark, root, raw)
     first = min(days)
     for name in metrics or [m for m, s in METRICS.items() if s.incremental]:

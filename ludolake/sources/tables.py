@@ -14,9 +14,10 @@ declared column order back.
 from __future__ import annotations
 
 import datetime as dt
-from urllib.parse import unquote
+from collections.abc import Callable
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -47,13 +48,15 @@ def _layout(df: DataFrame, partitions: list[str], cluster: list[str],
 
 def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
                 mode: str = "overwrite", partition: str | list[str] = PARTITION,
-                files_per_date: int | None = None) -> None:
+                files_per_date: int | None = None, stale: Callable[[tuple], bool] | None = None) -> None:
     """Write ``df`` partitioned by day (and more columns) and clustered by
     ``cluster``.
 
     ``mode="overwrite"`` replaces the whole table (a full build);
     ``mode="dynamic"`` replaces only the partitions present in ``df`` (a
     refresh); ``mode="append"`` adds rows (the scheduled increment).
+    A refresh that recomputes a partition to nothing must also remove it:
+    ``stale`` says of a partition's values whether the refresh covers it.
     ``files_per_date``: None rebalances by partition under AQE (default), N
     hashes each partition into N files, 0 writes without a shuffle.
     """
@@ -61,6 +64,10 @@ def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
     out = _layout(df, partitions, list(cluster or []), files_per_date)
     writer = out.write.partitionBy(*partitions)
     if mode == "dynamic":
+        # Partitions are replaced, so the write says which it has filled.
+        filled = Observation()
+        out = out.observe(filled, F.collect_set(F.struct(*[F.col(c).cast("string") for c in partitions])).alias("p"))
+        writer = out.write.partitionBy(*partitions)
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -69,6 +76,18 @@ def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
     else:
         raise ValueError(f"unknown mode {mode!r}")
     writer.parquet(path)
+    if mode == "dynamic" and stale is not None:
+        fresh = {tuple(row) for row in filled.get["p"]}
+        _drop(df.sparkSession, path, partitions,
+              [v for v in partition_values(df.sparkSession, path, partitions) if stale(v) and v not in fresh])
+
+
+def _drop(spark: SparkSession, path: str, cols: list[str], values: list[tuple]) -> None:
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for v in values:
+        folder = "/".join(f"{c}={quote(x)}" for c, x in zip(cols, v))
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
