@@ -39,6 +39,8 @@ from .common import BUCKET_BYTES, cut, id_in, id_out, text_bytes
 
 K = 128
 SHINGLE = 5
+#: Ranges up to which their heads (16 bytes each) are sent to all tasks.
+MAX_HEADS = 1_000_000
 _RANGE = float(2 ** 64)
 
 
@@ -162,7 +164,8 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         "top", F.max("part").over(Wd.partitionBy(F.lit(0)))).withColumn("low", F.min("part").over(Wd.partitionBy(F.lit(0)))))
     # The head of a range follows the range above; the top one, the lowest.
     heads = heads.select("doc_id", F.coalesce("up", F.col("low")).alias("to"))
-    follow = rows.drop("part").join(heads, "doc_id").select(
+    # Sent to the texts if few enough; beyond that, the join deals both out.
+    follow = rows.drop("part").join(F.broadcast(heads) if n <= MAX_HEADS else heads, "doc_id").select(
         F.col("to").alias("part"), F.lit(1).alias("turn"), "doc_id", "text")
     return rows.union(follow)
 
