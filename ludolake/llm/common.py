@@ -67,6 +67,12 @@ def id_out(key: Column) -> Column:
     return F.when(key != NO_ID, key)
 
 
+def text_digest(text: Column) -> Column:
+    """What tells rows that share an id, or have none, apart: the SHA-256 of
+    the text, null as empty. With the id it names a row up to exact copies."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def bucket_of(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 

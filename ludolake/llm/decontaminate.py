@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_digest
 
 #: Characters that end a word (fixed by the definition of a word).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -116,11 +116,13 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without those that hold a window (by id)."""
-    hit = (scan(docs, benchmark, doc_id, **how).filter("n_hit > 0")
-           .select(F.col("doc_id").alias(doc_id)).distinct())
-    # Rows without an id stay: they can't be named by the hits.
-    return docs.join(hit, doc_id, "left_anti")
+    """``docs`` without those that hold a window, each row by its own text."""
+    keyed = docs.withColumn("_key", F.struct(F.col(doc_id).alias("id"),
+                                             text_digest(F.col(how.get("text", "text"))).alias("digest")))
+    hit = (scan(keyed, benchmark, "_key", **how).filter("n_hit > 0")
+           .select(F.col("doc_id.id").alias("_id"), F.col("doc_id.digest").alias("_digest")).distinct())
+    return keyed.join(hit, F.col("_key.id").eqNullSafe(F.col("_id"))
+                      & (F.col("_key.digest") == F.col("_digest")), "left_anti").drop("_key")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -243,9 +243,12 @@ def taken(docs: DataFrame, **how) -> DataFrame:
                     (F.col("size") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"), "source"))
 
 
-def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """The documents of the mix, once for each draw, with ``shard``,
-    ``position`` and ``copy``."""
-    mixed, _ = mix(docs, doc_id=doc_id, **how)
-    drawn = mixed.select(F.col("doc_id").alias(doc_id), "shard", "position", "copy")
-    return docs.join(drawn, doc_id)
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", **how) -> DataFrame:
+    """The documents of the mix, once for each draw of their source, with
+    ``shard``, ``position`` and ``copy``. A null id or source is one like any
+    other; rows that repeat an id within a source share their draws."""
+    mixed, rows = mix(docs, doc_id=doc_id, source=source, **how)
+    drawn = (mixed.join(rows.select("rank", F.col("source").alias("_source")).distinct(), "rank")
+             .select("_source", F.col("doc_id").alias("_id"), "shard", "position", "copy"))
+    return docs.join(drawn, F.col(doc_id).eqNullSafe(F.col("_id"))
+                     & F.col(source).eqNullSafe(F.col("_source"))).drop("_id", "_source")

@@ -30,6 +30,7 @@ trusted document everything is kept. Empty table: empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import bucket_of, cut, dealt, id_in, id_out, text_bytes, texts
+from .common import bucket_of, cut, dealt, id_in, id_out, text_bytes, text_digest, texts
 
 ORDER = 5
 QUANTILE = 0.995
@@ -142,19 +143,22 @@ def _answer_part(asked: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table({"bucket": asked["bucket"], "body": pa.array(body, pa.binary())})
 
 
-_SCORED = "doc_id long, lang string, n_bytes long, cost double"
+_SCORED = "doc_id long, lang string, n_bytes long, cost double, digest binary"
 
 
 def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
     n = docs.num_rows
     total, lengths = np.zeros(n), np.zeros(n, np.int64)
+    digests: list[bytes] = []
     if n:
         known = [_unpack(b, np.float32) for b in answers["body"].to_pylist()]
         keys = np.concatenate([k for k, _ in known]) if known else np.zeros(0, _U64)
         cost = np.concatenate([c for _, c in known]) if known else np.zeros(0, np.float32)
         order = np.argsort(keys)
         keys, cost = keys[order], cost[order].astype(np.float64)
-        data, offsets = W.text_buffer(texts(docs["text"]))
+        bodies = texts(docs["text"])
+        digests = [hashlib.sha256(x).digest() for x in bodies.to_pylist()]
+        data, offsets = W.text_buffer(bodies)
         lengths = np.diff(offsets)
         for i, j in W.slices(offsets):
             if offsets[j] == offsets[i]:
@@ -165,7 +169,8 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
             owner = np.repeat(np.arange(i, j), lengths[i:j])
             total += np.bincount(owner, each, n)
     return pa.table({"doc_id": docs["doc_id"], "lang": docs["lang"],
-                     "n_bytes": pa.array(lengths, pa.int64()), "cost": pa.array(total, pa.float64())})
+                     "n_bytes": pa.array(lengths, pa.int64()), "cost": pa.array(total, pa.float64()),
+                     "digest": pa.array(digests, pa.binary())})
 
 
 # -- the model's tables -------------------------------------------------------
@@ -244,8 +249,9 @@ def trusted(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 def perplexities(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  lang: str = "lang") -> DataFrame:
-    """``(doc_id, lang, n_bytes, perplexity)`` of every row, by the model of
-    the documents in ``good`` (``trusted``) marked ``train``."""
+    """``(doc_id, lang, n_bytes, perplexity)`` of every row, and the ``digest``
+    of its text, by the model of the documents in ``good`` (``trusted``) marked
+    ``train``."""
     size = text_bytes(docs, text)
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     n_parts = max(1, math.ceil(size / PART_BYTES))
@@ -264,12 +270,16 @@ def perplexities(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text:
                .applyInArrow(_answer_part, "bucket int, body binary"))
     scored = cut(sent.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_score, _SCORED))
     return scored.select(id_out(F.col("doc_id")).alias("doc_id"), "lang", "n_bytes", F.when(
-        F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("cost") / F.col("n_bytes"))).alias("perplexity"))
+        F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("cost") / F.col("n_bytes"))).alias("perplexity"), "digest")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **columns) -> DataFrame:
     """``doc_id``, ``lang``, ``n_bytes``, ``perplexity``, the ``threshold`` of
     its language and ``keep`` of every row."""
+    return _judged(docs, labels, quantile, **columns).drop("digest")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **columns) -> DataFrame:
     good = cut(trusted(labels))
     scored = perplexities(docs, good, **columns)
     limits = (scored.join(good.filter("NOT train"), "doc_id", "left_semi")
@@ -277,11 +287,16 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **c
               .agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")))
     return (scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .select("doc_id", "lang", "n_bytes", "perplexity", "threshold",
-                    F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep")))
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the rejected ones (by id)."""
-    gone = (classify(docs, labels, doc_id=doc_id, **how).filter("NOT keep")
-            .select(F.col("doc_id").alias(doc_id)).distinct())
-    return docs.join(gone, doc_id, "left_anti")
+                    F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"), "digest"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+              lang: str = "lang", **how) -> DataFrame:
+    """``docs`` without the rejected ones, each row by its own text and
+    language."""
+    gone = (_judged(docs, labels, doc_id=doc_id, text=text, lang=lang, **how).filter("NOT keep")
+            .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("digest").alias("_of"))
+            .distinct())
+    return docs.withColumn("_digest", text_digest(F.col(text))).join(
+        gone, F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(lang).eqNullSafe(F.col("_lang"))
+        & (F.col("_digest") == F.col("_of")), "left_anti").drop("_digest")

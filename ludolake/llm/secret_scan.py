@@ -16,7 +16,8 @@ pairs are made.
 
 Defined cases: null text is empty, without spans. Offsets are code points, the
 end exclusive. A weak part that overlaps a base span is dropped; so is one that
-overlaps an earlier weak part of its kind. Repeated rows are judged one by one.
+overlaps an earlier weak part of its kind. Repeated rows, rows that share an id
+and rows without one are judged and redacted one by one, by their own text.
 Empty table: empty result.
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_digest
 
 # Fixed patterns of the base spans.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -50,7 +51,7 @@ _SECRET = ("assign", "hex", "loose_secret")
 _OTHER = ("access", "login", "endpoint")
 
 _SPAN = pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64())])
-_SCHEMA = "doc_id long, base array<struct<start:long,rank:int,end:long>>, " \
+_SCHEMA = "base array<struct<start:long,rank:int,end:long>>, " \
           "weak array<struct<start:long,rank:int,end:long>>"
 
 
@@ -91,15 +92,22 @@ def _parts(batches):
             spans = base_spans(text) if text else []
             base.append(spans)
             weak.append(weak_parts(text, spans) if text else [])
-        yield pa.record_batch([batch.column("doc_id"), _structs(base), _structs(weak)],
-                              names=["doc_id", "base", "weak"])
+        keys = [n for n in batch.schema.names if n != "text"]
+        yield pa.record_batch([*map(batch.column, keys), _structs(base), _structs(weak)],
+                              names=[*keys, "base", "weak"])
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = 200) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` (base and linked ones) of every row;
     a span is (start, rank in ``KINDS``, end), in that order."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = cut(rows.mapInArrow(_parts, _SCHEMA).withColumn("row", F.monotonically_increasing_id()))
+    return _find(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), reach)
+
+
+def _find(rows: DataFrame, reach: int) -> DataFrame:
+    """``find`` on rows of ``text`` and key columns, which are kept."""
+    keys = [f for f in rows.schema if f.name != "text"]
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in keys), _SCHEMA])
+    rows = cut(rows.mapInArrow(_parts, schema).withColumn("row", F.monotonically_increasing_id()))
     parts = (rows.filter(F.size("weak") > 0)
              .select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", "p.*"))
     is_secret = F.col("rank").isin([KINDS.index(k) for k in _SECRET])
@@ -119,7 +127,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int
               .filter(F.when(is_secret, near("other")).otherwise(near("secret")))
               .groupBy("row").agg(F.collect_list(F.struct("start", "rank", "end")).alias("linked")))
     return (rows.join(linked, "row", "left")
-            .select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce(
+            .select(*(f.name for f in keys), "base", F.array_sort(F.concat("base", F.coalesce(
                 "linked", F.expr("filter(weak, x -> false)")))).alias("spans")))
 
 
@@ -140,16 +148,19 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars",
            mark: str = "[SECRET]", reach: int = 200) -> DataFrame:
     """``docs`` with every reported span replaced by ``mark`` (overlapping
-    spans by one), and ``n_chars`` renewed. Ids must be unique."""
-    spans = (find(docs, doc_id, text, reach).filter(F.size("spans") > 0)
-             .select(F.col("doc_id").alias(doc_id), F.col("spans").alias("_spans")))
+    spans by one), and ``n_chars`` renewed. Every row comes out once: spans go
+    back to the id and text that they were found in."""
+    keyed = docs.withColumn("_digest", text_digest(F.col(text)))
+    spans = (_find(keyed.select(F.col(doc_id).alias("_id"), "_digest", F.col(text).alias("text")), reach)
+             .filter(F.size("spans") > 0).select("_id", "_digest", F.col("spans").alias("_spans"))
+             .dropDuplicates(["_id", "_digest"]).withColumnRenamed("_digest", "_of"))
     # What is kept of the text: from the farthest end so far to the next start.
     pieces = F.expr(
         f"aggregate(_spans, named_struct('at', 0L, 'out', ''), (a, s) -> named_struct("
         f"'at', greatest(a.at, s.end), 'out', if(s.start < a.at, a.out, concat(a.out, "
         f"substring({text}, cast(a.at + 1 AS int), cast(s.start - a.at AS int)), '{mark}'))), "
         f"a -> concat(a.out, substring({text}, cast(a.at + 1 AS int))))")
-    joined = docs.join(spans, doc_id, "left")
+    joined = keyed.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of")), "left")
     new = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(pieces)
     out = joined.withColumn(text, new)
     if n_chars and n_chars in docs.columns:
