@@ -29,7 +29,8 @@ groups is done in blocks of groups and queries.
 Defined cases: null, empty or whitespace text has an empty set, links with
 nothing, and is its own component. Fewer words than a shingle: the whole
 sequence is one shingle. Rows that repeat a document id are kept, each with
-the component of its own text. A null id counts as smaller than all others.
+the component of its own text: sets are told apart by their content, ids only
+name the components at the end. A null id counts as smaller than all others.
 Other columns are ignored. Empty table: empty
 result.
 """
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import askshare, wordhash as W
-from .common import BUCKET_BYTES, bucket_of, cut, dealt, id_in, id_out, text_bytes, texts
+from .common import BUCKET_BYTES, bucket_of, cut, dealt, id_in, id_out, text_bytes, text_digest, texts
 from .components import components
 
 #: Sets compared with each other inside one chunk of a group.
@@ -135,13 +136,16 @@ def _answer(asked: pa.Table) -> pa.Table:
     return askshare.answer(buckets[reply], [part | low[reply].astype(np.uint64)])
 
 
-_SETS_SCHEMA = ("doc_id long, n long, local long, digest binary, body binary, h0 long, h1 long")
+_SETS_SCHEMA = ("doc_id long, n long, local long, owner long, digest binary, body binary, h0 long, h1 long, "
+                "text_digest binary")
 
 
-def _sets(docs: pa.Table, answers: pa.Table, shingle: int, percent: int, n_parts: int) -> pa.Table:
+def _sets(docs: pa.Table, answers: pa.Table, shingle: int, percent: int, n_parts: int, keyed: bool) -> pa.Table:
+    """Every row with its set: ``local`` names the set of a bucket, ``owner`` is
+    the smallest id that has it there. ``keyed`` adds the text's digest."""
     b = _Bucket(docs, shingle) if docs.num_rows else None
     if b is None:
-        return _sets_table([], [], [], [], [], [], [])
+        return _sets_table([], [], [], [], [], [], [], [], [])
     prefixes = [x[:_prefix(len(x), percent)] for x in b.sets]
     tokens = _concat(prefixes)
     owners = np.repeat(np.arange(len(prefixes)), [len(x) for x in prefixes])
@@ -153,12 +157,15 @@ def _sets(docs: pa.Table, answers: pa.Table, shingle: int, percent: int, n_parts
     hits = np.bincount(owners[shared], minlength=len(b.sets)) if len(b.sets) else np.zeros(0, int)
     needed = np.array([_prefix_hits(int(n), percent) for n in b.sizes])
     goes_on = hits >= needed if len(b.sets) else np.zeros(0, bool)
-    local, n, digest, body, h0, h1 = [], [], [], [], [], []
+    local, owner, n, digest, body, h0, h1 = [], [], [], [], [], [], []
+    first = docs["bucket"][0].as_py() << 32
     done: set[int] = set()
-    for doc, k in zip(b.ids.tolist(), b.rows.tolist()):
+    for i, (doc, k) in enumerate(zip(b.ids.tolist(), b.rows.tolist())):
         n.append(0 if k < 0 else int(b.sizes[k]))
-        local.append(doc if k < 0 else b.owner[k])
-        if k >= 0 and goes_on[k] and doc == b.owner[k] and k not in done:
+        # A row without a set gets a number after those of the sets.
+        local.append(first + (len(b.sets) + i if k < 0 else k))
+        owner.append(doc if k < 0 else b.owner[k])
+        if k >= 0 and goes_on[k] and k not in done:
             done.add(k)
             x = b.sets[k]
             digest.append(b.digests[k])
@@ -167,14 +174,17 @@ def _sets(docs: pa.Table, answers: pa.Table, shingle: int, percent: int, n_parts
             h1.append(int(W.mix(x ^ _SEEDS[1]).min().view(np.int64)))
         else:
             digest.append(None), body.append(None), h0.append(None), h1.append(None)
-    return _sets_table(b.ids.tolist(), n, local, digest, body, h0, h1)
+    named = ([hashlib.sha256(x).digest() for x in texts(docs["text"]).to_pylist()] if keyed
+             else [None] * len(b.ids))
+    return _sets_table(b.ids.tolist(), n, local, owner, digest, body, h0, h1, named)
 
 
-def _sets_table(ids, n, local, digest, body, h0, h1) -> pa.Table:
+def _sets_table(ids, n, local, owner, digest, body, h0, h1, named) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()),
-                     "local": pa.array(local, pa.int64()), "digest": pa.array(digest, pa.binary()),
+                     "local": pa.array(local, pa.int64()), "owner": pa.array(owner, pa.int64()),
+                     "digest": pa.array(digest, pa.binary()),
                      "body": pa.array(body, pa.binary()), "h0": pa.array(h0, pa.int64()),
-                     "h1": pa.array(h1, pa.int64())})
+                     "h1": pa.array(h1, pa.int64()), "text_digest": pa.array(named, pa.binary())})
 
 
 # -- comparing sets inside a task ------------------------------------------
@@ -417,6 +427,11 @@ def _link_across(sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        shingle: int = 5, percent: int = 75) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
+    return _judged(docs, doc_id, text, shingle, percent, False).drop("text_digest")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, percent: int = 75,
+            keyed: bool = True) -> DataFrame:
     size = text_bytes(docs, text)
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     # About one prefix hash for every 14 bytes of text.
@@ -426,30 +441,40 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         lambda t: _ask(t, shingle, percent, n_parts), askshare.ASK_SCHEMA)
     answers = asked.groupBy("part").applyInArrow(_answer, askshare.ANSWER_SCHEMA)
     rows = cut(sent.groupBy("bucket").cogroup(answers.groupBy("bucket"))
-               .applyInArrow(lambda d, a: _sets(d, a, shingle, percent, n_parts), _SETS_SCHEMA))
+               .applyInArrow(lambda d, a: _sets(d, a, shingle, percent, n_parts, keyed), _SETS_SCHEMA))
     held = rows.filter("body is not null")
-    classes = held.groupBy("digest").agg(F.min("local").alias("doc"))
-    member = cut(held.select("local", "digest").join(classes, "digest").select("local", "doc"))
-    sets = held.join(member.filter("local = doc").select("doc"), held.local == F.col("doc")).select(
-        "doc", "h0", "h1", "body")
+    # Equal sets go on as one, by the smallest of their names; ``low`` is the
+    # smallest document id that has them.
+    classes = held.groupBy("digest").agg(F.min("local").alias("doc"), F.min("owner").alias("low"))
+    member = cut(held.select("local", "digest").join(classes, "digest").select("local", "doc", "low"))
+    sets = held.join(member.filter("local = doc").select("doc", "low"), held.local == F.col("doc")).select(
+        "doc", "low", "h0", "h1", "body")
 
     inside = components(_link_inside_groups(sets, percent))
     comp = F.coalesce("root", "doc").alias("comp")
     sets = cut(sets.join(inside.withColumnRenamed("node", "doc"), "doc", "left")
-               .select("doc", comp, "h0", "body"))
+               .select("doc", "low", comp, "h0", "body"))
     across = components(_link_across(sets, percent))
-    final = (sets.select("doc", "comp").join(across.withColumnRenamed("node", "comp"), "comp", "left")
-             .select("doc", F.coalesce("root", "comp").alias("component")))
-    of_local = member.join(final, "doc").select("local", "component")
-    return (rows.select("doc_id", "n", "local").join(of_local, "local", "left")
+    # A component is named by the smallest document id, found on one row for
+    # each component of the first step.
+    of_comp = (sets.groupBy("comp").agg(F.min("low").alias("low"))
+               .join(across.withColumnRenamed("node", "comp"), "comp", "left")
+               .select("comp", "low", F.coalesce("root", "comp").alias("component")))
+    least = of_comp.groupBy("component").agg(F.min("low").alias("least"))
+    of_comp = of_comp.join(least, "component").select("comp", "least")
+    final = sets.select("doc", "comp").join(of_comp, "comp").select("doc", "least")
+    of_local = member.join(final, "doc").select("local", "least")
+    return (rows.select("doc_id", "n", "local", "owner", "text_digest").join(of_local, "local", "left")
             .select(id_out(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                    id_out(F.coalesce("component", "local")).alias("component_id")))
+                    id_out(F.coalesce("least", "owner")).alias("component_id"), "text_digest"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest
-    id. Rows that repeat that id all stay, as do rows without an id."""
-    found = jaccard_components(docs, doc_id, text, **how)
+    id. Rows of the component that repeat that id all stay, as do rows without
+    an id. Texts that share an id are judged each by its own component."""
+    found = _judged(docs, doc_id, text, **how)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+        F.col("doc_id").alias("_id"), F.col("text_digest").alias("_of")).distinct()
+    return docs.withColumn("_digest", text_digest(F.col(text))).join(
+        gone, (F.col(doc_id) == F.col("_id")) & (F.col("_digest") == F.col("_of")), "left_anti").drop("_digest")

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from ludolake.llm import decontaminate, mixing, secret_scan
+from ludolake.llm import decontaminate, mixing, ngram_join, secret_scan
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -60,3 +60,21 @@ def test_mixed_documents_rows(spark):
     for r in got.collect():
         out[r["source"]] += len((r["text"] or "").split())
     assert out == {s: n for s, n in words.items() if n} and any(r["doc_id"] is None for r in got.collect())
+
+
+def test_ngram_join_rows(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET_BYTES", 400)
+    prose = lambda k, n=40: " ".join(f"{k}word{j}" for j in range(n))
+    near = lambda k: prose(k) + " end"
+    # Id 5 holds a, which is linked with id 1, and b, whose copies are 7 and 8.
+    # Two rows without an id hold c and d, which aren't linked. Id 9 is e twice.
+    cases = [(1, near("a"), 1), (5, prose("a"), 1), (5, prose("b"), 5), (7, prose("b"), 5), (8, near("b"), 5),
+             (None, prose("c"), None), (None, prose("d"), None), (11, near("d"), None), (9, prose("e"), 9),
+             (9, prose("e"), 9), (10, prose("e"), 9), (12, prose("f"), 12), (12, None, 12), (13, "", 13)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t, _ in cases], SCHEMA).repartition(3)
+    shingles = lambda t: max(len(t.split()) - 4, 0) if t else 0
+    got = ngram_join.jaccard_components(docs)
+    assert counted(got) == Counter((i, shingles(t), c) for i, t, c in cases)
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert counted(kept) == Counter((i, t, "en", "s", 0) for i, t, c in cases if i == c)
