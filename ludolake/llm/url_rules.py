@@ -5,10 +5,11 @@ host and all subdomains where the url's path starts with the rule's; the
 longest rule that fits wins. The list is small and part of the plan.
 
 *Mined rules.* A labelled url is a transaction: its tokens (host labels, path
-words, query keys, scheme, ...) and, if it is bad, a class item. Spark's
-FP-growth mines the frequent sets; rules ``tokens -> bad`` are pruned by
-support, confidence and lift, and dropped where a rule with fewer of their
-tokens is as sure. Every rule is posted under one of its tokens, the rarest;
+words, query keys, scheme, ...). Spark's FP-growth mines the sets that at least
+``MIN_COUNT`` bad urls hold, however many are labelled; a set's count among all
+labelled urls comes from the same kind of index that rules are matched with.
+Rules ``tokens -> bad`` are pruned by confidence and lift, and dropped where a
+rule with fewer of their tokens is as sure. Every rule is posted under one of its tokens, the rarest;
 a url meets only the rules posted under tokens that it has, and a rule fires
 when all of its tokens are there.
 
@@ -35,12 +36,10 @@ from .common import cut
 #: (verdict, rule): a rule is a host, lower case, and a path prefix.
 LIST_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
               ("allow", "com/fr/"), ("block", "com/de/"))
-MIN_SUPPORT = 0.002
-#: Bad urls that a rule must fit at least, however few are labelled.
+#: Bad urls that a rule must fit at least, however many are labelled.
 MIN_COUNT = 20
 MIN_CONFIDENCE = 0.4
 MIN_LIFT = 1.5
-BAD = "class=bad"
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -81,18 +80,47 @@ def tokens(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(listed))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+def _totals(kinds: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(rule_id, total)``: how many of the urls of ``kinds`` hold each set.
+    A set is posted under its token that the fewest urls have."""
+    each = kinds.select("items", "n", F.explode("items").alias("token"))
+    use = each.groupBy("token").agg(F.sum("n").alias("use"))
+    posted = (sets.select("rule_id", F.col("items").alias("set"), F.explode("items").alias("token")).join(use, "token")
+              .groupBy("rule_id", "set").agg(F.min(F.struct("use", "token"))["token"].alias("token")))
+    return (each.join(posted, "token").filter(F.size(F.array_except("set", "items")) == 0)
+            .groupBy("rule_id").agg(F.sum("n").alias("total")))
+
+
+def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
          min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules ``(rule_id, items, confidence, lift, support)`` from
     ``(url, bad)``."""
-    rows = cut(labelled.select(F.when(F.col("bad"), F.array_append(tokens(F.col("url")), F.lit(BAD)))
-                               .otherwise(tokens(F.col("url"))).alias("items")).filter(F.size("items") > 1))
-    support = min(1.0, max(min_support, MIN_COUNT / max(1, rows.count())))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(rows)
-    rules = cut(model.associationRules
-                .filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= min_lift))
-                .select(F.array_sort("antecedent").alias("items"), "confidence", "lift", "support")
-                .withColumn("rule_id", F.xxhash64("items")))
+    # Urls with the same tokens are one row with their counts.
+    kinds = cut(labelled.select(F.array_sort(tokens(F.col("url"))).alias("items"), F.col("bad").cast("long").alias("bad"))
+                .filter(F.size("items") > 0)
+                .groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
+    n, n_bad = (x or 0 for x in kinds.agg(F.sum("n"), F.sum("bad")).first())
+    if n_bad < min_count:
+        return kinds.sparkSession.createDataFrame(
+            [], "items array<string>, confidence double, lift double, support double, rule_id long")
+    if min_lift > 1:
+        # A token of every url makes no set surer, and alone it has lift 1.
+        common = [r["token"] for r in kinds.select("n", F.explode("items").alias("token")).groupBy("token")
+                  .agg(F.sum("n").alias("n")).filter(F.col("n") == n).collect()]
+        kinds = kinds.withColumn("items", F.array_except("items", F.array(*map(F.lit, common)).cast("array<string>")))
+    bad = kinds.filter("bad > 0 AND size(items) > 0").select("items", F.explode(F.expr("sequence(1L, bad)"))).select("items")
+    # Spark rounds the product of support and rows up; empty ones aren't counted.
+    rows = bad.count()
+    if rows < min_count:
+        sets = bad.select("items", F.lit(0).cast("long").alias("freq")).limit(0)
+    else:
+        sets = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / rows).fit(bad).freqItemsets
+    sets = cut(sets.select(F.array_sort("items").alias("items"), "freq").withColumn("rule_id", F.xxhash64("items")))
+    confidence = F.col("freq") / F.col("total")
+    rules = cut(sets.join(_totals(kinds, sets), "rule_id")
+                .select("items", confidence.alias("confidence"), (confidence / (n_bad / n)).alias("lift"),
+                        (F.col("freq") / n).alias("support"), "rule_id")
+                .filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift)))
     # A rule is redundant if fewer of its tokens are as sure. Candidates share
     # a token, found through the posting lists of the rules themselves.
     posted = rules.select(F.col("rule_id").alias("small"), F.col("items").alias("small_items"),
