@@ -18,8 +18,11 @@ integer keys.
    over its documents.
 
 A quarter of the trusted documents is left out of the counts; their
-perplexities give each language's threshold, a quantile. A document above its
-language's threshold is rejected.
+perplexities give each language's threshold, a quantile. A language with fewer
+than ``MIN_HELD_OUT`` of them, whose quantile would be no more than the largest
+one, takes the quantile over all languages' held-out documents (over all
+trusted ones where none is held out). A document above its language's
+threshold is rejected.
 
 Defined cases: null or empty text has no perplexity and is kept, as is a
 document of a language without trusted documents; null is a language of its
@@ -44,6 +47,8 @@ from .common import bucket_of, cut, dealt, id_in, id_out, text_bytes, text_diges
 
 ORDER = 5
 QUANTILE = 0.995
+#: Below as many held-out documents, the quantile is their maximum.
+MIN_HELD_OUT = 200
 BUCKET_BYTES = 16 << 20
 #: Text whose n-gram types one part of the type tables is meant to hold.
 PART_BYTES = 64 << 20
@@ -282,9 +287,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **c
 def _judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **columns) -> DataFrame:
     good = cut(trusted(labels))
     scored = perplexities(docs, good, **columns)
-    limits = (scored.join(good.filter("NOT train"), "doc_id", "left_semi")
-              .groupBy(F.col("lang").alias("_lang"))
-              .agg(F.percentile_approx("perplexity", quantile, 10000).alias("threshold")))
+    known = cut(scored.join(good, "doc_id").select(F.col("lang").alias("_lang"), "train", "perplexity"))
+    held_out = F.when(~F.col("train"), F.col("perplexity"))
+    every = known.agg(F.coalesce(F.percentile_approx(held_out, quantile, 10000),
+                                 F.percentile_approx("perplexity", quantile, 10000)).alias("every"))
+    limits = (known.groupBy("_lang").agg(F.count(held_out).alias("n"),
+                                         F.percentile_approx(held_out, quantile, 10000).alias("own"))
+              .crossJoin(every)
+              .select("_lang", F.when(F.col("n") >= MIN_HELD_OUT, F.col("own")).otherwise(F.col("every"))
+                      .alias("threshold")))
     return (scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .select("doc_id", "lang", "n_bytes", "perplexity", "threshold",
                     F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"), "digest"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ludolake.llm import url_rules
+from ludolake.llm import quality_model, url_rules
 
 
 def test_rules_do_not_need_more_bad_urls_in_a_larger_table(spark):
@@ -23,3 +23,20 @@ def test_rules_do_not_need_more_bad_urls_in_a_larger_table(spark):
     # A host below the floor makes no rule.
     few = urls.filter("url NOT LIKE '%spam%'").unionByName(urls.filter("url LIKE '%spam%'").limit(19))
     assert url_rules.mine(few).count() == 0
+
+
+def test_threshold_of_languages_with_few_held_out_documents(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2000)], "doc_id long, quality int, toxic int")
+    train = {r["doc_id"]: r["train"] for r in quality_model.trusted(labels).collect()}
+    held = [i for i, t in train.items() if not t]
+    counted = [i for i, t in train.items() if t]
+    rows = [(i, "en", 2.0 + i / 10000) for i in held[20:] + counted[20:]]
+    rows += [(i, "xx", 2.0) for i in counted[:20]]                             # all in the training part
+    rows += [(i, "yy", 2.0) for i in held[:19]] + [(held[19], "yy", 1000.0)]   # one odd document
+    rows += [(9001, "en", 50.0), (9002, "xx", 50.0), (9003, "yy", 50.0), (9004, "zz", 50.0), (9005, "xx", None)]
+    scored = spark.createDataFrame([(i, s, 10, p, b"") for i, s, p in rows],
+                                   "doc_id long, lang string, n_bytes long, perplexity double, digest binary")
+    monkeypatch.setattr(quality_model, "perplexities", lambda *a, **k: scored)
+    keep = {r["doc_id"]: r["keep"] for r in quality_model.classify(scored, labels).collect()}
+    assert [keep[i] for i in range(9001, 9006)] == [False, False, False, True, True]
+    assert all(keep[i] for i in counted[:20] + held[:19]) and not keep[held[19]]
