@@ -121,7 +121,6 @@ def write(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, **columns)
 # -- reading ------------------------------------------------------------------
 
 _LENGTH = re.compile(rb"^Content-Length:[ \t]*(\d+)[ \t]*\r?$", re.IGNORECASE | re.MULTILINE)
-_HEAD_BYTES = 1 << 16
 
 
 def _content(path: str, data: bytes) -> bytes:
@@ -131,19 +130,29 @@ def _content(path: str, data: bytes) -> bytes:
 def _successor(data: bytes, at: int) -> tuple[int, int, int] | None:
     """(start of the block, its length, offset of the next record) of what
     looks like a record at ``at``."""
-    end = data.find(b"\r\n\r\n", at, at + _HEAD_BYTES)
+    end = data.find(b"\r\n\r\n", at)  # a head is as long as its url; files are bounded
     length = _LENGTH.search(data, at, end + 2) if end >= 0 else None
-    if not length:
-        return None
-    n = int(length[1])
+    return _block(data, end, int(length[1])) if length else None
+
+
+def _block(data: bytes, end: int, n: int) -> tuple[int, int, int] | None:
     after = end + 4 + n
     return (end + 4, n, after + 4) if data[after:after + 4] == b"\r\n\r\n" else None
 
 
 def _offsets(data: bytes):
     at = data.find(MAGIC)
+    end, length = -1, None
     while at >= 0:
-        if found := _successor(data, at):
+        # Starts before the same blank line share its search and its length's.
+        if end < at:
+            end = data.find(b"\r\n\r\n", at)
+            if end < 0:
+                return
+            length = _LENGTH.search(data, at, end + 2)
+        elif length and length.start() < at:
+            length = _LENGTH.search(data, at, end + 2)
+        if length and (found := _block(data, end, int(length[1]))):
             yield at, found
         at = data.find(MAGIC, at + 1)
 

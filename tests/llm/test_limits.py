@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ludolake.llm import quality_model, url_rules
+from ludolake.llm import quality_model, url_rules, warc
 
 
 def test_rules_do_not_need_more_bad_urls_in_a_larger_table(spark):
@@ -40,3 +40,12 @@ def test_threshold_of_languages_with_few_held_out_documents(spark, monkeypatch):
     keep = {r["doc_id"]: r["keep"] for r in quality_model.classify(scored, labels).collect()}
     assert [keep[i] for i in range(9001, 9006)] == [False, False, False, True, True]
     assert all(keep[i] for i in counted[:20] + held[:19]) and not keep[held[19]]
+
+
+def test_warc_of_a_long_url(spark, tmp_path):
+    rows = [(1, "http://a/" + "x" * 200_000, "<p>1</p>"), (2, "http://b/" + " " * 70_000, "<p>2</p>"), (3, "u", "<p>3</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = str(tmp_path / "w")
+    warc.write(pages, path)
+    got = {r["page_id"]: (r["url"], bytes(r["payload"])) for r in warc.read(spark, path).collect()}
+    assert got == {i: (u.replace(" ", "%20"), h.encode()) for i, u, h in rows}
