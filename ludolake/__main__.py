@@ -2,16 +2,18 @@
 
     python -m ludolake build   --raw <export> --root <warehouse>
     python -m ludolake append  --raw <export> --root <warehouse>
-    python -m ludolake refresh --raw <export> --root <warehouse> --lookback 30 [--metrics cohort]
+    python -m ludolake refresh --raw <export> --root <warehouse> --lookback 30 [--since 2024-01-20] [--metrics cohort]
 
 ``build`` overwrites the flat layer and every metric table; ``append`` adds
 the days after each table's high-water mark; ``refresh`` recomputes the
-last N days of the metric tables in place.
+last N days of the metric tables in place, counted from ``--since``, the first
+day loaded since the last refresh (without it, from each table's latest day).
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--root", required=True, help="warehouse root (shared file system)")
     ap.add_argument("--metrics", nargs="*", default=None)
     ap.add_argument("--lookback", type=int, default=30)
+    ap.add_argument("--since", type=dt.date.fromisoformat, default=None,
+                    help="refresh: first day loaded since the last refresh (needed after a gap)")
     ap.add_argument("--lenient", action="store_true",
                     help="take the first of duplicated parameter keys instead of failing")
     args = ap.parse_args(argv)
@@ -45,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
             print("not loaded before, so not appended (--bootstrap loads them):", ", ".join(skipped))
         R.append_metrics(spark, args.root, args.metrics, raw=raw, bootstrap=args.bootstrap)
     else:
-        R.refresh_metrics(spark, args.root, args.lookback, args.metrics, raw=raw)
+        R.refresh_metrics(spark, args.root, args.lookback, args.metrics, raw=raw, since=args.since)
 
 
 if __name__ == "__main__":

@@ -8,6 +8,7 @@ needs and runs one operator of the engine over all of them.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from . import oracle
 from .operators.flatten import FLAT_SPECS
 from .operators.metrics import PLAYTIME_EVENTS
-from .plans.pipeline import METRICS, RAW, USER_DATA, derived_sources
-from .plans.refresh import flat_increment, lookback_start, metric_increment
-from .session import configure
+from .plans import refresh
+from .plans.pipeline import METRIC_SHAPE, METRICS, RAW, USER_DATA, derived_sources
+from .plans.refresh import flat_increment, metric_increment
+from .schemas import METRIC_CLUSTER
+from .session import checkpoint_dir, configure
 from .sources.fixture import ALL_EVENTS, read_raw
-from .sources.tables import high_water_mark
+from .sources.tables import read_table, table_path, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,26 +85,49 @@ def metric_incremental_query(name: str, cutoff: str) -> Query:
     return q
 
 
+def _scratch_root(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _refreshed_cohort(spark: SparkSession, sf_dir: str, cutoff: str, lookback_days: int) -> DataFrame:
+    """The written cohort table after a build up to ``cutoff``, an append of
+    the days since, and a lookback refresh."""
+    configure(spark)
+    root = _scratch_root(spark, "cohort-lookback")
+    raw = read_raw(spark, sf_dir)
+    last = dt.date.fromisoformat(cutoff)
+    early = raw.filter(F.col("date_par") <= F.lit(last))
+    refresh.build_flat(spark, early, root)
+    refresh.build_metrics(spark, root, ["cohort"], raw=early)
+    refresh.append_flat(spark, raw, root, bootstrap=True)
+    refresh.append_metrics(spark, root, ["cohort"], bootstrap=True, raw=raw)
+    refresh.refresh_metrics(spark, root, lookback_days, ["cohort"], raw=raw, since=last + dt.timedelta(days=1))
+    return read_table(spark, table_path(root, "cohort"), metric_query("cohort")(spark, sf_dir).columns)
+
+
 def cohort_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cohort table after a 30-day lookback refresh of a table built up to
-    the cohort cutoff: kept old days plus recomputed recent days (equal to a
-    full build when no data arrives late)."""
-    spec = METRICS["cohort"]
-    sources = sources_for(spark, sf_dir, spec.inputs)
-    target = spec.build(_cut(sources, dt.date.fromisoformat(oracle.COHORT_CUTOFF)))
-    after = lookback_start(high_water_mark(target), oracle.LOOKBACK_DAYS)
-    fresh = spec.build(sources, after=after)
-    kept = target.filter(F.col("event_date") <= F.lit(after)) if after else target.filter(F.lit(False))
-    return kept.unionByName(fresh)
+    """Cohort table after a 30-day lookback refresh of a written table built up
+    to the cohort cutoff. The test data spans fewer days than the lookback, so
+    every day is recomputed: equal to a full build."""
+    return _refreshed_cohort(spark, sf_dir, oracle.COHORT_CUTOFF, oracle.LOOKBACK_DAYS)
+
+
+def cohort_lookback_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a later cutoff and a shorter lookback: the older days stay
+    as they were written at the cutoff, the others are recomputed."""
+    return _refreshed_cohort(spark, sf_dir, oracle.INCREMENTAL_CUTOFF, oracle.SHORT_LOOKBACK_DAYS)
 
 
 def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a dashboard reads: one version over a date range of a metric."""
+    """What a dashboard reads: one version over a date range of a written
+    metric table."""
     s = oracle.SLICE
+    configure(spark)
+    root = _scratch_root(spark, "dashboard-slice")
     df = metric_query("rev_iap_ads3")(spark, sf_dir)
-    return df.filter(F.col("event_date").between(F.lit(dt.date.fromisoformat(s["start"])),
-                                                 F.lit(dt.date.fromisoformat(s["end"])))
-                     & (F.col("version") == F.lit(s["version"])))
+    write_table(df, table_path(root, "rev_iap_ads3"), METRIC_CLUSTER[METRIC_SHAPE["rev_iap_ads3"]])
+    return refresh.dashboard_slice(spark, root, "rev_iap_ads3", s["start"], s["end"],
+                                   version=s["version"]).select(*df.columns)
 
 
 def _incremental_cutoff(name: str) -> str:
@@ -121,6 +147,7 @@ def all_queries() -> dict[str, Query]:
         if spec.incremental:
             out[f"{m}_incremental"] = metric_incremental_query(m, _incremental_cutoff(m))
     out["cohort_lookback"] = cohort_lookback
+    out["cohort_lookback_short"] = cohort_lookback_short
     out["dashboard_slice"] = dashboard_slice
     return out
 
@@ -138,5 +165,6 @@ def all_oracle_sql() -> dict[str, str]:
         if spec.incremental:
             out[f"{m}_incremental"] = oracle.metric_incremental_sql(m, _incremental_cutoff(m))
     out["cohort_lookback"] = oracle.metric_sql("cohort")
+    out["cohort_lookback_short"] = oracle.cohort_refreshed_sql()
     out["dashboard_slice"] = oracle.dashboard_slice_sql()
     return out
