@@ -9,6 +9,7 @@ import tempfile
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,36 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
+#: Bytes of a column that a vectorised task holds at a time.
+CHUNK_BYTES = 4 << 20
+
+
+def sliced(batches, column: str, limit: int = 0):
+    """The rows of ``batches`` in batches of at most ``limit`` bytes of
+    ``column`` (one row at least, however long it is)."""
+    limit = limit or CHUNK_BYTES
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(column)
+        if values.nbytes <= limit:
+            yield batch
+            continue
+        if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+            size = pc.list_value_length(values)
+            per_row = 8
+        else:
+            size, per_row = pc.binary_length(values), 1
+        size = pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype("int64") * per_row
+        begin = held = 0
+        for k, n in enumerate(size):
+            if k > begin and held + n > limit:
+                yield batch.slice(begin, k - begin)
+                begin, held = k, 0
+            held += int(n)
+        yield batch.slice(begin)
+
+
 def bucket_of(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 

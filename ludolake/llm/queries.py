@@ -11,10 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, fingerprint, language_id, mixing, ngram_join, quality_model, secret_scan,
-               suffix_dedup, url_rules, warc)
+from . import (decontaminate, fingerprint, language_id, mixing, ngram_join, quality_model, resampling, secret_scan,
+               sentencepiece_bpe, suffix_dedup, url_rules, warc, whitening)
 from .common import cut, table
 
+#: The model of op13, one of the public tokenizers; a parameter of the operator.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -61,6 +64,22 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    path = str(public_tokenizers.path(PIECE_MODEL))
+    return sentencepiece_bpe.digest(sentencepiece_bpe.decode(
+        sentencepiece_bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -69,7 +88,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_mixing, op2_fingerprint, op3_quality_model, op4_url_rules, op5_language_id, op6_ngram_jaccard_join,
-        op7_decontaminate, op8_suffix_dedup, op9_secret_scan, op10_warc, pipeline)}
+        op7_decontaminate, op8_suffix_dedup, op9_secret_scan, op10_warc,
+        op11_importance_resampling, op12_whitening, op13_sentencepiece, pipeline)}
 
 
 def all_oracle_sql() -> dict[str, str]:
