@@ -10,7 +10,7 @@ Jacobi-Davidson: a subspace is grown; its Rayleigh-Ritz pairs approximate the
 leading eigenpairs. Pairs whose residual has reached double precision are
 locked. For all others the correction equation
 
-    (I - Q Q') (V - theta I) (I - Q Q') t = -r,   Q: locked vectors and the pair's own
+    (I - Q Q') (V - theta I) (I - Q Q') t = -r,   Q: locked vectors and all pairs' own
 
 is solved roughly by MINRES, all of them in step, so that one pass over the
 data serves a step of every equation. The corrections, made orthogonal, extend
@@ -202,14 +202,14 @@ def _orthonormal(b: np.ndarray, against: np.ndarray) -> np.ndarray:
     return u
 
 
-def _corrections(cov: Covariance, theta: np.ndarray, u: np.ndarray, locked: np.ndarray, r: np.ndarray,
-                 steps: int) -> np.ndarray:
+def _corrections(cov: Covariance, theta: np.ndarray, q: np.ndarray, r: np.ndarray, steps: int) -> np.ndarray:
     """MINRES for the correction equations of all columns, in step: each step
-    is one product with the covariance, for all of them."""
+    is one product with the covariance, for all of them. ``q``: the pairs that
+    the corrections leave out; with all of them, equal eigenvalues of several
+    pairs don't make the equations singular."""
     def project(t: np.ndarray) -> np.ndarray:
         for _ in range(2):
-            t = t - locked @ (locked.T @ t)
-            t = t - u * (u * t).sum(0)
+            t = t - q @ (q.T @ t)
         return t
 
     v = project(-r)
@@ -260,14 +260,15 @@ def leading_pairs(cov: Covariance, k: int, trace: float, seed: int = 7, inner_st
         theta, s = theta[order], s[:, order]
         u, au = space @ s, image @ s
         r = au - u * theta
-        # Double precision: what rounding leaves of a product of this size.
-        tolerance = 8 * np.finfo(float).eps * np.sqrt(d) * max(theta[0], trace / d)
+        # Double precision: what rounding leaves of a product of this size; the
+        # asymmetry of h shows how much that is where many rows are added.
+        tolerance = np.sqrt(d) * max(8 * np.finfo(float).eps * max(theta[0], trace / d), 2 * np.abs(h - h.T).max())
         settled = np.linalg.norm(r, axis=0) <= tolerance
         full = space.shape[1] == d     # nothing is left to search
         if settled[:k].all() or full:
             return theta[:k], u[:, :k]
-        locked, rest = u[:, settled], ~settled
-        t = _corrections(cov, theta[rest], u[:, rest], locked, r[:, rest], inner_steps)
+        rest = ~settled                # all others are locked
+        t = _corrections(cov, theta[rest], u, r[:, rest], inner_steps)
         if space.shape[1] + rest.sum() > widest and widest < d:
             space, image = u, au       # restart from the best pairs
         more = _orthonormal(t, space)
