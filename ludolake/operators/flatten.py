@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import with_params
@@ -138,7 +138,36 @@ def _readers() -> tuple[dict[str, set], dict[P, set]]:
     return plain, params
 
 
-def flatten_all(raw: DataFrame, strict: bool = True) -> DataFrame:
+#: Stands for the event name of rows that were kept out of the flat tables.
+REJECTED = "_rejected"
+
+
+def _duplicates() -> Column:
+    """Per row: the parameters that its flat table reads and that occur more
+    than once, with how often. A row whose keys are all distinct, as nearly
+    all are, pays one ``array_distinct``."""
+    keys = F.col("event_params")["key"]
+    wanted = None
+    for event in sorted({s.event for s in FLAT_SPECS.values()}):
+        names = [F.lit(c.key) for s in FLAT_SPECS.values() if s.event == event for c in s.columns if isinstance(c, P)]
+        if names:
+            cond, listed = F.col("event_name") == F.lit(event), F.array(*names)
+            wanted = F.when(cond, listed) if wanted is None else wanted.when(cond, listed)
+    counted = F.transform(wanted, lambda k: F.struct(
+        k.alias("key"), F.size(F.filter(keys, lambda x: x == k)).alias("times")))
+    some = F.filter(counted, lambda c: c["times"] > 1)
+    return F.when((F.size(F.array_distinct(keys)) < F.size(keys)) & (F.size(some) > 0), some)
+
+
+def rejects_view(wide: DataFrame) -> DataFrame:
+    """The rejected rows of the single-pass layer, one for each duplicated key."""
+    return (wide.filter(F.col("event_name") == F.lit(REJECTED))
+            .select("user_pseudo_id", F.col("rejected_event").alias("event_name"), "event_date", "event_timestamp",
+                    F.explode("rejected").alias("r"))
+            .select("user_pseudo_id", "event_name", "event_date", "event_timestamp", "r.key", "r.times"))
+
+
+def flatten_all(raw: DataFrame, strict: bool = True, rejects: bool = False) -> DataFrame:
     """All flat tables in one pass over the raw table.
 
     One row per event of a flattened kind: ``event_name``, ``event_date``,
@@ -146,6 +175,12 @@ def flatten_all(raw: DataFrame, strict: bool = True) -> DataFrame:
     per extracted parameter, filled only for the events whose table reads
     it. ``flat_view`` turns it back into each table. Reading raw once
     instead of once per table matters when raw is not sorted by event name.
+
+    ``rejects``: a row in which a parameter that its table reads occurs more
+    than once gets the event name ``REJECTED`` (so no flat table holds it), its
+    own one in ``rejected_event`` and the keys in ``rejected``. The good rows
+    and the bad ones are written in the same pass, and one bad row doesn't stop
+    the job.
     """
     events = sorted({s.event for s in FLAT_SPECS.values()})
     name = F.col("event_name")
@@ -156,7 +191,17 @@ def flatten_all(raw: DataFrame, strict: bool = True) -> DataFrame:
         outputs.append((c, col))
     for p, evs in params.items():
         outputs.append((wide_name(p), p.key, p.slot, name.isin(sorted(evs))))
-    return with_params(raw.filter(name.isin(events)), outputs, strict=strict)
+    rows = raw.filter(name.isin(events))
+    if not rejects:
+        return with_params(rows, outputs, strict=strict)
+    # The time tells rejected rows apart, whatever their event.
+    outputs = [("event_timestamp", F.col(c)) if c == "event_timestamp" else (c, *x) for c, *x in outputs]
+    bad = F.col("rejected").isNotNull()
+    return (with_params(rows, [*outputs, ("rejected", _duplicates())], strict=False)
+            .withColumn("rejected_event", F.when(bad, F.col("event_name")))
+            .withColumn("event_name", F.when(bad, F.lit(REJECTED)).otherwise(F.col("event_name")))
+            .withColumn("event_timestamp", F.when(bad | F.col("event_name").isin(sorted(plain["event_timestamp"])),
+                                                  F.col("event_timestamp"))))
 
 
 def flat_view(wide: DataFrame, table: str) -> DataFrame:

@@ -85,14 +85,31 @@ def playtime(raw: DataFrame, extra: bool = False) -> DataFrame:
                         + [("ms", "engagement_time_msec", "int"),
                            ("session_id", "ga_session_id", "int")])
             .filter(F.col("ms").isNotNull()))
-    agg = rows.groupBy(*keys).agg(
-        F.count_distinct(USER).alias("users"),
-        F.count_distinct("session_id").alias("total_sessions"),
-        F.sum("ms").alias("sum_ms"),
-        F.count("ms").alias("n_ms"),
-        F.count("session_id").alias("n_sessions"),
-        F.count_if(F.col("ms") >= LONG_SESSION_MS).alias("n_long"),
-    )
+    # One row for each group, user and session, merged in the map tasks. Such
+    # a row then stands once for its user and once for its session; each is
+    # counted once in its group. Raw rows are never multiplied (as Spark's
+    # ``Expand`` for two distinct counts would), and no hot group or user sends
+    # more than its users and sessions.
+    each = rows.groupBy(*keys, USER, "session_id").agg(
+        F.sum("ms").alias("ms"), F.count("*").alias("n"),
+        F.count_if(F.col("ms") >= LONG_SESSION_MS).alias("n_long"))
+    none = F.lit(0).cast("bigint")
+    n_sessions = F.when(F.col("session_id").isNotNull(), F.col("n")).otherwise(none)
+    stands = F.array(
+        F.struct(F.lit("user").alias("kind"), F.col(USER).alias("id"), F.col("ms").alias("ms"), F.col("n").alias("n"),
+                 n_sessions.alias("n_sessions"), F.col("n_long").alias("n_long")),
+        F.when(F.col("session_id").isNotNull(), F.struct(
+            F.lit("session").alias("kind"), F.col("session_id").cast("string").alias("id"), none.alias("ms"),
+            none.alias("n"), none.alias("n_sessions"), none.alias("n_long"))))
+    sums = [F.sum(c).alias(c) for c in ("ms", "n", "n_sessions", "n_long")]
+    once = (each.select(*keys, F.explode(F.filter(stands, lambda x: x.isNotNull())).alias("e"))
+            .select(*keys, "e.*").groupBy(*keys, "kind", "id").agg(*sums))
+    counted = F.col("id").isNotNull()
+    agg = once.groupBy(*keys).agg(
+        F.count_if((F.col("kind") == "user") & counted).alias("users"),
+        F.count_if((F.col("kind") == "session") & counted).alias("total_sessions"),
+        F.sum("ms").alias("sum_ms"), F.sum("n").alias("n_ms"), F.sum("n_sessions").alias("n_sessions"),
+        F.sum("n_long").alias("n_long"))
     out = agg.select(
         "version", F.col("date_par").alias(DAY), "platform", "country", "total_sessions",
         ratio2("sum_ms", F.col("n_ms") * 60_000).alias("avg_session_length_minutes"),
@@ -134,7 +151,14 @@ def cohort(first_open: DataFrame, session_start: DataFrame, user_data: DataFrame
     # a hot user sends at most one row per day and map task.
     sessions = session_start.select(USER, DAY).distinct()
     offset = F.datediff(F.col(DAY), F.col("cohort_date"))
-    retained = (members.join(sessions, USER)
+    # The offset condition as an equality: a member's days lie in the interval
+    # of its cohort day or in the next one, a session in exactly one. So no
+    # task joins a user's whole history, however long it is.
+    width = max_day + 1
+    interval = F.floor(F.unix_date(DAY) / width)
+    reach = members.withColumn("interval", F.explode(F.sequence(
+        F.floor(F.unix_date("cohort_date") / width), F.floor((F.unix_date("cohort_date") + max_day) / width))))
+    retained = (reach.join(sessions.withColumn("interval", interval), [USER, "interval"])
                 .filter(offset.between(0, max_day))
                 # members and sessions are deduplicated: each user occurs once
                 # per (cohort_date, day, version, country), so count = distinct.

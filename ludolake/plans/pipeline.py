@@ -9,6 +9,7 @@ and on materialized flat tables (scheduled jobs).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -35,21 +36,35 @@ class MetricSpec:
     # user filter spans all days.
     scoped: list[str] = field(default_factory=list)
     incremental: bool = True
+    # Days after its own that a day's rows need of an input.
+    ahead: dict[str, int] = field(default_factory=dict)
 
-    def build(self, sources: Sources, after=None) -> DataFrame:
-        """The metric; with ``after`` (a date), only the days after it."""
+    def build(self, sources: Sources, after=None, days: set[str] | None = None) -> DataFrame:
+        """The metric; with ``after`` (a date), only the days after it; with
+        ``days`` (ISO strings), only those."""
         args = []
         for name in self.inputs:
             df = sources(name)
+            col = "date_par" if name == RAW else "event_date"
             if after is not None and name in self.scoped:
-                col = "date_par" if name == RAW else "event_date"
                 df = df.filter(F.col(col) > F.lit(after))
+            if days is not None and name in self.scoped:
+                df = df.filter(_listed(col, days, self.ahead.get(name, 0)))
             args.append(df)
         return self.fn(*args)
 
 
-def _spec(name, fn, inputs, scoped=None, incremental=True):
-    return MetricSpec(name, fn, inputs, list(inputs if scoped is None else scoped), incremental)
+def _listed(col: str, days: set[str], ahead: int):
+    """Rows of the days and of the ``ahead`` days after each; what isn't a date
+    stands for rows without a day."""
+    known = {dt.date.fromisoformat(d) for d in days if d[:1].isdigit()}
+    reach = sorted({d + dt.timedelta(days=k) for d in known for k in range(ahead + 1)})
+    cond = F.col(col).isin(reach) if reach else F.lit(False)
+    return cond | F.col(col).isNull() if len(known) < len(days) else cond
+
+
+def _spec(name, fn, inputs, scoped=None, incremental=True, ahead=None):
+    return MetricSpec(name, fn, inputs, list(inputs if scoped is None else scoped), incremental, ahead or {})
 
 
 METRICS: dict[str, MetricSpec] = {s.name: s for s in [
@@ -58,7 +73,8 @@ METRICS: dict[str, MetricSpec] = {s.name: s for s in [
     _spec("playtime", M.playtime, [RAW]),
     # Sessions and user_data rows of a cohort are on or after its cohort day,
     # so all three inputs may be cut at the mark.
-    _spec("cohort", M.cohort, ["first_open", "session_start", USER_DATA]),
+    _spec("cohort", M.cohort, ["first_open", "session_start", USER_DATA],
+          ahead={"session_start": M.COHORT_MAX_DAY}),
     _spec("rev_iap_ads3", M.rev_iap_ads3, ["user_engagement", "ad_impression", "in_app_purchase"]),
     _spec("rev_iap_ads3_corrected",
           lambda e, a, i: M.rev_iap_ads3(e, a, i, corrected=True),

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .operators.flatten import FLAT_SPECS
-from .operators.metrics import PLAYTIME_EVENTS
-from .plans import refresh
+from .operators.flatten import FLAT_SPECS, flatten_all, rejects_view
+from .operators.metrics import PLAYTIME_EVENTS, playtime
+from .plans import refresh, versions
 from .plans.pipeline import METRIC_SHAPE, METRICS, RAW, USER_DATA, derived_sources
 from .plans.refresh import flat_increment, metric_increment
-from .schemas import METRIC_CLUSTER
+from .schemas import METRIC_CLUSTER, METRIC_COLUMNS
 from .session import checkpoint_dir, configure
 from .sources.fixture import ALL_EVENTS, read_raw
-from .sources.tables import read_table, table_path, write_table
+from .sources.tables import read_raw_table, read_table, table_path, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +130,72 @@ def dashboard_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    version=s["version"]).select(*df.columns)
 
 
+def arrived_late(raw: DataFrame, before: bool) -> DataFrame:
+    """The raw rows that were there before (or that came later): three old days
+    lacked a fifth of the users, and the first opens of another fifth; days after
+    the cutoff hadn't come."""
+    user = F.substring("user_pseudo_id", 2, 20).cast("bigint")
+    late = ((F.col("date_par") > F.lit(dt.date.fromisoformat(oracle.INCREMENTAL_CUTOFF)))
+            | (F.col("date_par").isin([dt.date.fromisoformat(d) for d in oracle.LATE_DAYS])
+               & ((user % 5 == 0) | ((user % 5 == 1) & (F.col("event_name") == "first_open")))))
+    return raw.filter(~late if before else late)
+
+
+def _synced(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    """The published table of a metric after the early rows were synced, and
+    then all rows."""
+    configure(spark)
+    root = _scratch_root(spark, f"synced-{metric}")
+    raw = read_raw(spark, sf_dir)
+    versions.sync(spark, arrived_late(raw, before=True), root, [metric])
+    versions.sync(spark, raw, root, [metric])
+    return versions.read_version(spark, root, metric, columns=METRIC_COLUMNS[metric])
+
+
+def append_changed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort table after rows arrived late for three old days and new days
+    were added: found by the day manifest, equal to a full build."""
+    return _synced(spark, sf_dir, "cohort")
+
+
+def winrate2_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """winrate2 after first opens arrived late: the days on which their users
+    start levels are rewritten, equal to a full build."""
+    return _synced(spark, sf_dir, "winrate2")
+
+
+def with_duplicates(raw: DataFrame) -> DataFrame:
+    """Raw rows in which some users' level starts hold their level twice."""
+    level = F.filter("event_params", lambda p: p["key"] == "level")
+    twice = ((F.col("event_name") == "start_level")
+             & (F.substring("user_pseudo_id", 2, 20).cast("bigint") % oracle.DUPLICATE_USERS == 3))
+    return raw.withColumn("event_params", F.when(twice, F.concat("event_params", level)).otherwise(F.col("event_params")))
+
+
+def flatten_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept out of the flat layer for a parameter that occurs twice."""
+    configure(spark)
+    return rejects_view(flatten_all(with_duplicates(read_raw(spark, sf_dir)), rejects=True))
+
+
+def playtime_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """playtime with the columns that the dashboard doesn't publish."""
+    return playtime(sources_for(spark, sf_dir, [RAW])(RAW), extra=True)
+
+
+def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of a written export, read back with the declared schema: events
+    and distinct users for each day and event."""
+    configure(spark)
+    root = _scratch_root(spark, "raw-export")
+    refresh.write_raw(read_raw(spark, sf_dir), root)
+    raw = read_raw_table(spark, table_path(root, refresh.RAW_TABLE))
+    users = raw.groupBy("date_par", "event_name", "user_pseudo_id").agg(
+        F.count("*").alias("n"), F.sum(F.size("event_params")).alias("params"))
+    return users.groupBy("date_par", "event_name").agg(
+        F.sum("n").alias("events"), F.count("user_pseudo_id").alias("users"), F.sum("params").alias("params"))
+
+
 def _incremental_cutoff(name: str) -> str:
     return oracle.COHORT_CUTOFF if name == "cohort" else oracle.INCREMENTAL_CUTOFF
 
@@ -149,6 +215,8 @@ def all_queries() -> dict[str, Query]:
     out["cohort_lookback"] = cohort_lookback
     out["cohort_lookback_short"] = cohort_lookback_short
     out["dashboard_slice"] = dashboard_slice
+    for q in (append_changed_days, winrate2_refresh, flatten_rejects, playtime_extra, raw_export):
+        out[q.__name__] = q
     return out
 
 
@@ -167,4 +235,9 @@ def all_oracle_sql() -> dict[str, str]:
     out["cohort_lookback"] = oracle.metric_sql("cohort")
     out["cohort_lookback_short"] = oracle.cohort_refreshed_sql()
     out["dashboard_slice"] = oracle.dashboard_slice_sql()
+    out["append_changed_days"] = oracle.metric_sql("cohort")
+    out["winrate2_refresh"] = oracle.metric_sql("winrate2")
+    out["flatten_rejects"] = oracle.rejects_sql()
+    out["playtime_extra"] = oracle.playtime_extra_sql()
+    out["raw_export"] = oracle.raw_export_sql()
     return out

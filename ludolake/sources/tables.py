@@ -15,12 +15,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import checkpoint_dir
+
 PARTITION = "event_date"
 
 
@@ -29,7 +34,9 @@ def table_path(root: str, name: str) -> str:
 
 
 def _layout(df: DataFrame, partitions: list[str], cluster: list[str],
-            files_per_date: int | None) -> DataFrame:
+            files_per_date: int | None, rows_per_file: int | None) -> DataFrame:
+    if rows_per_file and cluster:
+        return clustered(df, partitions, cluster, rows_per_file)
     if files_per_date:
         # Spread each partition over ``files_per_date`` tasks by a
         # deterministic row hash: a retried task sees the same rows, and no
@@ -46,9 +53,55 @@ def _layout(df: DataFrame, partitions: list[str], cluster: list[str],
     return df.sortWithinPartitions(*partitions, *cluster)
 
 
+def clustered(df: DataFrame, partitions: list[str], cluster: list[str], rows_per_file: int) -> DataFrame:
+    """Rows laid out so that every file of a partition holds a range of the
+    cluster keys: a filter on them then skips whole files by their min/max.
+
+    The rows of each key are counted first (only partition and cluster columns
+    are read for that) and put in order; a key's place among the partition's
+    rows gives its file. A key with more rows than a file has several files,
+    dealt by a hash of the row, so a hot key doesn't make one task. Every file
+    is one task; small partitions share one. Retried tasks deal the same rows
+    the same way.
+    """
+    keys = [*partitions, *cluster]
+    checkpoint_dir(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).checkpoint()
+    order = Window.partitionBy(*partitions).orderBy(*cluster).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(order), F.lit(0).cast("long"))
+    placed = counts.withColumn("_file", F.floor(start / rows_per_file)).withColumn(
+        "_more", F.ceil(F.col("_n") / rows_per_file) - 1)
+    # One row for each partition comes to the driver, with its files.
+    each = placed.groupBy(*partitions).agg(F.sum("_n").alias("_n"), F.max(F.col("_file") + F.col("_more")).alias("_last"))
+    tasks, held, base = [], 0, 0
+    for r in sorted(each.collect(), key=lambda r: tuple((r[c] is not None, r[c]) for c in partitions)):
+        if r["_last"] or held + r["_n"] > rows_per_file:
+            base, held = base + (held > 0), 0
+        tasks.append((*[r[c] for c in partitions], base))
+        if r["_last"]:
+            base += r["_last"] + 1
+        else:
+            held += r["_n"]
+    total = base + 1
+    kinds = [(c, df.schema[c].dataType) for c in partitions]
+    of = df.sparkSession.createDataFrame(tasks, T.StructType([*[T.StructField(c, t) for c, t in kinds],
+                                                              T.StructField("_base", T.LongType())]))
+
+    def match(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+        named = right.withColumnsRenamed({c: f"_on_{c}" for c in cols})
+        return left.join(named, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in cols]), "left").drop(
+            *[f"_on_{c}" for c in cols])
+
+    placed = match(placed, of, partitions).select(*keys, (F.col("_base") + F.col("_file")).alias("_file"), "_more")
+    spread = F.pmod(F.xxhash64(*df.columns), F.col("_more") + 1)
+    return (match(df, placed, keys).repartitionById(total, (F.col("_file") + spread).cast("int"))
+            .sortWithinPartitions(*partitions, *cluster).select(*df.columns))
+
+
 def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
                 mode: str = "overwrite", partition: str | list[str] = PARTITION,
-                files_per_date: int | None = None, stale: Callable[[tuple], bool] | None = None) -> None:
+                files_per_date: int | None = None, stale: Callable[[tuple], bool] | None = None,
+                rows_per_file: int | None = None) -> None:
     """Write ``df`` partitioned by day (and more columns) and clustered by
     ``cluster``.
 
@@ -59,9 +112,11 @@ def write_table(df: DataFrame, path: str, cluster: list[str] | None = None,
     ``stale`` says of a partition's values whether the refresh covers it.
     ``files_per_date``: None rebalances by partition under AQE (default), N
     hashes each partition into N files, 0 writes without a shuffle.
+    ``rows_per_file`` gives every file a range of the cluster keys instead
+    (see ``clustered``).
     """
     partitions = [partition] if isinstance(partition, str) else list(partition)
-    out = _layout(df, partitions, list(cluster or []), files_per_date)
+    out = _layout(df, partitions, list(cluster or []), files_per_date, rows_per_file)
     writer = out.write.partitionBy(*partitions)
     if mode == "dynamic":
         # Partitions are replaced, so the write says which it has filled.
@@ -118,11 +173,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def partition_values(spark: SparkSession, path: str, cols: list[str]) -> set[tuple]:
+def partition_values(spark: SparkSession, path: str, cols: list[str], nulls: bool = False) -> set[tuple]:
     """Distinct values of the partition columns of a table written by this
     package, from its ``col=value`` directories, one level for each column.
     The listing grows with the partitions, not with the files; the partition
-    of NULL is left out, as ``max`` ignores NULL."""
+    of NULL is left out, as ``max`` ignores NULL, unless ``nulls`` is set."""
     jvm, found = spark._jvm, {(): path}
     fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     for col in cols:
@@ -130,7 +185,7 @@ def partition_values(spark: SparkSession, path: str, cols: list[str]) -> set[tup
         for values, folder in found.items():
             for entry in fs.globStatus(jvm.org.apache.hadoop.fs.Path(folder, f"{col}=*")) or ():
                 value = entry.getPath().getName().split("=", 1)[1]
-                if value != NULL_PARTITION:
+                if nulls or value != NULL_PARTITION:
                     below[(*values, unquote(value))] = entry.getPath().toString()
         found = below
     return set(found)

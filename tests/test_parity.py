@@ -1,24 +1,27 @@
 """Every registered query against its DuckDB oracle (the driver's check).
 
-All keys run at sf0.001; the metrics also at sf0.01, where the fixture
-reaches more cases (multi-version days, clamps, NULL levels).
+All keys of the analytics layers run at sf0.001; the metrics also at sf0.01,
+where the fixture reaches more cases (multi-version days, clamps, NULL levels).
 """
 
 import pytest
 
 import __spark_entry__ as entry
+from ludolake.queries import all_oracle_sql, all_queries
 from tests.conftest import SF_MID, SF_SMALL
 from tests.parity import compare
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracle_sql()
 MID_KEYS = ["playtime", "cohort", "rev_iap_ads3", "rev_iap_ads3_corrected", "winrate2",
             "level_booster2", "ads_inter_rw_cnt", "drop_final", "drop_rate3",
-            "cohort_incremental", "winrate2_incremental"]
+            "cohort_incremental", "winrate2_incremental", "playtime_extra", "append_changed_days",
+            "winrate2_refresh", "flatten_rejects"]
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", list(QUERIES))
