@@ -76,23 +76,37 @@ def playtime(raw: DataFrame, extra: bool = False) -> DataFrame:
     computed-but-unpublished ``cohort_size``, ``total_playtime_hours`` and
     ``pct_long_sessions``.
     """
-    keys = ["version", "date_par", "platform", "country"]
+    return playtime_of(playtime_sessions(raw), extra)
+
+
+_GROUP = ["version", "date_par", "platform", "country"]
+
+
+def playtime_sessions(raw: DataFrame) -> DataFrame:
+    """One row for each group, user and session: engagement time, events and
+    long events. Such rows can be merged by sums."""
     # The key test is a cheap, code-generated pre-filter (a row without the
     # key has no engagement time); the exact NULL test follows.
     has_time = F.array_contains(F.col("event_params")["key"], F.lit("engagement_time_msec"))
     rows = (with_params(raw.filter(F.col("event_name").isin(PLAYTIME_EVENTS) & has_time),
-                        [(c, F.col(c)) for c in keys + [USER]]
+                        [(c, F.col(c)) for c in _GROUP + [USER]]
                         + [("ms", "engagement_time_msec", "int"),
                            ("session_id", "ga_session_id", "int")])
             .filter(F.col("ms").isNotNull()))
-    # One row for each group, user and session, merged in the map tasks. Such
-    # a row then stands once for its user and once for its session; each is
-    # counted once in its group. Raw rows are never multiplied (as Spark's
-    # ``Expand`` for two distinct counts would), and no hot group or user sends
-    # more than its users and sessions.
-    each = rows.groupBy(*keys, USER, "session_id").agg(
+    return rows.groupBy(*_GROUP, USER, "session_id").agg(
         F.sum("ms").alias("ms"), F.count("*").alias("n"),
         F.count_if(F.col("ms") >= LONG_SESSION_MS).alias("n_long"))
+
+
+def playtime_of(each: DataFrame, extra: bool = False) -> DataFrame:
+    """``playtime`` from the rows of ``playtime_sessions``.
+
+    Such a row stands once for its user and once for its session; each is
+    counted once in its group. Raw rows are never multiplied (as Spark's
+    ``Expand`` for two distinct counts would), and no hot group or user sends
+    more than its users and sessions.
+    """
+    keys = _GROUP
     none = F.lit(0).cast("bigint")
     n_sessions = F.when(F.col("session_id").isNotNull(), F.col("n")).otherwise(none)
     stands = F.array(
@@ -294,14 +308,19 @@ def winrate2(start_level: DataFrame, win_level: DataFrame, lose_level: DataFrame
 
 
 # -------------------------------------------------------------- level_booster2
-def level_booster2(start_level: DataFrame, booster_used: DataFrame) -> DataFrame:
+def _uses(times: str | None) -> Column:
+    return F.count("*") if times is None else F.sum(times)
+
+
+def level_booster2(start_level: DataFrame, booster_used: DataFrame, times: str | None = None) -> DataFrame:
     """Boosters used and distinct starters per (day, version, integer level).
+    A booster row stands for one use, or for as many as column ``times`` says.
 
     ``num_booster`` is NULL where no booster was used at a started level;
     boosters at levels nobody started are not reported.
     """
     g = [DAY, "version", safe_int("level").alias("level")]
-    boosters = booster_used.groupBy(*g).agg(F.count("*").alias("num_booster"))
+    boosters = booster_used.groupBy(*g).agg(_uses(times).alias("num_booster"))
     starts = (start_level.select(DAY, "version", safe_int("level").alias("level"), USER)
               .distinct().groupBy(DAY, "version", "level")
               .agg(F.count(USER).alias("user_start")))
@@ -309,10 +328,11 @@ def level_booster2(start_level: DataFrame, booster_used: DataFrame) -> DataFrame
     return _out(out, "level_booster2")
 
 
-def booster_type(booster_used: DataFrame) -> DataFrame:
-    """Booster-use events per (day, version, booster type)."""
+def booster_type(booster_used: DataFrame, times: str | None = None) -> DataFrame:
+    """Booster-use events per (day, version, booster type); a row stands for
+    one, or for as many as column ``times`` says."""
     out = booster_used.groupBy(DAY, "version", "booster_type").agg(
-        F.count("*").alias("num_booster_used"))
+        _uses(times).alias("num_booster_used"))
     return _out(out, "booster_type")
 
 

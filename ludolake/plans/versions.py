@@ -58,6 +58,8 @@ class Version:
     schemas: dict[str, str] = field(default_factory=dict)
     #: raw day -> [rows, hash, listing]
     raw: dict[str, list] = field(default_factory=dict)
+    #: stream -> number of its last batch (``streaming.states``)
+    streams: dict[str, int] = field(default_factory=dict)
 
     def holding(self, table: str, write: str, schema: str, filled: set[str], covered: set[str]) -> Version:
         """This version with the days of a write instead of the covered ones."""

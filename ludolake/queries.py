@@ -24,6 +24,7 @@ from .schemas import METRIC_CLUSTER, METRIC_COLUMNS
 from .session import checkpoint_dir, configure
 from .sources.fixture import ALL_EVENTS, read_raw
 from .sources.tables import read_raw_table, read_table, table_path, write_table
+from .streaming import states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,6 +165,18 @@ def winrate2_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _synced(spark, sf_dir, "winrate2")
 
 
+def states_rev_iap_ads3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue and reach kept by mergeable states: three batches of rows, cut
+    across days and users, give a full build."""
+    configure(spark)
+    root = _scratch_root(spark, "states")
+    raw = read_raw(spark, sf_dir)
+    part = F.pmod(F.xxhash64("user_pseudo_id", "event_name", "event_timestamp"), F.lit(3))
+    for k in range(3):
+        states.merge_batch(spark, raw.filter(part == k), root, "batches", k, ["rev_iap_ads3"])
+    return versions.read_version(spark, root, "rev_iap_ads3", columns=METRIC_COLUMNS["rev_iap_ads3"])
+
+
 def with_duplicates(raw: DataFrame) -> DataFrame:
     """Raw rows in which some users' level starts hold their level twice."""
     level = F.filter("event_params", lambda p: p["key"] == "level")
@@ -215,7 +228,8 @@ def all_queries() -> dict[str, Query]:
     out["cohort_lookback"] = cohort_lookback
     out["cohort_lookback_short"] = cohort_lookback_short
     out["dashboard_slice"] = dashboard_slice
-    for q in (append_changed_days, winrate2_refresh, flatten_rejects, playtime_extra, raw_export):
+    for q in (append_changed_days, winrate2_refresh, flatten_rejects, playtime_extra, raw_export,
+              states_rev_iap_ads3):
         out[q.__name__] = q
     return out
 
@@ -240,4 +254,5 @@ def all_oracle_sql() -> dict[str, str]:
     out["flatten_rejects"] = oracle.rejects_sql()
     out["playtime_extra"] = oracle.playtime_extra_sql()
     out["raw_export"] = oracle.raw_export_sql()
+    out["states_rev_iap_ads3"] = oracle.metric_sql("rev_iap_ads3")
     return out

@@ -1,0 +1,101 @@
+"""Mergeable states: batches of any cut give the metrics of a full build."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ludolake.operators import metrics as M
+from ludolake.plans import versions as V
+from ludolake.plans.pipeline import METRICS, derived_sources
+from ludolake.sources.fixture import read_raw
+from ludolake.sources.tables import write_table
+from ludolake.streaming import states as S
+from tests.conftest import SF_SMALL
+
+NAMES = [m for m, s in METRICS.items() if s.incremental]
+
+
+def rows(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+@pytest.fixture(scope="module")
+def merged(spark, tmp_path_factory):
+    """Three batches: most rows up to a day, late rows of old days, the rest."""
+    raw = read_raw(spark, SF_SMALL).cache()
+    root = str(tmp_path_factory.mktemp("states"))
+    h = F.pmod(F.xxhash64("user_pseudo_id", "event_name", "event_timestamp"), F.lit(100))
+    early = F.col("date_par") <= F.lit(dt.date(2024, 1, 12))
+    for k, part in enumerate((early & (h < 90), early & (h >= 90), ~early)):
+        S.merge_batch(spark, raw.filter(part), root, "s", k)
+    return raw, root
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_batches_equal_a_full_build(spark, merged, name):
+    raw, root = merged
+    want = METRICS[name].build(derived_sources(raw))
+    assert rows(V.read_version(spark, root, name, columns=want.columns)) == rows(want)
+
+
+def test_a_replayed_batch_counts_once(spark, merged):
+    raw, root = merged
+    before = V.current(spark, root)
+    assert S.merge_batch(spark, raw, root, "s", 2) == before == V.current(spark, root)
+
+
+def test_a_batch_that_fails_is_merged_once_when_it_comes_again(spark, merged, tmp_path, monkeypatch):
+    raw, _ = merged
+    root, part = str(tmp_path), raw.filter("date_par < DATE '2024-01-06'")
+    S.merge_batch(spark, part.filter("event_name != 'booster_used'"), root, "s", 0, ["booster_type", "dau"])
+    with monkeypatch.context() as m:
+        m.setattr(V, "publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            S.merge_batch(spark, part.filter("event_name = 'booster_used'"), root, "s", 1, ["booster_type", "dau"])
+    S.merge_batch(spark, part.filter("event_name = 'booster_used'"), root, "s", 1, ["booster_type", "dau"])
+    for name in ("booster_type", "dau"):
+        want = METRICS[name].build(derived_sources(part))
+        assert rows(V.read_version(spark, root, name, columns=want.columns)) == rows(want)
+
+
+def test_stream_reads_only_its_new_files(spark, merged, tmp_path):
+    """A file with 1 % of a day comes after the others: they may even be gone."""
+    raw, _ = merged
+    export, root, ckpt = (str(tmp_path / x) for x in ("raw", "wh", "ckpt"))
+    day = raw.filter("date_par <= DATE '2024-01-03'")
+    h = F.pmod(F.xxhash64("user_pseudo_id", "event_name", "event_timestamp"), F.lit(100))
+    write_table(day.filter(h > 0), export, partition="date_par", files_per_date=0)
+    names = ["dau", "playtime", "rev_iap_ads3"]
+    S.state_stream(spark, export, root, ckpt, names).awaitTermination()
+    first = V.current(spark, root).number
+    for folder, _, files in os.walk(export):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(f"{folder}/{f}", "wb"):      # nobody can read these again
+                    pass
+    write_table(day.filter(h == 0), export, partition="date_par", mode="append", files_per_date=0)
+    S.state_stream(spark, export, root, ckpt, names).awaitTermination()
+    assert V.current(spark, root).number == first + 1
+    for name in names:
+        want = METRICS[name].build(derived_sources(day))
+        assert rows(V.read_version(spark, root, name, columns=want.columns)) == rows(want)
+
+
+def test_merging_in_parts_equals_merging_at_once(spark, merged):
+    raw, _ = merged
+    h = F.pmod(F.xxhash64("user_pseudo_id", "event_timestamp"), F.lit(3))
+    for state in S.STATES.values():
+        parts = [state.merged(state.rows(raw.filter(h == k))) for k in range(3)]
+        together = state.merged(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+        whole = state.merged(state.rows(raw))
+        assert rows(together) == rows(whole), state.name
+
+
+def test_booster_rows_that_stand_for_several(spark):
+    keys = "event_date date, version string, level long, booster_type string, uses long"
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(day, "1", 1, "a", 3), (day, "1", 2, "a", 4), (day, "1", 1, None, 2)], keys)
+    got = {(r["booster_type"], r["num_booster_used"]) for r in M.booster_type(df, times="uses").collect()}
+    assert got == {("a", 7), (None, 2)}
