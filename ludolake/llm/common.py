@@ -107,6 +107,37 @@ def _copied(batch: pa.RecordBatch, begin: int, end: int) -> pa.RecordBatch:
     return batch.take(pa.array(range(begin, end), pa.int64()))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it
+    (whatever the case of its letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def column(name: str) -> Column:
+    """A column by its exact name, whatever signs are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def with_key(docs: DataFrame, doc_id: str, text: str, *more: str) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, under a free name: a struct of the id, the
+    digest of the text, and more columns. It names a row up to exact copies of
+    these, and clashes with no column of the table."""
+    key = free(docs, "row_key")
+    parts = [column(doc_id).cast("long").alias("id"), text_digest(column(text)).alias("digest"),
+             *(column(m).alias(f"more_{i}") for i, m in enumerate(more))]
+    return docs.withColumn(key, F.struct(*parts)), key
+
+
+def without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` (``with_key``) whose key isn't among those of ``gone``
+    (one struct column of the same fields), without the key."""
+    other = free(keyed, "gone_key")
+    return keyed.join(gone.toDF(other), F.col(key).eqNullSafe(F.col(other)), "left_anti").drop(key)
+
+
 def bucket_of(key: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
 

@@ -8,13 +8,15 @@ set of window hashes; the few starts that are in it go on with their words and
 are verified by equality. A document word inside any occurrence is hit.
 
 The set of hashes is part of the plan (an IN set, sent with the tasks) as long
-as the benchmark has at most ``MAX_SET`` windows; a larger benchmark is joined
-on the windows' words instead, with the same result.
+as the benchmark has at most ``max_set`` windows (0.8 MB of keys). The keys of a
+larger benchmark are a table: places and keys of all starts are joined with it,
+and only the words of hits are looked up again. The result is the same.
 
 Defined cases: null text has no words; an item without words has no windows; a
-text of fewer words than a window can only hold a shorter item. Repeated rows
-are judged one by one. Other columns are left as they are. Empty tables give
-no hits or no rows.
+text of fewer words than a window can only hold a shorter item; texts of any
+length are read whole. Repeated rows, rows that share an id and rows without one
+are judged and cut one by one, by their own text. Other columns are left as they
+are, whatever their names. Empty tables give no hits or no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
-from .common import cut, text_digest
+from .common import column, cut, free, with_key, without
 
 #: Characters that end a word (fixed by the definition of a word).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -50,40 +52,55 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
                     F.xxhash64("part").alias("key")).distinct())
 
 
-def _starts(n: int, keys: list[int] | None) -> str:
+def _starts(n: int, keys: list[int]) -> str:
     """SQL for the candidate starts of windows of n words in the array w."""
     every = f"if(size(w) >= {n}, sequence(1, size(w) - {n - 1}), array())"
-    if keys is not None:
-        listed = ", ".join(f"{k}L" for k in keys)
-        every = f"filter({every}, i -> xxhash64(slice(w, i, {n})) IN ({listed}))"
+    listed = ", ".join(f"{k}L" for k in keys)
+    every = f"filter({every}, i -> xxhash64(slice(w, i, {n})) IN ({listed}))"
     return f"transform({every}, i -> struct(i AS at, {n} AS n, array_join(slice(w, i, {n}), ' ') AS gram))"
 
 
-def _candidates(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _candidates(docs: DataFrame, found: DataFrame, doc_id: str, text: str, max_set: int) -> DataFrame:
+    # One row for each length of window; lengths are at most ``window``.
     lengths = {r["n"]: r["c"] for r in found.groupBy("n").agg(F.countDistinct("key").alias("c")).collect()}
-    keys: dict[int, list[int] | None] = dict.fromkeys(lengths)
-    if sum(lengths.values()) <= MAX_SET:
-        keys = {n: [] for n in lengths}
-        for r in found.select("n", "key").distinct().collect():
-            keys[r["n"]].append(r["key"])
+    rows = docs.select(column(doc_id).alias("doc_id"), words(column(text)).alias("w"))
+    if sum(lengths.values()) > max_set:
+        return _joined(rows, found, sorted(lengths))
+    keys: dict[int, list[int]] = {n: [] for n in lengths}
+    for r in found.select("n", "key").distinct().collect():
+        keys[r["n"]].append(r["key"])
     parts = ", ".join(_starts(n, keys[n]) for n in sorted(keys))
     hits = f"concat({parts})" if parts else "cast(array() AS array<struct<at:int,n:int,gram:string>>)"
     # transform(array(w), w -> ...) names the words, so they are split once.
     judged = F.expr(f"transform(array(w), w -> struct(size(w) AS n_words, {hits} AS hits))[0]")
-    return (docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w"))
-            .select("doc_id", judged.alias("j"))
-            .select(F.monotonically_increasing_id().alias("row"), "doc_id",
-                    F.col("j.n_words").cast("long").alias("n_words"), "j.hits"))
+    return rows.select("doc_id", judged.alias("j")).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.col("j.n_words").cast("long").alias("n_words"), "j.hits")
+
+
+def _joined(rows: DataFrame, found: DataFrame, lengths: list[int]) -> DataFrame:
+    """``_candidates`` by a join: each start of a window as (row, place, length,
+    64-bit key) with the table of keys; only the words of hits are looked up
+    again, in the rows that were written before."""
+    rows = cut(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "w"))
+    every = ", ".join(f"if(size(w) >= {n}, transform(sequence(1, size(w) - {n - 1}), "
+                      f"i -> struct(i AS at, {n} AS n, xxhash64(slice(w, i, {n})) AS key)), array())" for n in lengths)
+    starts = rows.select("row", F.explode(F.expr(f"concat({every})")).alias("s")).select("row", "s.*")
+    hits = (starts.join(found.select("n", "key").distinct(), ["n", "key"])
+            .groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("places")))
+    gram = F.expr("transform(places, p -> struct(p.at AS at, p.n AS n, array_join(slice(w, p.at, p.n), ' ') AS gram))")
+    none = F.expr("cast(array() AS array<struct<at:int,n:int,gram:string>>)")
+    return rows.join(hits, "row", "left").select(
+        "row", "doc_id", F.size("w").cast("long").alias("n_words"), F.coalesce(gram, none).alias("hits"))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
-         item_id: str = "item_id", item_text: str = "text", window: int = 10) -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text", window: int = 10, max_set: int = MAX_SET) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``n_words``, ``n_hit``
     (words inside occurrences), ``items`` (sorted as strings, of items with an
     occurring window) and ``spans`` (maximal runs of hit words: first word,
     counted from 0, and the one after the last)."""
     found = cut(windows(benchmark, item_id, item_text, window))
-    rows = cut(_candidates(docs, found, doc_id, text))
+    rows = cut(_candidates(docs, found, doc_id, text, max_set))
     grams = found.select("gram", "n").distinct()
     hits = cut(rows.select("row", F.explode("hits").alias("h")).select("row", "h.*")
                .join(grams, ["gram", "n"]))
@@ -115,33 +132,34 @@ def digest(scanned: DataFrame) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
+def remove_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                     **how) -> DataFrame:
     """``docs`` without those that hold a window, each row by its own text."""
-    keyed = docs.withColumn("_key", F.struct(F.col(doc_id).alias("id"),
-                                             text_digest(F.col(how.get("text", "text"))).alias("digest")))
-    hit = (scan(keyed, benchmark, "_key", **how).filter("n_hit > 0")
-           .select(F.col("doc_id.id").alias("_id"), F.col("doc_id.digest").alias("_digest")).distinct())
-    return keyed.join(hit, F.col("_key.id").eqNullSafe(F.col("_id"))
-                      & (F.col("_key.digest") == F.col("_digest")), "left_anti").drop("_key")
+    keyed, key = with_key(docs, doc_id, text)
+    hit = scan(keyed, benchmark, key, text, **how).filter("n_hit > 0").select("doc_id").distinct()
+    return without(keyed, key, hit)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  **how) -> DataFrame:
     """``docs`` with the hit words, and the separators that follow each, cut
-    out of the text. Ids must be unique here."""
-    spans = (scan(docs, benchmark, doc_id, text, **how).filter("n_hit > 0")
-             .select(F.col("doc_id").alias(doc_id), F.col("spans").alias("_spans")))
+    out of the text, each row by its own text."""
+    keyed, key = with_key(docs, doc_id, text)
+    other, spans = free(keyed, "found_key"), free(keyed, "found_spans")
+    found = (scan(keyed, benchmark, key, text, **how).filter("n_hit > 0")
+             .groupBy("doc_id").agg(F.any_value("spans").alias("spans")).toDF(other, spans))
     inner, word = SEPARATORS, SEPARATORS.replace("[", "[^", 1)
     # A piece is a word with what follows; a text's leading separators make
     # one more piece in front.
-    pieces = F.split(F.col(text), f"(?<={inner})(?={word})")
-    lead = F.when(F.col(text).rlike(f"^{inner}"), 1).otherwise(0)
-    joined = (docs.join(spans, doc_id, "left")
-              .withColumn("_pieces", pieces).withColumn("_lead", lead))
-    kept = F.expr("array_join(filter(_pieces, (p, i) -> "
-                  "not exists(_spans, s -> i - _lead >= s.begin and i - _lead < s.end)), '')")
-    return (joined.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(kept))
-            .select(*docs.columns))
+    pieces = F.split(column(text), f"(?<={inner})(?={word})")
+    lead = F.when(column(text).rlike(f"^{inner}"), 1).otherwise(0)
+    hit = F.struct(pieces.alias("pieces"), lead.alias("lead"), F.col(spans).alias("spans"))
+    cut_out = F.transform(F.array(hit), lambda x: F.array_join(F.filter(
+        x["pieces"], lambda p, i: ~F.exists(x["spans"], lambda s: (i - x["lead"] >= s["begin"])
+                                            & (i - x["lead"] < s["end"]))), ""))[0]
+    new = F.when(F.col(spans).isNull(), column(text)).otherwise(cut_out)
+    return (keyed.join(found, F.col(key).eqNullSafe(F.col(other)), "left")
+            .select(*(new.alias(c) if c == text else column(c) for c in docs.columns)))
 
 
 ORACLE = r"""

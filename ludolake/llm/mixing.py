@@ -25,7 +25,8 @@ count of shards reaches the driver; a source's blocks meet only as sums.
 
 Defined cases: a null, empty or blank text has size 0 and is taken 0 words; a
 source of size 0 has target 0. Rows that repeat a document id within a source
-are drawn together, each as often as the others. Empty table: empty result.
+are drawn together, each as often as the others. Texts of any length are counted
+whole. Other columns stay as they are. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import column, cut, free
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_REPEATS = 3
@@ -200,8 +201,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     ``size``. The second has a row for each row of ``docs``: ``doc_id``,
     ``source``, ``size``, ``rank``, ``source_size``, ``target``.
     """
-    sizes = cut(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-                            size_of(F.col(text)).alias("size")))
+    sizes = cut(docs.select(column(doc_id).alias("doc_id"), column(source).alias("source"),
+                            size_of(column(text)).alias("size")))
     per = cut(targets(sizes))
     units = sizes.groupBy("source", "doc_id").agg(F.sum("size").alias("size"))
     counted, units = _plan(per, units, seed)
@@ -246,9 +247,19 @@ def taken(docs: DataFrame, **how) -> DataFrame:
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", **how) -> DataFrame:
     """The documents of the mix, once for each draw of their source, with
     ``shard``, ``position`` and ``copy``. A null id or source is one like any
-    other; rows that repeat an id within a source share their draws."""
+    other; rows that repeat an id within a source share their draws. Columns of
+    ``docs`` keep their names: where it has one of these three, the new one
+    begins with ``mix_``."""
     mixed, rows = mix(docs, doc_id=doc_id, source=source, **how)
     drawn = (mixed.join(rows.select("rank", F.col("source").alias("_source")).distinct(), "rank")
-             .select("_source", F.col("doc_id").alias("_id"), "shard", "position", "copy"))
-    return docs.join(drawn, F.col(doc_id).eqNullSafe(F.col("_id"))
-                     & F.col(source).eqNullSafe(F.col("_source"))).drop("_id", "_source")
+             .select(F.struct(F.col("doc_id").alias("id"), F.col("_source").alias("source")).alias("of"),
+                     "shard", "position", "copy"))
+    key, other = free(docs, "drawn_row"), free(docs, "drawn_of")
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("shard", "position", "copy"):
+        while name in taken:
+            name = f"mix_{name}"
+        names.append(name)
+    keyed = docs.withColumn(key, F.struct(column(doc_id).alias("id"), column(source).alias("source")))
+    return (keyed.join(drawn.toDF(other, *names), F.col(key).eqNullSafe(F.col(other)))
+            .select(*map(column, [*docs.columns, *names])))

@@ -31,8 +31,8 @@ nothing, and is its own component. Fewer words than a shingle: the whole
 sequence is one shingle. Rows that repeat a document id are kept, each with
 the component of its own text: sets are told apart by their content, ids only
 name the components at the end. A null id counts as smaller than all others.
-Other columns are ignored. Empty table: empty
-result.
+Texts of any length are read whole. Other columns stay as they are, whatever
+their names. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -46,7 +46,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import askshare, wordhash as W
-from .common import BUCKET_BYTES, bucket_of, cut, dealt, id_in, id_out, text_bytes, text_digest, texts
+from .common import (BUCKET_BYTES, bucket_of, column, cut, dealt, free, id_in, id_out, text_bytes, texts,
+                     with_key)
 from .components import components
 
 #: Sets compared with each other inside one chunk of a group.
@@ -427,7 +428,7 @@ def _link_across(sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                        shingle: int = 5, percent: int = 75) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs``."""
-    return _judged(docs, doc_id, text, shingle, percent, False).drop("text_digest")
+    return _judged(docs, doc_id, text, shingle, percent, False).drop("text_digest", "component")
 
 
 def _judged(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, percent: int = 75,
@@ -436,7 +437,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, percent:
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     # About one prefix hash for every 14 bytes of text.
     n_parts = max(1, math.ceil(size / 14 / askshare.RANGE_KEYS))
-    sent = dealt(docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(text).alias("text")), n_buckets)
+    sent = dealt(docs.select(id_in(column(doc_id)).alias("doc_id"), column(text).alias("text")), n_buckets)
     asked = sent.groupBy("bucket").applyInArrow(
         lambda t: _ask(t, shingle, percent, n_parts), askshare.ASK_SCHEMA)
     answers = asked.groupBy("part").applyInArrow(_answer, askshare.ANSWER_SCHEMA)
@@ -461,20 +462,34 @@ def _judged(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, percent:
                .join(across.withColumnRenamed("node", "comp"), "comp", "left")
                .select("comp", "low", F.coalesce("root", "comp").alias("component")))
     least = of_comp.groupBy("component").agg(F.min("low").alias("least"))
-    of_comp = of_comp.join(least, "component").select("comp", "least")
-    final = sets.select("doc", "comp").join(of_comp, "comp").select("doc", "least")
-    of_local = member.join(final, "doc").select("local", "least")
+    of_comp = of_comp.join(least, "component").select("comp", "component", "least")
+    final = sets.select("doc", "comp").join(of_comp, "comp").select("doc", "component", "least")
+    of_local = member.join(final, "doc").select("local", "component", "least")
     return (rows.select("doc_id", "n", "local", "owner", "text_digest").join(of_local, "local", "left")
             .select(id_out(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-                    id_out(F.coalesce("least", "owner")).alias("component_id"), "text_digest"))
+                    id_out(F.coalesce("least", "owner")).alias("component_id"), "text_digest",
+                    # Equal sets of one bucket go on under one name, even if no other has them.
+                    F.when(F.col("n") > 0, F.coalesce("component", "local")).alias("component")))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component: the one of the smallest
-    id. Rows of the component that repeat that id all stay, as do rows without
-    an id. Texts that share an id are judged each by its own component."""
-    found = _judged(docs, doc_id, text, **how)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_id"), F.col("text_digest").alias("_of")).distinct()
-    return docs.withColumn("_digest", text_digest(F.col(text))).join(
-        gone, (F.col(doc_id) == F.col("_id")) & (F.col("_digest") == F.col("_of")), "left_anti").drop("_digest")
+    """``docs`` with one row of each component: of the smallest id (a null one
+    comes first), of its texts the one of the smallest digest, and of rows that
+    are equal in both any one. Rows without words are linked with nothing and
+    all stay. Texts that share an id are judged each by its own component."""
+    found = cut(_judged(docs, doc_id, text, **how).filter("component IS NOT NULL").groupBy(
+        "component", F.struct(F.col("doc_id").alias("id"), F.col("text_digest").alias("digest")).alias("row"))
+        .agg(F.count(F.lit(1)).alias("rows")))
+    first = found.groupBy("component").agg(F.min("row").alias("first"))
+    # What needs a decision: rows that go, and the repeated ones of those that stay.
+    judged = (found.join(first, "component").withColumn("goes", F.col("row") != F.col("first"))
+              .filter("goes OR rows > 1").select("row", "goes"))
+    keyed, key = with_key(docs, doc_id, text)
+    other, goes = free(keyed, "judged_row"), free(keyed, "judged_goes")
+    kept = (keyed.join(cut(judged).toDF(other, goes), F.col(key).eqNullSafe(F.col(other)), "left")
+            .filter(~F.coalesce(goes, F.lit(False))))
+    # Equal rows meet in the map tasks first, so many of them are no hot group.
+    names = list(map(column, docs.columns))
+    once = (kept.filter(F.col(goes).isNotNull()).groupBy(key)
+            .agg(F.any_value(F.struct(*names)).alias(key + "s")).select(f"{key}s.*"))
+    return kept.filter(F.col(goes).isNull()).select(*names).unionAll(once)

@@ -18,17 +18,17 @@ integer keys.
    over its documents.
 
 A quarter of the trusted documents is left out of the counts; their
-perplexities give each language's threshold, a quantile. A language with fewer
-than ``MIN_HELD_OUT`` of them, whose quantile would be no more than the largest
-one, takes the quantile over all languages' held-out documents (over all
-trusted ones where none is held out). A document above its language's
-threshold is rejected.
+perplexities give each language's threshold, a quantile. The fewer there are of
+a language, the less its own quantile says (of a hundred it is the largest one),
+and the more counts its median and the spread that all languages share; see
+``thresholds``. A document above its language's threshold is rejected.
 
 Defined cases: null or empty text has no perplexity and is kept, as is a
 document of a language without trusted documents; null is a language of its
 own. Repeated labels of a document count as one (its worst). Rows that repeat
-a document id are judged one by one. Other columns are ignored. Without any
-trusted document everything is kept. Empty table: empty result.
+a document id are judged one by one. Texts of any length are read whole. Other
+columns stay as they are, whatever their names. Without any trusted document
+everything is kept. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -43,12 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash as W
-from .common import bucket_of, cut, dealt, id_in, id_out, text_bytes, text_digest, texts
+from .common import bucket_of, column, cut, dealt, id_in, id_out, text_bytes, texts, with_key, without
 
 ORDER = 5
 QUANTILE = 0.995
-#: Below as many held-out documents, the quantile is their maximum.
-MIN_HELD_OUT = 200
+#: Held-out documents that a language needs for its own quantile to weigh as
+#: much as its median with the spread of all languages.
+PRIOR = 200
 BUCKET_BYTES = 16 << 20
 #: Text whose n-gram types one part of the type tables is meant to hold.
 PART_BYTES = 64 << 20
@@ -260,8 +261,8 @@ def perplexities(docs: DataFrame, good: DataFrame, doc_id: str = "doc_id", text:
     size = text_bytes(docs, text)
     n_buckets = max(1, math.ceil(size / BUCKET_BYTES))
     n_parts = max(1, math.ceil(size / PART_BYTES))
-    rows = docs.select(id_in(F.col(doc_id)).alias("doc_id"), F.col(lang).alias("lang"),
-                       F.col(text).alias("text"))
+    rows = docs.select(id_in(column(doc_id)).alias("doc_id"), column(lang).alias("lang"),
+                       column(text).alias("text"))
     sent = dealt(rows, n_buckets)
     marks = good.withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets))
     gathered = cut(sent.groupBy("bucket").cogroup(marks.groupBy("bucket"))
@@ -287,27 +288,42 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **c
 def _judged(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **columns) -> DataFrame:
     good = cut(trusted(labels))
     scored = perplexities(docs, good, **columns)
-    known = cut(scored.join(good, "doc_id").select(F.col("lang").alias("_lang"), "train", "perplexity"))
-    held_out = F.when(~F.col("train"), F.col("perplexity"))
-    every = known.agg(F.coalesce(F.percentile_approx(held_out, quantile, 10000),
-                                 F.percentile_approx("perplexity", quantile, 10000)).alias("every"))
-    limits = (known.groupBy("_lang").agg(F.count(held_out).alias("n"),
-                                         F.percentile_approx(held_out, quantile, 10000).alias("own"))
-              .crossJoin(every)
-              .select("_lang", F.when(F.col("n") >= MIN_HELD_OUT, F.col("own")).otherwise(F.col("every"))
-                      .alias("threshold")))
-    return (scored.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    known = cut(scored.join(good, "doc_id").filter("perplexity IS NOT NULL").select(
+        F.col("lang").alias("_lang"), "train", F.log("perplexity").alias("x")))
+    own = thresholds(known, quantile)
+    return (scored.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left")
             .select("doc_id", "lang", "n_bytes", "perplexity", "threshold",
                     F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("keep"), "digest"))
 
 
+def thresholds(known: DataFrame, quantile: float, prior: int = PRIOR) -> DataFrame:
+    """``(_lang, threshold)`` from the log perplexities ``(_lang, train, x)`` of
+    the trusted documents: the language's own quantile of held-out documents,
+    and its median raised by what all languages' documents exceed their own
+    medians by at that quantile, weighed as n to ``prior``. A language without
+    held-out documents takes the quantile over all of them (over all trusted
+    ones where none is held out)."""
+    held = known.filter("NOT train")
+    each = held.groupBy("_lang").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("x", 0.5, 10000).alias("middle"),
+                                     F.percentile_approx("x", quantile, 10000).alias("own"))
+    over = held.join(each.select(F.col("_lang").alias("_of"), "middle"), F.col("_lang").eqNullSafe(F.col("_of")))
+    above, every = over.agg(F.percentile_approx(F.col("x") - F.col("middle"), quantile, 10000),
+                            F.percentile_approx("x", quantile, 10000)).first()
+    if every is None:
+        every = known.agg(F.percentile_approx("x", quantile, 10000)).first()[0]
+    weight = F.col("n") / (F.col("n") + prior)
+    blend = weight * F.col("own") + (1 - weight) * (F.col("middle") + F.lit(above).cast("double"))
+    langs = known.select("_lang").distinct()
+    each = each.select(F.col("_lang").alias("_of"), blend.alias("blend"))
+    return (langs.join(each, F.col("_lang").eqNullSafe(F.col("_of")), "left")
+            .select("_lang", F.exp(F.coalesce("blend", F.lit(every).cast("double"))).alias("threshold")))
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
               lang: str = "lang", **how) -> DataFrame:
     """``docs`` without the rejected ones, each row by its own text and
     language."""
+    keyed, key = with_key(docs, doc_id, text, lang)
     gone = (_judged(docs, labels, doc_id=doc_id, text=text, lang=lang, **how).filter("NOT keep")
-            .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("digest").alias("_of"))
-            .distinct())
-    return docs.withColumn("_digest", text_digest(F.col(text))).join(
-        gone, F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(lang).eqNullSafe(F.col("_lang"))
-        & (F.col("_digest") == F.col("_of")), "left_anti").drop("_digest")
+            .select(F.struct(F.col("doc_id").alias("id"), "digest", F.col("lang").alias("more_0"))).distinct())
+    return without(keyed, key, gone)

@@ -18,7 +18,8 @@ Defined cases: null text is empty, without spans. Offsets are code points, the
 end exclusive. A weak part that overlaps a base span is dropped; so is one that
 overlaps an earlier weak part of its kind. Repeated rows, rows that share an id
 and rows without one are judged and redacted one by one, by their own text.
-Empty table: empty result.
+Texts of any length are read whole. Other columns stay as they are, whatever
+their names. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from bisect import bisect_left
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
-from .common import cut, text_digest
+from .common import column, cut, free, with_key
 
 # Fixed patterns of the base spans.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -100,7 +101,7 @@ def _parts(batches):
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reach: int = 200) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` (base and linked ones) of every row;
     a span is (start, rank in ``KINDS``, end), in that order."""
-    return _find(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), reach)
+    return _find(docs.select(column(doc_id).cast("long").alias("doc_id"), column(text).alias("text")), reach)
 
 
 def _find(rows: DataFrame, reach: int) -> DataFrame:
@@ -150,20 +151,24 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars:
     """``docs`` with every reported span replaced by ``mark`` (overlapping
     spans by one), and ``n_chars`` renewed. Every row comes out once: spans go
     back to the id and text that they were found in."""
-    keyed = docs.withColumn("_digest", text_digest(F.col(text)))
-    spans = (_find(keyed.select(F.col(doc_id).alias("_id"), "_digest", F.col(text).alias("text")), reach)
-             .filter(F.size("spans") > 0).select("_id", "_digest", F.col("spans").alias("_spans"))
-             .dropDuplicates(["_id", "_digest"]).withColumnRenamed("_digest", "_of"))
+    keyed, key = with_key(docs, doc_id, text)
+    other, spans = free(keyed, "found_key"), free(keyed, "found_spans")
+    found = (_find(keyed.select(F.col(key).alias("key"), column(text).alias("text")), reach)
+             .filter(F.size("spans") > 0).groupBy("key").agg(F.any_value("spans").alias("spans")).toDF(other, spans))
     # What is kept of the text: from the farthest end so far to the next start.
-    pieces = F.expr(
-        f"aggregate(_spans, named_struct('at', 0L, 'out', ''), (a, s) -> named_struct("
-        f"'at', greatest(a.at, s.end), 'out', if(s.start < a.at, a.out, concat(a.out, "
-        f"substring({text}, cast(a.at + 1 AS int), cast(s.start - a.at AS int)), '{mark}'))), "
-        f"a -> concat(a.out, substring({text}, cast(a.at + 1 AS int))))")
-    joined = keyed.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of")), "left")
-    new = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(pieces)
-    out = joined.withColumn(text, new)
+    body, listed = column(text), F.col(spans)
+
+    def piece(a: Column, s: Column) -> Column:
+        more = F.concat(a["out"], F.substring(body, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
+                        F.lit(mark))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
+                        F.when(s["start"] < a["at"], a["out"]).otherwise(more).alias("out"))
+
+    cleaned = F.aggregate(listed, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), piece,
+                          lambda a: F.concat(a["out"], F.substr(body, (a["at"] + 1).cast("int"))))
+    out = keyed.join(found, F.col(key).eqNullSafe(F.col(other)), "left").withColumn(
+        text, F.when(listed.isNull(), body).otherwise(cleaned))
     if n_chars and n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.when(F.col("_spans").isNull(), F.col(n_chars))
-                             .otherwise(F.char_length(text)).cast(docs.schema[n_chars].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn(n_chars, F.when(listed.isNull(), column(n_chars)).otherwise(
+            F.char_length(column(text)).cast(docs.schema[n_chars].dataType)))
+    return out.select(*map(column, docs.columns))

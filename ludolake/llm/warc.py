@@ -22,11 +22,14 @@ The size of a file is bounded by the writer (``FILE_BYTES`` of payload and one
 record more); one file is what a reading task holds.
 
 Defined cases: null html is an empty payload, null url leaves the target line
-out; control characters in a url are percent-encoded. Rows that repeat a page
-id are written each; a revisit refers to the smallest id of its payload, and
-all rows with that id and payload are responses. A chain that ends before
-the end of its file, or a digest that doesn't match, raises an error. Empty
-table: no file, empty result.
+out; control characters in a url are percent-encoded. Every row is a record, and
+a payload has one response: of the rows with the smallest id (null last) the one
+with the smallest url (null last), and of rows that are equal in that, too, any
+one. All others revisit it, also those with its id; a response without an id is
+referred to by null. Urls and payloads may be of any length. A chain that ends
+before the end of its file, or a digest that doesn't match, raises an error.
+Other columns don't matter, whatever their names. Empty table: no file, empty
+result.
 """
 
 from __future__ import annotations
@@ -40,10 +43,11 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as Wd
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import cut
+from .common import column, cut
 
 MAGIC = b"WARC/1.1\r\n"
 FILE_BYTES = 8 << 20
@@ -65,24 +69,35 @@ def digest32(payload: Column) -> Column:
 
 def plan_records(pages: DataFrame, files: int, page_id: str = "page_id", url: str = "url",
                  html: str = "html", min_bytes: int = 0) -> DataFrame:
-    """Every page with its payload's digest and what kind of record it gets,
-    in one partition for each file."""
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
-                        F.coalesce(F.col(html), F.lit("")).alias("html"))
+    """Every page with its payload's digest and what kind of record it gets
+    (``revisit``, ``refers_to``), in one partition for each file."""
+    rows = pages.select(column(page_id).cast("long").alias("page_id"), column(url).alias("url"),
+                        F.coalesce(column(html), F.lit("")).alias("html"))
     rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("long"))
     rows = rows.withColumn("payload_digest", digest32(F.col("html").cast("binary")))
+    # Names a row up to exact copies with the payload; never null, sorts by id
+    # (null last), then url (null last).
+    shifted = F.lpad((F.col("page_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    rows = rows.withColumn("who", F.concat(F.coalesce(shifted, F.lit("~")), F.coalesce(
+        F.concat(F.lit(" "), F.col("url")), F.lit("~"))))
     # Sums before the shuffle, so copies cost little.
-    kinds = cut(rows.select("page_id", "payload_digest", "payload_bytes"))
+    kinds = cut(rows.select("page_id", "who", "payload_digest", "payload_bytes"))
     payload = ["payload_digest", "payload_bytes"]
-    first = (kinds.groupBy(payload).agg(F.min("page_id").alias("first_id"), F.max("page_id").alias("last_id"))
-             .filter(F.col("first_id") < F.col("last_id")).select(*payload, "first_id"))
+    first = (kinds.filter(F.col("payload_bytes") >= min_bytes).groupBy(payload)
+             .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("who", "page_id")).alias("first"))
+             .filter("n > 1").select(*payload, "first"))
     # Only repeated payloads are looked up; a frequent one is split by AQE.
-    revisits = (kinds.filter(F.col("payload_bytes") >= min_bytes).join(first, payload)
-                .filter(F.col("page_id") > F.col("first_id"))
-                .select("page_id", "payload_digest", F.col("first_id").alias("refers_to")).distinct())
+    repeated = (kinds.join(first, payload)
+                .select("who", "payload_digest", F.col("first.page_id").alias("first_id"),
+                        (F.col("who") == F.col("first.who")).alias("is_first")).distinct())
     # Dealt out once, by what the lookup needs and into as many files as wanted.
-    return rows.repartition(files, "page_id", "payload_digest").join(
-        revisits, ["page_id", "payload_digest"], "left")
+    planned = rows.repartition(files, "who", "payload_digest").join(repeated, ["who", "payload_digest"], "left")
+    # Of rows that are equal in all of this, one is the response; they are in
+    # one partition already.
+    nth = F.row_number().over(Wd.partitionBy("who", "payload_digest").orderBy("who"))
+    revisit = F.col("is_first").isNotNull() & (~F.col("is_first") | (nth > 1))
+    return (planned.withColumn("revisit", F.coalesce(revisit, F.lit(False)))
+            .withColumn("refers_to", F.when(F.col("revisit"), F.col("first_id"))).drop("who", "is_first", "first_id"))
 
 
 def _record(columns: DataFrame) -> DataFrame:
@@ -93,16 +108,17 @@ def _record(columns: DataFrame) -> DataFrame:
     end = "\r\n"
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{end}Content-Type: text/html; charset=utf-8{end}Content-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit(end + end))
-    revisit = F.col("refers_to").isNotNull()
+    revisit = F.col("revisit")
+    refers = F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.coalesce(F.col("refers_to").cast("string"), F.lit("")),
+                      F.lit(f">{end}WARC-Profile: {PROFILE}{end}X-Payload-Length: "),
+                      F.col("payload_bytes").cast("string"), F.lit(end))
     head = F.concat(
         F.lit(MAGIC.decode()), F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response"), F.lit(end),
         F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(f">{end}"),
         F.coalesce(F.concat(F.lit("WARC-Target-URI: "), uri, F.lit(end)), F.lit("")),
         F.lit(f"WARC-Date: {_DATE}{end}"),
         F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest"), F.lit(end),
-        F.coalesce(F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"),
-                            F.lit(f">{end}WARC-Profile: {PROFILE}{end}X-Payload-Length: "),
-                            F.col("payload_bytes").cast("string"), F.lit(end)), F.lit("")),
+        F.when(revisit, refers).otherwise(""),
         F.lit(f"Content-Type: application/http; msgtype=response{end}Content-Length: "))
     block = F.concat(http, F.when(revisit, "").otherwise(F.col("html")))
     return columns.select(F.concat(head, F.octet_length(block).cast("string"), F.lit(end + end), block,
@@ -112,7 +128,7 @@ def _record(columns: DataFrame) -> DataFrame:
 def write(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, **columns) -> None:
     """Writes ``pages`` as WARC files of about ``file_bytes`` each. Files are
     filled by hash, so a frequent host or payload is spread over all."""
-    size = F.octet_length(F.coalesce(F.col(columns.get("html", "html")), F.lit(""))) + 600
+    size = F.octet_length(F.coalesce(column(columns.get("html", "html")), F.lit(""))) + 600
     total = pages.agg(F.sum(size)).first()[0] or 0
     planned = plan_records(pages, max(1, math.ceil(total / file_bytes)), **columns)
     _record(planned).write.option("lineSep", "\n").option("compression", "gzip").mode("overwrite").text(path)

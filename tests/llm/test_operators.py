@@ -306,7 +306,10 @@ def test_decontaminate(spark, docs, rows, empty):
         assert (row["n_words"], row["n_hit"], row["n_items"], row["contaminated"]) == (
             len(w), len(hit), len(items), bool(hit))
         assert row["items_sha256"] == hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-    clean = decontaminate.remove_spans(docs.filter("doc_id is not null"), bench)
+    joined = decontaminate.digest(decontaminate.scan(docs, bench, max_set=2))     # by the table of keys
+    assert sorted(map(str, joined.collect())) == sorted(map(str, got.values()))
+    clean = decontaminate.remove_spans(docs, bench)
+    assert clean.count() == len(rows) and clean.columns == docs.columns
     assert {r["doc_id"]: split(r["text"]) for r in clean.collect()}[2] != split(rows[2][1])
     assert decontaminate.scan(clean, bench.filter("item_id > 8")).filter("n_hit > 0").count() == 0
     left = {r["doc_id"] for r in decontaminate.remove_documents(docs, bench).collect()}
