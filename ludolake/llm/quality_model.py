@@ -50,7 +50,7 @@ QUANTILE = 0.995
 #: Held-out documents that a language needs for its own quantile to weigh as
 #: much as its median with the spread of all languages.
 PRIOR = 200
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 12 << 20
 #: Text whose n-gram types one part of the type tables is meant to hold.
 PART_BYTES = 64 << 20
 
