@@ -10,15 +10,15 @@ can matter are sorted:
    hash is its anchor: equal strings have equal anchors at equal places. The
    strings of a run with one anchor form a *segment*, about 18 strings on
    average. Every bucket of documents asks (``askshare``), once for each
-   distinct segment, whether its anchor occurs in other documents.
+   distinct anchor, whether it occurs in other documents.
 2. *Sorted runs.* A suffix begins at its anchor; what stands before the anchor
    follows in reverse, so strings of one anchor sort next to each other and
-   share long prefixes. Where all segments of a shared anchor are equal, one
-   suffix stands for the segment; otherwise each of its strings has its own.
-   A bucket sorts its distinct segments, front-codes them (length of the
-   prefix shared with the one before, and the rest) and deals the run out by
-   key ranges; a range makes and sorts the strings of those that differ. (The
-   strings of an anchor never part: range ends are shorter than an anchor.)
+   share long prefixes. A bucket sorts its distinct segments, front-codes them
+   (length of the prefix shared with the one before, and the rest) and deals
+   the run out by key ranges. (The segments of an anchor never part: range ends
+   are shorter than an anchor.) Where all segments of an anchor in a range are
+   equal, one suffix stands for the segment; otherwise the range makes and
+   sorts a suffix for each of its strings.
 3. *Merge.* A range merges its runs with a loser tree that keeps, for every
    loser, the prefix length it shares with the last suffix put out. The longer
    one wins without a look at the bytes; on a tie the comparison goes on after
@@ -27,8 +27,8 @@ can matter are sorted:
    them.
 4. *Removal.* Buckets get those answers for their segments and strings back.
 
-Hashes of segments are 64 bits (39 of them tell a bucket's segments of one
-anchor from another's); the merge compares bytes.
+An anchor that seems shared, or mixed, by a clash of hashes only costs work.
+Segments are told apart by 64 bits of hash; the merge compares bytes.
 
 Defined cases: null text is empty; texts under ``SPAN`` bytes lose nothing;
 rows that repeat an id don't remove each other's bytes; a null id counts as
@@ -40,7 +40,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from bisect import bisect_left
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,7 +64,6 @@ RUN_ROWS = 1 << 18
 #: Text whose segments are found at once: its arrays fit a processor's cache.
 SLICE_BYTES = 1 << 19
 WHOLE = 127               # the place of a suffix that stands for its segment
-MIXED, MANY = 1, 128      # flags: a segment sorted by its strings; one of several documents
 
 _U64 = np.uint64
 _ODD = _U64(0xD6E8FEB86659FD93)
@@ -143,25 +142,21 @@ def _least_most(group: np.ndarray, n: int, ids: np.ndarray) -> tuple[np.ndarray,
 # -- 1: anchors -----------------------------------------------------------------
 
 def _ask(docs: pa.Table, n_parts: int) -> pa.Table:
-    found = []
-    for _, data, offsets, ids in _bucket(docs):
-        doc, _, _, anchor, seg, _ = _segments(data, offsets)
-        found.append((anchor, seg, ids[doc]))
-    anchor, seg, ids = (np.concatenate(x) for x in zip(*found))
-    if not len(anchor):
+    keys, ids = [], []
+    for _, data, offsets, doc_ids in _bucket(docs):
+        doc, _, _, anchor, _, _ = _segments(data, offsets)
+        keys.append(_anchor_ids(anchor, n_parts))
+        ids.append(doc_ids[doc])
+    key, ids = np.concatenate(keys), np.concatenate(ids)
+    if not len(key):
         return askshare.empty_ask()
-    key = _anchor_ids(anchor, n_parts)
-    order = np.lexsort((seg, key))
-    key, seg, ids = key[order], seg[order], ids[order]
-    new = np.concatenate(([True], key[1:] != key[:-1]))
-    first = np.flatnonzero(new)
-    many = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
-    many = many[np.cumsum(new) - 1].astype(np.uint8)
-    once = new | np.concatenate(([True], seg[1:] != seg[:-1]))
-    key, seg, many = key[once], seg[once], many[once]
-    rest = (seg >> _U64(32)).astype(np.uint8) & np.uint8(127) | (many << np.uint8(7))
+    order = np.argsort(key)
+    key, ids = key[order], ids[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    many = (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)).astype(np.uint8)
+    key = key[first]
     return askshare.pack((key >> _U64(32)).astype(np.int32), int(docs["bucket"][0].as_py()),
-                         [key.astype(np.uint32), seg.astype(np.uint32), rest])
+                         [key.astype(np.uint32), many])
 
 
 def _anchor_ids(anchor: np.ndarray, n_parts: int) -> np.ndarray:
@@ -170,22 +165,13 @@ def _anchor_ids(anchor: np.ndarray, n_parts: int) -> np.ndarray:
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    """Shared anchors, for each bucket; the top bit: its segments differ."""
-    buckets, (low, seg, rest) = askshare.unpack(asked, [np.uint32, np.uint32, np.uint8])
-    seg = seg.astype(_U64) | ((rest & np.uint8(127)).astype(_U64) << _U64(32))
-    many = rest >> np.uint8(7)
+    """Shared anchors, for each bucket (which asks for an anchor once)."""
+    buckets, (low, many) = askshare.unpack(asked, [np.uint32, np.uint8])
     part = _U64(asked["part"][0].as_py()) << _U64(32)
-    order = np.lexsort((buckets, low))
-    low, seg, many, buckets = low[order], seg[order], many[order], buckets[order]
-    new = np.concatenate(([True], low[1:] != low[:-1]))
-    first, group = np.flatnonzero(new), np.cumsum(new) - 1
-    last = np.concatenate((first[1:], [len(low)])) - 1
-    shared = (buckets[first] != buckets[last]) | (np.maximum.reduceat(many, first) > 0)
-    mixed = np.minimum.reduceat(seg, first) != np.maximum.reduceat(seg, first)
-    once = new | np.concatenate(([True], buckets[1:] != buckets[:-1]))
-    reply = shared[group] & once
-    ids = part | low[reply].astype(_U64) | (mixed[group][reply].astype(_U64) << _U64(63))
-    return askshare.answer(buckets[reply], [ids])
+    _, group, counts = np.unique(low, return_inverse=True, return_counts=True)
+    shared = (counts > 1) | (np.bincount(group, many, len(counts)) > 0)
+    reply = shared[group]
+    return askshare.answer(buckets[reply], [part | low[reply].astype(_U64)])
 
 
 # -- 2: sorted, front-coded runs --------------------------------------------------
@@ -207,14 +193,11 @@ def _keys(source: np.ndarray, right_at: np.ndarray, right: np.ndarray, left_at:
 
 
 def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
-    """Distinct shared segments of a bucket: key, hash, flags, bytes before
-    the anchor and smallest document."""
+    """Distinct shared segments of a bucket: key, hash, whether several
+    documents have it, bytes before the anchor and smallest document."""
     (told,) = askshare.read_answers(answers, [_U64])
-    mixed = (told >> _U64(63)).astype(bool)
-    told = told & ~(_U64(1) << _U64(63))
-    order = np.argsort(told)
-    told, mixed = told[order], mixed[order]
-    hashes, ids, keys, of, flags, lefts = [], [], [], [], [], []
+    told = np.sort(told)
+    hashes, ids, keys, of, lefts = [], [], [], [], []
     seen = np.zeros(0, _U64)
     for _, data, offsets, doc_ids in (_bucket(docs) if len(told) else ()):
         doc, begin, end, anchor, seg, place = _segments(data, offsets)
@@ -232,7 +215,6 @@ def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
         keys.append(_keys(data, middle, end[once] - middle, middle - 1, -1, left,
                           (left + 1 + WHOLE).astype(np.uint8)))
         of.append(seg[once])
-        flags.append(np.where(mixed[at[once]], np.uint8(MIXED), np.uint8(0)))
         lefts.append(left.astype(np.uint8))
     if not keys or not sum(map(len, of)):
         return None
@@ -240,8 +222,8 @@ def _suffixes(docs: pa.Table, answers: pa.Table, n_parts: int):
     low_id, high_id = _least_most(group, len(distinct), np.concatenate(ids))
     of = np.concatenate(of)
     at = np.searchsorted(distinct, of)
-    flags = np.concatenate(flags) | np.where(low_id[at] != high_id[at], np.uint8(MANY), np.uint8(0))
-    return np.concatenate(keys), of, flags, np.concatenate(lefts), low_id[at]
+    many = (low_id[at] != high_id[at]).astype(np.uint8)
+    return np.concatenate(keys), of, many, np.concatenate(lefts), low_id[at]
 
 
 def front_code(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -261,10 +243,10 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
     found = _suffixes(docs, answers, n_parts) if docs.num_rows else None
     if found is None:
         return askshare.empty_ask()
-    keys, of, flags, left, ids = found
+    keys, of, many, left, ids = found
     text = keys.view(f"S{LONGEST}")[:, 0]
     order = np.argsort(text)
-    keys, text, of, flags, left, ids = (x[order] for x in (keys, text, of, flags, left, ids))
+    keys, text, of, many, left, ids = (x[order] for x in (keys, text, of, many, left, ids))
     cuts = [0, *np.searchsorted(text, np.array(ends, text.dtype)).tolist(), len(text)]
     packer = zstandard.ZstdCompressor(level=3)
     rows = []
@@ -272,7 +254,7 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
         for lo in range(a, b, RUN_ROWS):
             hi = min(b, lo + RUN_ROWS)
             shared, lengths, rest = front_code(keys[lo:hi])
-            body = [of[lo:hi], ids[lo:hi], flags[lo:hi], left[lo:hi], shared, lengths]
+            body = [of[lo:hi], ids[lo:hi], many[lo:hi], left[lo:hi], shared, lengths]
             rows.append((p, hi - lo, packer.compress(b"".join([*(x.tobytes() for x in body), rest]))))
     parts, n, body = zip(*rows)
     bucket = int(docs["bucket"][0].as_py())
@@ -367,24 +349,63 @@ def merge(runs: list[Run]) -> Iterator[tuple[int, int, bool]]:
             node >>= 1
 
 
-def _decode(shared: np.ndarray, lengths: np.ndarray, rest: bytes) -> np.ndarray:
-    """Keys of a front-coded run, in rows."""
-    run, out = Run(shared.tolist(), lengths.tolist(), rest), []
-    while run.head is not None:
-        out.append(run.head.ljust(LONGEST, b"\0"))
-        run.step()
-    return np.frombuffer(b"".join(out), np.uint8).reshape(-1, LONGEST)
+def _decode(shared: np.ndarray, lengths: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Keys of a front-coded run, in rows: a byte comes from the last key that
+    doesn't share its column with the one before."""
+    n = len(shared)
+    out = np.zeros((n, LONGEST), np.uint8)
+    row = np.arange(n)
+    sent = lengths.astype(np.int64) - shared
+    begin = np.cumsum(sent) - sent - shared
+    for c in range(int(lengths.max(initial=0))):
+        from_row = np.maximum.accumulate(np.where(shared <= c, row, 0))
+        held = np.flatnonzero(lengths > c)
+        out[held, c] = rest[begin[from_row[held]] + c]
+    return out
+
+
+class _Sent:
+    """The columns of one row of a run: hashes, smallest documents, flags,
+    bytes before the anchor, and the front-coded keys."""
+
+    def __init__(self, n: int, body: bytes):
+        self.n = n
+        self.of, self.ids = np.frombuffer(body, _U64, n), np.frombuffer(body, np.int64, n, 8 * n)
+        self.many, self.left, self.shared, self.lengths = (
+            np.frombuffer(body, np.uint8, n, (16 + i) * n) for i in range(4))
+        self.rest = np.frombuffer(body, np.uint8, offset=20 * n)
+
+    def keys(self) -> np.ndarray:
+        return _decode(self.shared, self.lengths, self.rest)
+
+    def anchors(self) -> np.ndarray:
+        """Hashes of the anchors' bytes: every key starts with its anchor."""
+        out = np.zeros(self.n, _U64)
+        for word in np.ascontiguousarray(self.keys()[:, :KMER]).view("<u4").T:
+            out = W.mix(out * _ODD + word.astype(_U64))
+        return out
+
+
+def _mixed(sent: list[_Sent]) -> list[np.ndarray]:
+    """Of every segment, whether its anchor has other segments too. (Anchors of
+    one hash count as one: their segments are split without need.)"""
+    anchor, of = np.concatenate([x.anchors() for x in sent]), np.concatenate([x.of for x in sent])
+    order = np.argsort(anchor)
+    anchor, of = anchor[order], of[order]
+    new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+    first = np.flatnonzero(new)
+    differ = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
+    out = np.empty(len(order), bool)
+    out[order] = differ[np.cumsum(new) - 1]
+    return np.split(out, np.cumsum([x.n for x in sent])[:-1])
 
 
-def _open_run(n: int, body: bytes) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _open_run(sent: _Sent, split: np.ndarray) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The sorted run of a row's suffixes, with the hash, smallest document,
     several-documents flag and place of each."""
-    of, ids = np.frombuffer(body, _U64, n), np.frombuffer(body, np.int64, n, 8 * n)
-    flags, left, shared, lengths = (np.frombuffer(body, np.uint8, n, (16 + i) * n) for i in range(4))
-    keys = _decode(shared, lengths, body[20 * n:])
-    split = (flags & np.uint8(MIXED)) > 0
-    before = left.astype(np.int64)
-    right = lengths.astype(np.int64) - 1 - before
+    keys, n = sent.keys(), sent.n
+    before = sent.left.astype(np.int64)
+    right = sent.lengths.astype(np.int64) - 1 - before
     count = np.where(split, before + right - SPAN + 1, 0)
     seg = np.repeat(np.arange(n), count)
     w = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
@@ -398,22 +419,22 @@ def _open_run(n: int, body: bytes) -> tuple[Run, np.ndarray, np.ndarray, np.ndar
     order = np.argsort(keys.view(f"S{LONGEST}")[:, 0])
     seg, place = seg[order], place[order]
     shared, lengths, rest = front_code(keys[order])
-    return Run(shared.tolist(), lengths.tolist(), rest), of[seg], ids[seg], flags[seg] >= MANY, place
+    return Run(shared.tolist(), lengths.tolist(), rest), sent.of[seg], sent.ids[seg], sent.many[seg] > 0, place
 
 
 def _merge_range(rows: pa.Table) -> pa.Table:
     unpacker = zstandard.ZstdDecompressor()
-    opened = [_open_run(n, unpacker.decompress(body))
-              for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist())]
-    runs, of, ids, many, place = zip(*opened)
+    sent = [_Sent(n, unpacker.decompress(body)) for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist())]
+    runs, of, ids, many, place = zip(*map(_open_run, sent, _mixed(sent)))
+    del sent
     begin = np.concatenate(([0], np.cumsum([len(x) for x in of])))
     starts = begin.tolist()
-    order, equal = [], []
+    order, equal = array("q"), bytearray()
     for run, i, same in merge(runs):
         order.append(starts[run] + i)
         equal.append(same)
-    order = np.array(order, np.int64)
-    first = np.flatnonzero(~np.array(equal, bool))
+    order = np.frombuffer(order, np.int64)
+    first = np.flatnonzero(np.frombuffer(equal, np.uint8) == 0)
     of, ids, many, place = (np.concatenate(x)[order] for x in (of, ids, many, place))
     buckets = np.repeat(rows["bucket"].to_numpy(), np.diff(begin))[order]
     size = np.diff(np.concatenate((first, [len(order)])))
