@@ -150,12 +150,19 @@ def _compress(batches):
         yield batch.set_column(at, pa.field("text", pa.binary()), pa.array(body, pa.binary()))
 
 
-def dealt(docs: DataFrame, n_buckets: int) -> DataFrame:
+def dealt(docs: DataFrame, n_buckets: int, by_text: bool = True) -> DataFrame:
     """``docs`` (doc_id, text, ...) with compressed texts and their bucket,
-    ready to be dealt out: texts are most of what such a shuffle writes."""
+    ready to be dealt out: texts are most of what such a shuffle writes. Rows
+    are dealt by id and text, so rows that share an id spread; without
+    ``by_text`` by their id (``bucket_of``), and only rows without one by text."""
+    key = F.struct("doc_id", "text")
+    bucket = bucket_of(key, n_buckets)
+    if not by_text:
+        bucket = F.when(F.col("doc_id") == NO_ID, bucket).otherwise(bucket_of(F.col("doc_id"), n_buckets))
+    docs = docs.withColumn("bucket", bucket)
     schema = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}"
                        for f in docs.schema)
-    return docs.mapInArrow(_compress, schema).withColumn("bucket", bucket_of(F.col("doc_id"), n_buckets))
+    return docs.mapInArrow(_compress, schema)
 
 
 def texts(column: pa.ChunkedArray) -> pa.Array:

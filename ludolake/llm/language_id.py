@@ -101,6 +101,11 @@ def _count(batches):
                               names=["lang", "feature", "n"])
 
 
+def _packed(counts: pa.Table) -> pa.Table:
+    return pa.table({"lang": counts["lang"][:1], "feature": pa.array([counts["feature"].to_numpy().tobytes()], pa.binary()),
+                     "n": pa.array([counts["n"].to_numpy().tobytes()], pa.binary())})
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and the matrix (feature, language) of log
     probabilities, from all rows of ``docs`` with a text and a language."""
@@ -115,9 +120,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list
     names = sorted(priors)
     matrix = np.full((1 << BITS, len(names)), SMOOTHING)
     held = counts.filter(F.col("feature") >= 0).filter(F.col("lang").isin(names))
-    for k, name in enumerate(names):  # at most 2 ** BITS rows each
-        row = held.filter(F.col("lang") == name).select("feature", "n").toPandas()
-        matrix[row["feature"].to_numpy(), k] += row["n"].to_numpy()
+    # One row for each language, of at most 2 ** BITS features.
+    for row in held.groupBy("lang").applyInArrow(_packed, "lang string, feature binary, n binary").collect():
+        matrix[np.frombuffer(row["feature"], np.int32), names.index(row["lang"])] += np.frombuffer(row["n"], np.int64)
     prior = np.log(np.array([priors[n] for n in names], float))
     return names, prior - (np.logaddexp.reduce(prior) if names else 0), np.log(matrix / matrix.sum(axis=0))
 
