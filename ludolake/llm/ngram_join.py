@@ -493,3 +493,26 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
     once = (kept.filter(F.col(goes).isNotNull()).groupBy(key)
             .agg(F.any_value(F.struct(*names)).alias(key + "s")).select(f"{key}s.*"))
     return kept.filter(F.col(goes).isNull()).select(*names).unionAll(once)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+d AS (
+  SELECT r, doc_id, id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM w WHERE len(w) > 0),
+sets AS (SELECT s, min(r) AS q, min(id) AS id FROM d GROUP BY s),
+shingles AS (SELECT q, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.q AS x, b.q AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.q <> b.q
+  GROUP BY a.q, b.q HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (SELECT q, q AS other FROM sets UNION SELECT reached.q, y FROM reached JOIN links ON other = x),
+named AS (SELECT reached.q, min(id) AS least FROM reached JOIN sets ON other = sets.q GROUP BY reached.q),
+found AS (SELECT r, len(d.s) AS n, least FROM d JOIN sets USING (s) JOIN named USING (q))
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       nullif(coalesce(least, w.id), -9223372036854775808) AS component_id
+FROM w LEFT JOIN found USING (r)
+"""

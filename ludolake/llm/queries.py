@@ -93,4 +93,6 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracle_sql() -> dict[str, str]:
-    return {"op7_decontaminate": decontaminate.ORACLE, "op10_warc": warc.ORACLE}
+    return {"op6_ngram_jaccard_join": ngram_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE,
+            "op8_suffix_dedup": suffix_dedup.ORACLE, "op10_warc": warc.ORACLE,
+            "op11_importance_resampling": resampling.ORACLE}

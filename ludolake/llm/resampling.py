@@ -214,3 +214,50 @@ def resample(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: s
 
 def digest(resampled: DataFrame) -> DataFrame:
     return resampled.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# (crc32 by a table of bytes, built by its polynomial.)
+ORACLE = r"""
+WITH RECURSIVE shifted AS (
+  SELECT range AS byte, CAST(range AS UBIGINT) AS c, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT byte, CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS UBIGINT)) ELSE c // 2 END, k + 1
+  FROM shifted WHERE k < 8),
+crc AS (SELECT list(c ORDER BY byte) AS t FROM shifted WHERE k = 8),
+words AS (
+  SELECT kind, row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM (SELECT 0 AS kind, doc_id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark)),
+features AS (
+  SELECT kind, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+  FROM words),
+counts AS (SELECT kind, r, f, count(*) AS n FROM features GROUP BY kind, r, f),
+bytes AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counts)),
+steps AS (
+  SELECT f, list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS UBIGINT)),
+    lambda c, b: xor(c // 256, t[CAST(xor(c % 256, b) AS BIGINT) + 1]), CAST(4294967295 AS UBIGINT)) AS c
+  FROM bytes, crc),
+buckets AS (SELECT f, xor(c, CAST(4294967295 AS UBIGINT)) % 10000 AS bucket FROM steps),
+held AS (SELECT kind, r, bucket, sum(n) AS n FROM counts JOIN buckets USING (f) GROUP BY kind, r, bucket),
+totals AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 0), 0) AS s, coalesce(sum(n) FILTER (kind = 1), 0) AS t
+  FROM held GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE)
+           / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM totals),
+sums AS (
+  SELECT r, sum(n) AS n, sum(n * gain) AS total FROM held JOIN gains USING (bucket) WHERE kind = 0 GROUP BY r),
+weights AS (
+  SELECT r, doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+         CAST(CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS BIGINT) AS weight,
+         CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[:8] AS BIGINT) AS h
+  FROM words LEFT JOIN sums USING (r) WHERE kind = 0),
+scores AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM weights),
+drawn AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 25 * count(*) OVER () // 100 AS quota
+  FROM scores WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= quota THEN rank END AS rank
+FROM scores LEFT JOIN drawn USING (r)
+"""

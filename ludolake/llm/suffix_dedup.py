@@ -537,3 +537,28 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def digest(docs: DataFrame, **how) -> DataFrame:
     """The digest columns of every row."""
     return repeated_spans(docs, with_text=False, **how).drop("kept")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS id,
+         encode(coalesce(text, '')) AS b FROM documents),
+strings AS (
+  SELECT r, id, i, array_slice(b, i, i + 49) AS s
+  FROM (SELECT r, id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM d)),
+firsts AS (SELECT s, min(id) AS first FROM strings GROUP BY s HAVING count(*) > 1),
+hits AS (SELECT r, i FROM strings JOIN firsts USING (s) WHERE id > first),
+marked AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 AS goes_on FROM hits),
+runs AS (SELECT r, i, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
+spans AS (SELECT r, min(i) AS a, max(i) + 50 AS z FROM runs GROUP BY r, run),
+pieces AS (
+  SELECT r, z AS a, coalesce(lead(a) OVER (PARTITION BY r ORDER BY a), octet_length(b) + 1) AS z, b
+  FROM (SELECT r, a, z FROM spans UNION ALL SELECT r, 0, 1 FROM d) JOIN d USING (r)),
+kept AS (
+  SELECT r, sum(z - a) AS n_kept, count(*) - 1 AS n_spans,
+         string_agg(CASE WHEN z > a THEN hex(array_slice(b, a, z - 1)) ELSE '' END, '' ORDER BY a) AS h
+  FROM pieces GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(octet_length(b) - n_kept AS BIGINT) AS n_removed,
+       CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (r)
+"""
