@@ -9,7 +9,10 @@ words, query keys, scheme, ...). Spark's FP-growth mines the sets that at least
 ``MIN_COUNT`` bad urls hold, however many are labelled; a set's count among all
 labelled urls comes from the same kind of index that rules are matched with.
 Rules ``tokens -> bad`` are pruned by confidence and lift, and dropped where a
-rule with fewer of their tokens is as sure. Every rule is posted under one of its tokens, the rarest;
+rule with fewer of their tokens is as sure. What can't survive that isn't grown:
+tokens that all labelled urls have are left out, tokens that the same urls have
+are mined as one (a rule of several tokens names the first of them), and a token
+that only bad urls have is a rule by itself, in no larger set. Every rule is posted under one of its tokens, the rarest;
 a url meets only the rules posted under tokens that it has, and a rule fires
 when all of its tokens are there.
 
@@ -91,6 +94,21 @@ def _totals(kinds: DataFrame, sets: DataFrame) -> DataFrame:
             .groupBy("rule_id").agg(F.sum("n").alias("total")))
 
 
+def _merged(kinds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``kinds`` with one token for those that the same urls have, and the
+    tokens ``(token, name, n, bad)`` with the one that stands for each."""
+    each = kinds.select("items", "n", "bad", F.explode("items").alias("token"))
+    mark = F.xxhash64("items")
+    seen = each.groupBy("token").agg(F.bit_xor(mark).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), "items")).alias("m2"),
+                                     F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    same = ["m1", "m2", "n", "bad"]
+    names = seen.groupBy(*same).agg(F.min("token").alias("name"))
+    tokens = cut(seen.join(names, same).select("token", "name", "n", "bad"))
+    merged = (each.join(tokens.select("token", "name"), "token").groupBy("items", "n", "bad")
+              .agg(F.array_sort(F.collect_set("name")).alias("names")))
+    return cut(merged.select(F.col("names").alias("items"), "n", "bad")), tokens
+
+
 def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
          min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules ``(rule_id, items, confidence, lift, support)`` from
@@ -108,14 +126,24 @@ def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float
         common = [r["token"] for r in kinds.select("n", F.explode("items").alias("token")).groupBy("token")
                   .agg(F.sum("n").alias("n")).filter(F.col("n") == n).collect()]
         kinds = kinds.withColumn("items", F.array_except("items", F.array(*map(F.lit, common)).cast("array<string>")))
-    bad = kinds.filter("bad > 0 AND size(items) > 0").select("items", F.explode(F.expr("sequence(1L, bad)"))).select("items")
+    # No set of tokens that the same urls have, and no larger set around a token
+    # that only bad urls have, is surer than a smaller one: neither is grown.
+    kinds, known = _merged(kinds.filter(F.size("items") > 0))
+    named = known.filter("token = name")
+    sure = named.filter((F.col("n") == F.col("bad")) & (F.col("bad") >= min_count))
+    sure = sure.select(F.array("token").alias("items"), F.col("bad").alias("freq"))
+    open_tokens = named.filter((F.col("n") > F.col("bad")) & (F.col("bad") >= min_count)).select("token")
+    bad = cut(kinds.filter("bad > 0").select("items", "bad", F.explode("items").alias("token"))
+              .join(open_tokens, "token").groupBy("items", "bad").agg(F.collect_set("token").alias("held"))
+              .select(F.col("held").alias("items"), F.explode(F.expr("sequence(1L, bad)"))).select("items"))
     # Spark rounds the product of support and rows up; empty ones aren't counted.
     rows = bad.count()
     if rows < min_count:
         sets = bad.select("items", F.lit(0).cast("long").alias("freq")).limit(0)
     else:
         sets = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / rows).fit(bad).freqItemsets
-    sets = cut(sets.select(F.array_sort("items").alias("items"), "freq").withColumn("rule_id", F.xxhash64("items")))
+    sets = cut(sets.unionByName(sure).select(F.array_sort("items").alias("items"), "freq")
+               .withColumn("rule_id", F.xxhash64("items")))
     confidence = F.col("freq") / F.col("total")
     rules = cut(sets.join(_totals(kinds, sets), "rule_id")
                 .select("items", confidence.alias("confidence"), (confidence / (n_bad / n)).alias("lift"),
@@ -130,7 +158,12 @@ def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float
                  .filter((F.size("small_items") < F.size("items")) & (F.col("small_confidence") >= F.col("confidence"))
                          & (F.size(F.array_except("small_items", "items")) == 0))
                  .select("rule_id").distinct())
-    return rules.join(redundant, "rule_id", "left_anti")
+    rules = rules.join(redundant, "rule_id", "left_anti")
+    # A rule of one token holds for the others that the same urls have, too.
+    others = known.filter("token <> name").select(F.array("name").alias("items"), F.array("token").alias("other"))
+    alike = (rules.join(others, "items").drop("items", "rule_id").withColumnRenamed("other", "items")
+             .withColumn("rule_id", F.xxhash64("items")))
+    return rules.unionByName(alike)
 
 
 def index(rules: DataFrame) -> DataFrame:
