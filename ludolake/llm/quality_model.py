@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -72,12 +73,33 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of sorted (key, count) lists."""
-    keys = np.concatenate([k for k, _ in parts]) if parts else np.zeros(0, _U64)
-    counts = np.concatenate([c for _, c in parts]) if parts else np.zeros(0, np.int64)
-    keys, inverse = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(inverse, counts, len(keys)).astype(np.int64)
+#: Keys that wait for a merge; what is merged already may be as many.
+WAITING = 1 << 19
+
+
+def _merge(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of sorted (key, count) lists, merged as they come: most keys are in
+    many of them, and a task never holds all lists."""
+    def merged(lists):
+        keys, inverse = np.unique(np.concatenate([k for k, _ in lists]), return_inverse=True)
+        return keys, np.bincount(inverse, np.concatenate([c for _, c in lists]), len(keys)).astype(np.int64)
+
+    held = [(np.zeros(0, _U64), np.zeros(0, np.int64))]
+    for part in parts:
+        held.append(part)
+        if sum(len(k) for k, _ in held[1:]) >= max(WAITING, len(held[0][0])):
+            held = [merged(held)]
+    return merged(held)
+
+
+def _distinct(parts: Iterable[np.ndarray]) -> np.ndarray:
+    """Sorted distinct keys of all lists, merged as they come."""
+    held = [np.zeros(0, _U64)]
+    for part in parts:
+        held.append(part)
+        if sum(map(len, held[1:])) >= max(WAITING, len(held[0])):
+            held = [np.unique(np.concatenate(held))]
+    return np.unique(np.concatenate(held))
 
 
 def _pack(keys: np.ndarray, *columns: np.ndarray) -> bytes:
@@ -115,7 +137,7 @@ def _gather(docs: pa.Table, labels: pa.Table, n_parts: int) -> pa.Table:
             held.append(np.unique(grams))
             keys, n = np.unique(grams[np.repeat(trusted[i:j], lengths)], return_counts=True)
             counted.append((keys, n))
-        asked = np.unique(np.concatenate(held))
+        asked = _distinct(held)
         keys, n = _merge(counted)
         for kind, k, columns in ((0, keys, (n,)), (1, asked, ())):
             part = _part(k, n_parts)
@@ -128,12 +150,12 @@ def _gather(docs: pa.Table, labels: pa.Table, n_parts: int) -> pa.Table:
 
 
 def _count_part(rows: pa.Table) -> pa.Table:
-    keys, counts = _merge([tuple(_unpack(b, np.int64)) for b in rows["body"].to_pylist()])
+    keys, counts = _merge(_unpack(b.as_py(), np.int64) for b in rows["body"])
     return pa.table({"g": pa.array(keys.view(np.int64)), "c": pa.array(counts)})
 
 
 def _asked_part(rows: pa.Table) -> pa.Table:
-    held = np.unique(np.concatenate([_unpack(b)[0] for b in rows["body"].to_pylist()]))
+    held = _distinct(_unpack(b.as_py())[0] for b in rows["body"])
     return pa.table({"g": pa.array(held.view(np.int64)), "part": pa.array(
         [rows["part"][0].as_py()] * len(held), pa.int32())})
 
@@ -143,8 +165,8 @@ def _answer_part(asked: pa.Table, known: pa.Table) -> pa.Table:
     order = np.argsort(g)
     g, cost = g[order], known["cost"].to_numpy()[order].astype(np.float32)
     body = []
-    for b in asked["body"].to_pylist():
-        (keys,) = _unpack(b)
+    for b in asked["body"]:
+        (keys,) = _unpack(b.as_py())
         body.append(_pack(keys, cost[np.searchsorted(g, keys)]))
     return pa.table({"bucket": asked["bucket"], "body": pa.array(body, pa.binary())})
 
