@@ -35,11 +35,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +51,11 @@ QUANTILE = 0.995
 #: Held-out documents that a language needs for its own quantile to weigh as
 #: much as its median with the spread of all languages.
 PRIOR = 200
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
+#: Bytes whose n-grams a task holds at a time (or one document's).
+SLICE_BYTES = 1 << 20
+#: An n-gram takes 8 bits for each of its bytes, its place in a slice the rest.
+PLACE_BITS = 64 - 8 * ORDER
 #: Text whose n-gram types one part of the type tables is meant to hold.
 PART_BYTES = 64 << 20
 
@@ -102,23 +106,40 @@ def _distinct(parts: Iterable[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(held))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on: most of
+    them are alike."""
+    return values.view(_U8).reshape(len(values), values.itemsize).T.tobytes()
+
+
 def _pack(keys: np.ndarray, *columns: np.ndarray) -> bytes:
     """Sorted keys as differences, and columns, compressed."""
-    first = np.diff(keys, prepend=_U64(0))
-    return zlib.compress(np.int64(len(keys)).tobytes() + first.tobytes()
-                         + b"".join(c.tobytes() for c in columns), 1)
+    each = [np.diff(keys, prepend=_U64(0)), *columns]
+    return zstandard.compress(np.int64(len(keys)).tobytes() + b"".join(map(_planes, each)), 3)
 
 
 def _unpack(body: bytes, *dtypes) -> list[np.ndarray]:
-    body = zlib.decompress(body)
-    n = int(np.frombuffer(body, np.int64, 1)[0])
-    out, at = [np.cumsum(np.frombuffer(body, _U64, n, 8))], 8 + 8 * n
-    for d in dtypes:
-        out.append(np.frombuffer(body, d, n, at))
-        at += n * np.dtype(d).itemsize
+    body = zstandard.decompress(body)
+    n, at, out = int(np.frombuffer(body, np.int64, 1)[0]), 8, []
+    for d in map(np.dtype, (_U64, *dtypes)):
+        planes = np.frombuffer(body, _U8, n * d.itemsize, at).reshape(d.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(d).ravel())
+        at += n * d.itemsize
+    out[0] = np.cumsum(out[0])
     return out
 
 
+def _sorted_types(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams in order, how often each occurs, and all places in the
+    order of their n-grams. N-gram and place share a word: one plain sort."""
+    word = (grams << _U64(PLACE_BITS)) | np.arange(len(grams), dtype=_U64)
+    word.sort()
+    places = (word & _U64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    word >>= _U64(PLACE_BITS)
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    return word[first], np.diff(first, append=len(word)), places
+
+
 def _part(keys: np.ndarray, n_parts: int) -> np.ndarray:
     return (W.mix(keys) % _U64(n_parts)).astype(np.int64)
 
@@ -131,7 +152,7 @@ def _gather(docs: pa.Table, labels: pa.Table, n_parts: int) -> pa.Table:
                           labels.filter(labels["train"])["doc_id"].to_numpy(zero_copy_only=False))
         data, offsets = W.text_buffer(texts(docs["text"]))
         held, counted = [], []
-        for i, j in W.slices(offsets):
+        for i, j in W.slices(offsets, SLICE_BYTES):
             lengths = np.diff(offsets[i:j + 1])
             grams = _grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             held.append(np.unique(grams))
@@ -188,14 +209,15 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         digests = [hashlib.sha256(x).digest() for x in bodies.to_pylist()]
         data, offsets = W.text_buffer(bodies)
         lengths = np.diff(offsets)
-        for i, j in W.slices(offsets):
+        for i, j in W.slices(offsets, SLICE_BYTES):
             if offsets[j] == offsets[i]:
                 continue
             grams = _grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            types, inverse = np.unique(grams, return_inverse=True)
-            each = cost[np.searchsorted(keys, types)][inverse]
-            owner = np.repeat(np.arange(i, j), lengths[i:j])
-            total += np.bincount(owner, each, n)
+            owner = np.repeat(np.arange(i, j, dtype=np.int32), lengths[i:j])
+            for lo in range(0, len(grams), 1 << PLACE_BITS):
+                types, runs, places = _sorted_types(grams[lo:lo + (1 << PLACE_BITS)])
+                each = np.repeat(cost[np.searchsorted(keys, types)], runs)
+                total += np.bincount(owner[lo + places], each, n)
     return pa.table({"doc_id": docs["doc_id"], "lang": docs["lang"],
                      "n_bytes": pa.array(lengths, pa.int64()), "cost": pa.array(total, pa.float64()),
                      "digest": pa.array(digests, pa.binary())})
