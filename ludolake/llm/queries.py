@@ -94,5 +94,5 @@ def all_queries() -> dict[str, Query]:
 
 def all_oracle_sql() -> dict[str, str]:
     return {"op6_ngram_jaccard_join": ngram_join.ORACLE, "op7_decontaminate": decontaminate.ORACLE,
-            "op8_suffix_dedup": suffix_dedup.ORACLE, "op10_warc": warc.ORACLE,
+            "op8_suffix_dedup": suffix_dedup.ORACLE, "op9_secret_scan": secret_scan.ORACLE, "op10_warc": warc.ORACLE,
             "op11_importance_resampling": resampling.ORACLE}

@@ -172,3 +172,60 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars:
         out = out.withColumn(n_chars, F.when(listed.isNull(), column(n_chars)).otherwise(
             F.char_length(column(text)).cast(docs.schema[n_chars].dataType)))
     return out.select(*map(column, docs.columns))
+
+
+# -- the digest in SQL ----------------------------------------------------------
+
+def _any_case(words: str) -> str:
+    """A pattern of A-Z and a-z letters in either case; other letters that a
+    case-blind pattern would fold to them don't match."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def _oracle(reach: int = 200) -> str:
+    """DuckDB SQL of ``digest``. Places come from what is between the matches;
+    weak parts are linked by comparing all parts of a document."""
+    between = r"""["']?\x20*[:=]\x20*["']?"""
+    names = "(?:" + _any_case("password|passwd|secret|token|api_?key") + ")"
+    who = _any_case("user") + "(?:" + _any_case("name") + ")?|" + _any_case("login|client_?id|account")
+    patterns = (("assign", names + between + "([A-Za-z0-9+/_.=-]+)", "length(value) >= 6"),
+                ("access", "(AKIA[A-Z0-9]+)", "length(value) >= 20"),
+                ("hex", "([0-9a-f]+)", "length(value) >= 24"),
+                ("loose_secret", "([A-Za-z0-9+/_-]{28,}={0,2})",
+                 "regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') "
+                 "AND list_unique(string_split(value, '')) >= 12"),
+                ("login", rf"\b(?:{who})\b" + between + "([A-Za-z0-9@._-]{2,})", "true"),
+                ("endpoint", r"""(\b[a-z][a-z0-9+.]{1,20}://[^\x09-\x0D\x20"'<>]{4,})""", "true"))
+    each = []
+    for rank, (_, pattern, holds) in enumerate(patterns):
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        each.append(f"""
+  SELECT r, {rank} AS rank, start, start + length(whole) AS stop FROM (
+    SELECT r, value, whole, (sum(length(gap) + length(whole)) OVER (PARTITION BY r ORDER BY i) - length(whole))::BIGINT AS start
+    FROM (SELECT r, unnest(regexp_extract_all(text, {quoted}, 0)) AS whole,
+                 unnest(regexp_extract_all(text, {quoted}, 1)) AS value,
+                 unnest(string_split_regex(text, {quoted})[:-2]) AS gap,
+                 generate_subscripts(regexp_extract_all(text, {quoted}, 0), 1) AS i
+          FROM docs WHERE regexp_matches(text, {quoted})))
+  WHERE {holds}""")
+    kinds = ", ".join(f"'{k}'" for k, _, _ in patterns)
+    listed = f"string_agg(list_extract([{kinds}], rank + 1) || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
+    count = ", ".join(f"count(*) FILTER (rank = {k}) AS n_{patterns[k][0]}" for k in range(3))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+found AS ({" UNION ALL".join(each)}),
+base AS (SELECT * FROM found WHERE rank < 3),
+weak AS (SELECT * FROM found f WHERE rank >= 3 AND NOT EXISTS (
+  SELECT 1 FROM base b WHERE b.r = f.r AND b.start < f.stop AND b.stop > f.start)),
+parts AS (SELECT *, rank IN (0, 2, 3) AS secret FROM (SELECT * FROM base UNION ALL SELECT * FROM weak)),
+spans AS (SELECT r, rank, start, stop FROM parts p WHERE rank < 3 OR EXISTS (
+  SELECT 1 FROM parts q WHERE q.r = p.r AND q.secret <> p.secret
+  AND p.start - q.stop <= {reach} AND q.start - p.stop <= {reach})),
+bases AS (SELECT r, {count}, {listed} AS listed FROM base GROUP BY r),
+every AS (SELECT r, {listed} AS listed FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(bases.listed, '')) AS base_sha256, coalesce(every.listed, '') AS spans
+FROM docs LEFT JOIN bases USING (r) LEFT JOIN every USING (r)"""
+
+
+ORACLE = _oracle()
