@@ -1,0 +1,162 @@
+"""The pipeline's whole run against the five stages written in plain Python,
+on documents with repeated rows, near copies, benchmark passages, secrets, junk
+and rows without ids."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import corpus_pipeline as C
+from pyspark.sql import functions as F
+
+from ludolake.llm import quality_model, secret_scan
+from tests.llm.test_operators import _brute_kneser_ney
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SPACE = r"[^\x20\x09-\x0D]+"
+ITEM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: chr(ord(m[0]) + 32), text or "")
+
+
+def make():
+    pick = random.Random(4)
+    say = {"en": "the river ran along a quiet village and old people told long stories near its bridge secret: user:".split(),
+           "xx": "lo ri ma tebe kuno saldi pira vento casu meri dola fina".split()}
+
+    def prose(lang, n):
+        return " ".join(pick.choice(say[lang]) for _ in range(n))
+    items = [prose("en", 14) for _ in range(3)]
+    rows = [(i, prose(lang, pick.randrange(12, 60)), lang, pick.choice(["a", "b", None]))
+            for i, lang in enumerate(pick.choices(["en", "xx"], k=120))]
+    rows += [(200 + i, "".join(pick.choice("#@!zqjx%&") for _ in range(80)), "en", "a") for i in range(6)]
+    rows += [(300 + k, f"{prose('en', 20)} {items[k]} {prose('en', 9)}", "en", "b") for k in range(3)]
+    rows += [(400 + k, rows[k][1] + " end", rows[k][2], "b") for k in range(10, 20)]
+    rows += [(500 + k, f"{prose('en', 30)} password = hunter2{k}x and then {prose('en', 9)}", "en", None) for k in range(5)]
+    rows += [(600, f"{prose('en', 20)} user=bob aB3dE6gH9jK2mN5pQ8sT1vW4xY7z {prose('en', 9)}", "en", "a")]
+    rows += [rows[5], rows[5], (None, rows[7][1], "en", "a"), (None, prose("xx", 30), "xx", "b"), (7, prose("xx", 40), "xx", "b"),
+             (700, None, "en", "a"), (701, "", None, "b"), (702, "one two", "zz", "a"), (702, "one two", "zz", "a")]
+    return [(*r, len(r[1] or "")) for r in rows], items
+
+
+def judged(rows, good, train, quantile=quality_model.QUANTILE, prior=quality_model.PRIOR):
+    body = [(r[1] or "").encode() for r in rows]
+    scores = _brute_kneser_ney([b for r, b in zip(rows, body) if r[0] in train and b], [b or b"\0" for b in body])
+    at = lambda xs, q: sorted(xs)[max(0, math.ceil(q * len(xs)) - 1)]
+    held = {}
+    for r, b, x in zip(rows, body, scores):
+        if b and r[0] in good - train:
+            held.setdefault(r[2], []).append(math.log(x))
+    middle = {k: at(v, 0.5) for k, v in held.items()}
+    above = at([x - middle[k] for k, v in held.items() for x in v], quantile)
+    every = at([x for v in held.values() for x in v], quantile)
+    known = {r[2] for r, b in zip(rows, body) if b and r[0] in good}
+    limit = {}
+    for k in known:
+        w = len(held.get(k, [])) / (len(held.get(k, [])) + prior)
+        limit[k] = w * at(held[k], quantile) + (1 - w) * (middle[k] + above) if k in held else every
+    return [r for r, b, x in zip(rows, body, scores) if not b or r[2] not in limit or math.log(x) <= limit[r[2]]]
+
+
+def deduplicated(rows):
+    def shingles(text):
+        w = re.findall(SPACE, lower(text))
+        return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    sets = [shingles(r[1]) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                root[find(i)] = find(j)
+    groups = {}
+    for i, r in enumerate(rows):
+        if sets[i]:
+            groups.setdefault(find(i), []).append(r)
+    first = lambda r: (r[0] is not None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).digest())
+    return [r for i, r in enumerate(rows) if not sets[i]] + [min(g, key=first) for g in groups.values()]
+
+
+def clean(rows, items):
+    gone = {tuple(w[k:k + 10]) for w in (re.findall(ITEM, lower(t)) for t in items) for k in range(len(w) - 9)}
+    words = [re.findall(ITEM, lower(r[1])) for r in rows]
+    return [r for r, w in zip(rows, words) if not any(tuple(w[k:k + 10]) in gone for k in range(len(w) - 9))]
+
+
+def redacted(rows):
+    out = []
+    for r in rows:
+        text = r[1]
+        if text:
+            base = secret_scan.base_spans(text)
+            weak = [p for p in secret_scan.weak_parts(text, base)]
+            secret = lambda p: p[1] in (0, 2, 3)
+            spans = base + [p for p in weak if any(secret(p) != secret(q) and max(p[0] - q[2], q[0] - p[2]) <= 200
+                                                   for q in base + weak)]
+            hidden = {i for s, _, e in spans for i in range(s, e)}
+            begins = {s for s, _, _ in spans} if spans else set()
+            text = "".join("[SECRET]" if i in begins and i - 1 not in hidden else "" if i in hidden else c
+                           for i, c in enumerate(text))
+        out.append((*r[:1], text, *r[2:4], len(text or "")))
+    return out
+
+
+def drawn_words(rows):
+    """Each source's words in the mix, by sharing and sharing the excess again."""
+    size = Counter()
+    for r in rows:
+        size[r[3]] += len(re.findall(SPACE, r[1] or ""))
+    order = sorted((s for s in size if s is not None)) + [None] * (None in size)
+    weight, target, left, free = {s: i % 3 + 1 for i, s in enumerate(order)}, {}, sum(size.values()), set(order)
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > 3 * size[s] + 1e-9}
+        for s in over or free:
+            target[s] = 3 * size[s] if over else level * weight[s]
+        left -= sum(target[s] for s in over)
+        free = free - over if over else set()
+    return target
+
+
+def test_run_by_hand(spark, tmp_path):
+    rows, items = make()
+    home = str(tmp_path)
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{home}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{home}/benchmark.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(110)] + [(200, 0, 0), (3, 0, 1)],
+                                   "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{home}/labels.parquet")
+    marks = quality_model.trusted(labels).collect()
+    good, train = {r["doc_id"] for r in marks}, {r["doc_id"] for r in marks if r["train"]}
+    assert good == set(range(110)) - {3}
+
+    want = [judged(rows, good, train)]
+    want += [deduplicated(want[-1])]
+    want += [clean(want[-1], items)]
+    want += [redacted(want[-1])]
+    assert len(rows) > len(want[0]) > len(want[1]) > len(want[2]) and want[2] != want[3]
+    docs = spark.read.parquet(f"{home}/documents.parquet")
+    for (name, stage), by_hand in zip(C.STAGES, want):
+        stage(spark, docs, home).write.parquet(f"{home}/out/{name}")
+        docs = spark.read.parquet(f"{home}/out/{name}")
+        assert Counter(tuple(r) for r in docs.collect()) == Counter(by_hand), name
+
+    mixed = C.run(spark, home).collect()
+    left = Counter(want[3])
+    copies = Counter((tuple(r)[:5], r["copy"]) for r in mixed)
+    assert set(x for x, _ in copies) <= set(left)
+    assert all(n == left[x] and k < 3 for (x, k), n in copies.items())
+    target, taken = drawn_words(want[3]), Counter()
+    for r in mixed:
+        taken[r["source"]] += len(re.findall(SPACE, r["text"] or ""))
+    assert all(0 <= target[s] - taken[s] + 0.5 and target[s] - taken[s] <= 70 for s in target), (target, taken)
+    places = Counter((r["shard"], r["position"]) for r in mixed)
+    assert set(places.values()) == {1}
