@@ -56,8 +56,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates),
           ("decontaminate", decontaminate), ("secrets", secrets), ("mix", mix)]
 
-# The first stage's language model can't be written in SQL; the stages are
-# tested against brute-force versions instead.
+# The first stage's language model can't be written in SQL; the whole run is
+# tested against the stages in plain Python instead.
 ORACLE_SQL = None
 
 
