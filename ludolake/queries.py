@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import oracle
 from .operators.flatten import FLAT_SPECS, flatten_all, rejects_view
@@ -20,7 +21,7 @@ from .operators.metrics import PLAYTIME_EVENTS, playtime
 from .plans import refresh, versions
 from .plans.pipeline import METRIC_SHAPE, METRICS, RAW, USER_DATA, derived_sources
 from .plans.refresh import flat_increment, metric_increment
-from .schemas import METRIC_CLUSTER, METRIC_COLUMNS
+from .schemas import METRIC_CLUSTER, METRIC_COLUMNS, RAW_SCHEMA
 from .session import checkpoint_dir, configure
 from .sources.fixture import ALL_EVENTS, read_raw
 from .sources.tables import read_raw_table, read_table, table_path, write_table
@@ -170,10 +171,14 @@ def states_rev_iap_ads3(spark: SparkSession, sf_dir: str) -> DataFrame:
     across days and users, give a full build."""
     configure(spark)
     root = _scratch_root(spark, "states")
-    raw = read_raw(spark, sf_dir)
     part = F.pmod(F.xxhash64("user_pseudo_id", "event_name", "event_timestamp"), F.lit(3))
+    # The batches are written in one pass, sorted by event, and each is read alone.
+    path = table_path(root, "batches")
+    write_table(read_raw(spark, sf_dir).withColumn("batch", part), path, ["event_name"], partition="batch",
+                files_per_date=0)
+    raw = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField("batch", T.LongType())])).parquet(path)
     for k in range(3):
-        states.merge_batch(spark, raw.filter(part == k), root, "batches", k, ["rev_iap_ads3"])
+        states.merge_batch(spark, raw.filter(F.col("batch") == k).drop("batch"), root, "batches", k, ["rev_iap_ads3"])
     return versions.read_version(spark, root, "rev_iap_ads3", columns=METRIC_COLUMNS["rev_iap_ads3"])
 
 

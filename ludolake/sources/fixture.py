@@ -139,11 +139,15 @@ def raw_events(events: DataFrame, names: Iterable[str] | None = None) -> DataFra
         "app_remove": (k == 98, _params()),
     }
 
-    emitted = F.filter(
-        F.array(*[F.when(specs[n][0], F.struct(F.lit(n).alias("event_name"),
-                                               specs[n][1].alias("event_params")))
-                  for n in wanted]),
-        lambda x: x.isNotNull())
+    # The names come first and each row builds its own parameters alone: a reader
+    # that needs no parameters (or those of one event) doesn't pay for the rest.
+    # A column of its own, as an expression inside explode isn't compiled.
+    df = df.withColumn("names", F.filter(F.array(*[F.when(specs[n][0], F.lit(n)) for n in wanted]),
+                                         lambda x: x.isNotNull()))
+    params = None
+    for n in wanted:
+        cond = F.col("event_name") == F.lit(n)
+        params = F.when(cond, specs[n][1]) if params is None else params.when(cond, specs[n][1])
 
     version = F.when(uid % 13 == 12, null_str).otherwise(F.concat(
         F.lit("1."),
@@ -152,24 +156,19 @@ def raw_events(events: DataFrame, names: Iterable[str] | None = None) -> DataFra
     country = F.when(uid % 13 == 5, null_str).otherwise(
         F.concat(F.lit("NATION_"), (uid % 25).cast("string")))
 
-    rows = df.select(
+    rows = df.select("*", F.explode("names").alias("event_name"))
+    return rows.select(
         F.concat(F.lit("u"), uid.cast("string")).alias("user_pseudo_id"),
+        "event_name",
         F.date_format("date_par", "yyyyMMdd").alias("event_date"),
         "date_par",
         F.col("us").alias("event_timestamp"),
         version.alias("version"),
         country.alias("country"),
         F.when(uid % 2 == 0, "ANDROID").otherwise("IOS").alias("platform"),
-        "value",
-        F.explode(emitted).alias("e"),
-    )
-    return rows.select(
-        "user_pseudo_id",
-        F.col("e.event_name").alias("event_name"),
-        "event_date", "date_par", "event_timestamp", "version", "country", "platform",
-        F.when(F.col("e.event_name") == "in_app_purchase", F.col("value"))
+        F.when(F.col("event_name") == "in_app_purchase", F.col("value"))
          .cast("double").alias("event_value_in_usd"),
-        F.col("e.event_params").alias("event_params"),
+        params.alias("event_params"),
     ).select([F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
 
 

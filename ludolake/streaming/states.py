@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.exact import money
+from ..functions.params import with_params
 from ..operators import metrics as M
 from ..operators.flatten import flatten
 from ..plans import versions as V
@@ -77,15 +78,13 @@ def _ads(raw: DataFrame) -> DataFrame:
 
 
 def _attempts(raw: DataFrame) -> DataFrame:
+    # The three tables in one pass over the batch.
     flag = {"start_level": "started", "win_level": "won", "lose_level": "lost"}
-    parts = None
-    for table, column in flag.items():
-        rows = flatten(raw, table)
-        time = F.col("event_timestamp") if table == "start_level" else F.lit(None).cast("long")
-        rows = rows.select(PARTITION, "version", "level", USER, time.alias("event_timestamp"),
-                           *[F.lit(c == column).alias(c) for c in flag.values()])
-        parts = rows if parts is None else parts.unionByName(rows)
-    return parts
+    event = F.col("event_name")
+    return with_params(raw.filter(event.isin(list(flag))), [
+        (PARTITION, F.col("date_par")), ("version", F.col("version")), ("level", "level", "string"), (USER, F.col(USER)),
+        ("event_timestamp", F.when(event == "start_level", F.col("event_timestamp"))),
+        *[(column, event == table) for table, column in flag.items()]])
 
 
 def _boosters(raw: DataFrame) -> DataFrame:
