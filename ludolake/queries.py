@@ -91,12 +91,20 @@ def _scratch_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _exported(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The raw events as a written export under ``root``: jobs that read raw
+    several times derive it from the test tables once, and read just the days
+    and columns they need. No shuffle, so neither a day nor a user is one task."""
+    refresh.write_raw(read_raw(spark, sf_dir), root, files_per_date=0)
+    return read_raw_table(spark, table_path(root, refresh.RAW_TABLE))
+
+
 def _refreshed_cohort(spark: SparkSession, sf_dir: str, cutoff: str, lookback_days: int) -> DataFrame:
     """The written cohort table after a build up to ``cutoff``, an append of
     the days since, and a lookback refresh."""
     configure(spark)
     root = _scratch_root(spark, "cohort-lookback")
-    raw = read_raw(spark, sf_dir)
+    raw = _exported(spark, sf_dir, root)
     last = dt.date.fromisoformat(cutoff)
     early = raw.filter(F.col("date_par") <= F.lit(last))
     refresh.build_flat(spark, early, root)
@@ -148,7 +156,7 @@ def _synced(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     then all rows."""
     configure(spark)
     root = _scratch_root(spark, f"synced-{metric}")
-    raw = read_raw(spark, sf_dir)
+    raw = _exported(spark, sf_dir, root)
     versions.sync(spark, arrived_late(raw, before=True), root, [metric])
     versions.sync(spark, raw, root, [metric])
     return versions.read_version(spark, root, metric, columns=METRIC_COLUMNS[metric])

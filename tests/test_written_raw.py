@@ -59,3 +59,10 @@ def test_each_event_has_the_rows_it_has_alone(spark, events_dir):
     raw = read_raw(spark, events_dir)
     for name in ALL_EVENTS:
         assert rows(raw.filter(F.col("event_name") == name)) == rows(read_raw(spark, events_dir, [name])), name
+
+
+def test_the_lookback_reads_a_written_export(spark, events_dir, monkeypatch):
+    seen = seen_by(monkeypatch, Q.refresh, "build_flat", 1)
+    monkeypatch.setattr(Q.oracle, "INCREMENTAL_CUTOFF", "2024-01-21")
+    Q.cohort_lookback_short(spark, events_dir)
+    assert all("/raw/date_par=" in f for f in seen[0].inputFiles())
