@@ -63,6 +63,13 @@ def test_each_event_has_the_rows_it_has_alone(spark, events_dir):
 
 def test_the_lookback_reads_a_written_export(spark, events_dir, monkeypatch):
     seen = seen_by(monkeypatch, Q.refresh, "build_flat", 1)
-    monkeypatch.setattr(Q.oracle, "INCREMENTAL_CUTOFF", "2024-01-21")
     Q.cohort_lookback_short(spark, events_dir)
     assert all("/raw/date_par=" in f for f in seen[0].inputFiles())
+
+
+@pytest.mark.parametrize("query", ["append_changed_days", "winrate2_refresh"])
+def test_syncs_read_a_written_export(spark, events_dir, monkeypatch, query):
+    seen = seen_by(monkeypatch, Q.versions, "sync", 1)
+    Q.all_queries()[query](spark, events_dir)
+    assert len(seen) == 2 and all("/raw/date_par=" in f for raw in seen for f in raw.inputFiles())
+    assert rows(seen[1]) == rows(read_raw(spark, events_dir))
