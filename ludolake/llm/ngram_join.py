@@ -475,7 +475,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, percent:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each component: of the smallest id (a null one
     comes first), of its texts the one of the smallest digest, and of rows that
-    are equal in both any one. Rows without words are linked with nothing and
+    are equal in both the first by their columns in order. Rows without words are linked with nothing and
     all stay. Texts that share an id are judged each by its own component."""
     found = cut(_judged(docs, doc_id, text, **how).filter("component IS NOT NULL").groupBy(
         "component", F.struct(F.col("doc_id").alias("id"), F.col("text_digest").alias("digest")).alias("row"))
@@ -490,8 +490,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
             .filter(~F.coalesce(goes, F.lit(False))))
     # Equal rows meet in the map tasks first, so many of them are no hot group.
     names = list(map(column, docs.columns))
+    # Maps and variants have no order.
+    ordered = [column(f.name) for f in docs.schema
+               if not any(t in f.dataType.simpleString() for t in ("map<", "variant", "interval"))]
     once = (kept.filter(F.col(goes).isNotNull()).groupBy(key)
-            .agg(F.any_value(F.struct(*names)).alias(key + "s")).select(f"{key}s.*"))
+            .agg(F.min_by(F.struct(*names), F.struct(*ordered)).alias(key + "s")).select(f"{key}s.*"))
     return kept.filter(F.col(goes).isNull()).select(*names).unionAll(once)
 
 

@@ -154,3 +154,10 @@ def test_warc_has_one_response_for_each_payload(spark):
         (-5, "response", None, 1), (2, "revisit", -5, 1), (8, "response", None, 0), (9, "revisit", 8, 0)])
     short = warc.round_trip(pages, min_bytes=2)
     assert short.filter("record_type = 'revisit'").count() == 0
+
+
+def test_keep_one_takes_the_same_of_equal_rows_in_any_order(spark):
+    rows = [(1, "the same words in each of these rows", lang, {"m": k}) for k, lang in enumerate(["d", "b", "c", "a"])]
+    for given in (rows, rows[::-1]):
+        docs = spark.createDataFrame(given, "doc_id long, text string, lang string, extra map<string,int>").coalesce(1)
+        assert [(r["lang"], r["extra"]) for r in ngram_join.keep_one(docs).collect()] == [("a", {"m": 3})]
