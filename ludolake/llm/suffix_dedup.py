@@ -17,14 +17,15 @@ can matter are sorted:
    (length of the prefix shared with the one before, and the rest) and deals
    the run out by key ranges. (The segments of an anchor never part: range ends
    are shorter than an anchor.) Where all segments of an anchor in a range are
-   equal, one suffix stands for the segment; otherwise the range makes and
-   sorts a suffix for each of its strings.
-3. *Merge.* A range merges its runs with a loser tree that keeps, for every
-   loser, the prefix length it shares with the last suffix put out. The longer
-   one wins without a look at the bytes; on a tie the comparison goes on after
-   the known prefix, so no known prefix is ever compared again. Equal suffixes
-   come out one after another, and each learns the smallest document among
-   them.
+   equal, one suffix stands for the segment; otherwise the range tells each of
+   its strings apart.
+3. *Merge.* A range merges its runs into one order (a suffix array) and keeps
+   for every segment the prefix length it shares with the one before. Segments
+   share the first p bytes from their anchor on if no length between them is
+   below p; another order, of the bytes before the anchors, tells the same of
+   these. A string is a beginning of the one and of the other, so the strings
+   of mixed anchors are told apart, place by place, by two numbers, and never
+   written out. Equal suffixes learn the smallest document among them.
 4. *Removal.* Buckets get those answers for their segments and strings back.
 
 An anchor that seems shared, or mixed, by a clash of hashes only costs work.
@@ -40,7 +41,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -264,6 +264,35 @@ def _runs(docs: pa.Table, answers: pa.Table, n_parts: int, ends: list[bytes]) ->
 
 # -- 3: the merge -------------------------------------------------------------------
 
+def _decode(shared: np.ndarray, lengths: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Keys of a front-coded run, in rows: a byte comes from the last key that
+    doesn't share its column with the one before."""
+    n = len(shared)
+    out = np.zeros((n, LONGEST), np.uint8)
+    row = np.arange(n)
+    sent = lengths.astype(np.int64) - shared
+    begin = np.cumsum(sent) - sent - shared
+    for c in range(int(lengths.max(initial=0))):
+        from_row = np.maximum.accumulate(np.where(shared <= c, row, 0))
+        held = np.flatnonzero(lengths > c)
+        out[held, c] = rest[begin[from_row[held]] + c]
+    return out
+
+
+def merged(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys (sorted runs, one after another), and the prefix each
+    shares with the one before in it; equal keys share their whole width."""
+    width = keys.shape[1]
+    order = np.argsort(keys.view(f"S{width}")[:, 0], kind="stable")   # goes from run to run
+    shared = np.zeros(len(order), np.uint8)
+    for lo in range(1, len(order), 1 << 15):
+        rows = keys[order[lo - 1:lo + (1 << 15)]]
+        differ = rows[1:] != rows[:-1]
+        at = differ.argmax(axis=1)
+        shared[lo:lo + len(at)] = np.where(differ[np.arange(len(at)), at], at, width)
+    return order, shared
+
+
 class Run:
     """A front-coded run, decoded as it is consumed: ``head`` is the current
     string (None at the end), ``shared`` its prefix shared with the one
@@ -287,106 +316,39 @@ class Run:
         self.at = end
 
 
-def _beats(a: bytes | None, la: int, b: bytes | None, lb: int) -> tuple[bool, int]:
-    """Whether a comes no later than b, and the prefix that the loser shares
-    with the winner; la and lb are shared with what was put out last."""
-    if b is None:
-        return True, -1
-    if a is None:
-        return False, -1
-    if la != lb:
-        return (True, lb) if la > lb else (False, la)
-    if a == b:
-        return True, len(a)
-    i, n = la, min(len(a), len(b))
-    while i < n and a[i] == b[i]:
-        i += 1
-    return (i == len(a) or (i < len(b) and a[i] < b[i])), i
-
-
 def merge(runs: list[Run]) -> Iterator[tuple[int, int, bool]]:
-    """(run, index in it, equal to the one before) of all strings in order,
-    by a loser tree over shared prefix lengths."""
-    k = len(runs)
-    loser, known = [0] * k, [0] * k   # inner nodes 1..k-1; leaves are k..2k-1
-
-    def first(node: int) -> tuple[int, int]:
-        """Winner of a subtree before anything was put out."""
-        if node >= k:
-            return node - k, 0
-        (a, la), (b, lb) = first(2 * node), first(2 * node + 1)
-        won, shared = _beats(runs[a].head, la, runs[b].head, lb)
-        loser[node], known[node] = (b, shared) if won else (a, shared)
-        return (a, la) if won else (b, lb)
-
-    if not k:
+    """(run, index in it, equal to the one before) of all strings in order:
+    ``merged`` for front-coded runs."""
+    if not runs:
         return
-    winner, shared = first(1)
-    last = -1
-    heads = [run.head for run in runs]
-    while heads[winner] is not None:
-        run = runs[winner]
-        n = len(heads[winner])
-        yield winner, run.i, shared == n == last
-        last = n
-        run.step()
-        head = heads[winner] = run.head
-        shared = run.shared
-        node = (winner + k) >> 1
-        while node:
-            # ``_beats`` at full length: this is the inner loop.
-            near = known[node]
-            if shared < near:
-                loser[node], winner, known[node], shared = winner, loser[node], shared, near
-                head = heads[winner]
-            elif shared == near and shared >= 0:
-                won, kept = _beats(head, shared, heads[loser[node]], near)
-                if won:
-                    known[node] = kept
-                else:
-                    loser[node], winner, known[node] = winner, loser[node], kept
-                    head = heads[winner]
-            node >>= 1
-
-
-def _decode(shared: np.ndarray, lengths: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """Keys of a front-coded run, in rows: a byte comes from the last key that
-    doesn't share its column with the one before."""
-    n = len(shared)
-    out = np.zeros((n, LONGEST), np.uint8)
-    row = np.arange(n)
-    sent = lengths.astype(np.int64) - shared
-    begin = np.cumsum(sent) - sent - shared
-    for c in range(int(lengths.max(initial=0))):
-        from_row = np.maximum.accumulate(np.where(shared <= c, row, 0))
-        held = np.flatnonzero(lengths > c)
-        out[held, c] = rest[begin[from_row[held]] + c]
-    return out
+    rows = [_decode(np.array(run.shared_all, np.uint8), np.array(run.lengths, np.uint8), np.frombuffer(run.rest, np.uint8))
+            for run in runs]
+    order, shared = merged(np.concatenate(rows))
+    begin = np.cumsum([0, *map(len, rows)])
+    of = np.searchsorted(begin, order, "right") - 1
+    yield from zip(of.tolist(), (order - begin[of]).tolist(), (shared == LONGEST).tolist())
 
 
 class _Sent:
     """The columns of one row of a run: hashes, smallest documents, flags,
-    bytes before the anchor, and the front-coded keys."""
+    bytes before the anchor, and the keys, decoded."""
 
     def __init__(self, n: int, body: bytes):
         self.n = n
         self.of, self.ids = np.frombuffer(body, _U64, n), np.frombuffer(body, np.int64, n, 8 * n)
-        self.many, self.left, self.shared, self.lengths = (
+        self.many, self.left, shared, self.lengths = (
             np.frombuffer(body, np.uint8, n, (16 + i) * n) for i in range(4))
-        self.rest = np.frombuffer(body, np.uint8, offset=20 * n)
-
-    def keys(self) -> np.ndarray:
-        return _decode(self.shared, self.lengths, self.rest)
+        self.keys = _decode(shared, self.lengths, np.frombuffer(body, np.uint8, offset=20 * n))
 
     def anchors(self) -> np.ndarray:
         """Hashes of the anchors' bytes: every key starts with its anchor."""
         out = np.zeros(self.n, _U64)
-        for word in np.ascontiguousarray(self.keys()[:, :KMER]).view("<u4").T:
+        for word in np.ascontiguousarray(self.keys[:, :KMER]).view("<u4").T:
             out = W.mix(out * _ODD + word.astype(_U64))
         return out
 
 
-def _mixed(sent: list[_Sent]) -> list[np.ndarray]:
+def _mixed(sent: list[_Sent]) -> np.ndarray:
     """Of every segment, whether its anchor has other segments too. (Anchors of
     one hash count as one: their segments are split without need.)"""
     anchor, of = np.concatenate([x.anchors() for x in sent]), np.concatenate([x.of for x in sent])
@@ -397,64 +359,83 @@ def _mixed(sent: list[_Sent]) -> list[np.ndarray]:
     differ = np.minimum.reduceat(of, first) != np.maximum.reduceat(of, first)
     out = np.empty(len(order), bool)
     out[order] = differ[np.cumsum(new) - 1]
-    return np.split(out, np.cumsum([x.n for x in sent])[:-1])
-
-
-def _open_run(sent: _Sent, split: np.ndarray) -> tuple[Run, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted run of a row's suffixes, with the hash, smallest document,
-    several-documents flag and place of each."""
-    keys, n = sent.keys(), sent.n
-    before = sent.left.astype(np.int64)
-    right = sent.lengths.astype(np.int64) - 1 - before
-    count = np.where(split, before + right - SPAN + 1, 0)
-    seg = np.repeat(np.arange(n), count)
-    w = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-    m = before[seg] - w
-    strings = _keys(keys.reshape(-1), seg * LONGEST, SPAN - m, seg * LONGEST + right[seg], 1, m,
-                    (m + 1).astype(np.uint8))
-    whole = np.flatnonzero(~split)
-    keys = np.concatenate((keys[whole], strings))
-    seg = np.concatenate((whole, seg))
-    place = np.concatenate((np.full(len(whole), WHOLE), w)).astype(np.uint8)
-    order = np.argsort(keys.view(f"S{LONGEST}")[:, 0])
-    seg, place = seg[order], place[order]
-    shared, lengths, rest = front_code(keys[order])
-    return Run(shared.tolist(), lengths.tolist(), rest), sent.of[seg], sent.ids[seg], sent.many[seg] > 0, place
+    return out
+
+
+def _least_of(group: np.ndarray, ids: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every row the smallest document of its group, and whether the group
+    has several rows or is in several documents."""
+    order = np.argsort(group)
+    group = group[order]
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    size = np.diff(np.concatenate((first, [len(order)])))
+    least, tell = np.empty(len(order), np.int64), np.empty(len(order), bool)
+    least[order] = np.repeat(np.minimum.reduceat(ids[order], first), size)
+    tell[order] = np.repeat(size, size) > 1
+    return least, tell | many
 
 
 def _merge_range(rows: pa.Table) -> pa.Table:
     unpacker = zstandard.ZstdDecompressor()
     sent = [_Sent(n, unpacker.decompress(body)) for n, body in zip(rows["n"].to_pylist(), rows["body"].to_pylist())]
-    runs, of, ids, many, place = zip(*map(_open_run, sent, _mixed(sent)))
+    split = _mixed(sent)
+    keys = np.concatenate([x.keys for x in sent])
+    order, shared = merged(keys)
+    keys, split = keys[order], split[order]
+    of, ids, many, before, lengths = (np.concatenate(x)[order] for x in zip(
+        *((x.of, x.ids, x.many > 0, x.left.astype(np.int64), x.lengths.astype(np.int64)) for x in sent)))
+    buckets = np.repeat(rows["bucket"].to_numpy(), [x.n for x in sent])[order]
     del sent
-    begin = np.concatenate(([0], np.cumsum([len(x) for x in of])))
-    starts = begin.tolist()
-    order, equal = array("q"), bytearray()
-    for run, i, same in merge(runs):
-        order.append(starts[run] + i)
-        equal.append(same)
-    order = np.frombuffer(order, np.int64)
-    first = np.flatnonzero(np.frombuffer(equal, np.uint8) == 0)
-    of, ids, many, place = (np.concatenate(x)[order] for x in (of, ids, many, place))
-    buckets = np.repeat(rows["bucket"].to_numpy(), np.diff(begin))[order]
-    size = np.diff(np.concatenate((first, [len(order)])))
-    least = np.repeat(np.minimum.reduceat(ids, first), size)
-    tell = (np.repeat(size, size) > 1) | many
+    right = lengths - 1 - before
+    told: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []   # segment, smallest document, place
+
+    def tell(held: np.ndarray, group: np.ndarray, place: np.ndarray) -> None:
+        if len(held):
+            least, some = _least_of(group, ids[held], many[held])
+            told.append((held[some], least[some], place[some]))
+
+    held = np.flatnonzero(~split)
+    tell(held, np.cumsum(shared < LONGEST)[held], np.full(len(held), WHOLE))
+    cut = np.flatnonzero(split)
+    left_order, left_shared = merged(_lefts(keys, cut, right, before))
+    del keys
+    left_of = np.empty(len(cut), np.int64)
+    for m in range(WINDOW if len(cut) else 0):
+        # The strings with m bytes before the anchor, one of each segment at most.
+        some = np.flatnonzero((before[cut] >= m) & (SPAN - right[cut] <= m))
+        left_of[left_order] = np.cumsum(left_shared < m)
+        held = cut[some]
+        tell(held, np.cumsum(shared < SPAN - m)[held] << 32 | left_of[some], before[held] - m)
+    seg, least, place = (np.concatenate(x) for x in zip(*told))
     # Neighbouring strings of a segment with one smallest document go together.
-    order = np.flatnonzero(tell)
-    order = order[np.lexsort((place[order], of[order], buckets[order]))]
-    buckets, of, least, place = buckets[order], of[order], least[order], place[order].astype(np.int64)
+    rank = np.empty(len(of), np.int64)
+    rank[np.lexsort((of, buckets))] = np.arange(len(of))
+    order = np.argsort(rank[seg] << 8 | place)
+    seg, least, place = seg[order], least[order], place[order]
+    buckets, of = buckets[seg], of[seg]
     if not len(order):
         return askshare.answer(buckets, [of, least, place.astype(np.uint8), place.astype(np.uint8)])
     new = np.ones(len(order), bool)
-    new[1:] = ((buckets[1:] != buckets[:-1]) | (of[1:] != of[:-1]) | (least[1:] != least[:-1])
-               | (place[1:] != place[:-1] + 1))
+    new[1:] = (seg[1:] != seg[:-1]) | (least[1:] != least[:-1]) | (place[1:] != place[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.concatenate((first[1:], [len(order)])) - 1
     return askshare.answer(buckets[first], [of[first], least[first], place[first].astype(np.uint8),
                                             place[last].astype(np.uint8)])
 
 
+def _lefts(keys: np.ndarray, which: np.ndarray, right: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The bytes before the anchors of some keys, as they stand there (in
+    reverse), filled up with zeros."""
+    out = np.zeros((len(which), WINDOW - 1), np.uint8)
+    column = np.arange(WINDOW - 1)
+    for lo in range(0, len(out), 1 << 15):
+        row = which[lo:lo + (1 << 15)]
+        inside = column < before[row, None]
+        at = np.where(inside, right[row, None] + column, 0)
+        out[lo:lo + (1 << 15)] = np.where(inside, keys[row[:, None], at], 0)
+    return out
+
+
 # -- 4: removal -----------------------------------------------------------------------
 
 _SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
