@@ -156,7 +156,8 @@ def _duplicates() -> Column:
     counted = F.transform(wanted, lambda k: F.struct(
         k.alias("key"), F.size(F.filter(keys, lambda x: x == k)).alias("times")))
     some = F.filter(counted, lambda c: c["times"] > 1)
-    return F.when((F.size(F.array_distinct(keys)) < F.size(keys)) & (F.size(some) > 0), some)
+    several = (F.size(keys) > 1) & (F.size(F.array_distinct(keys)) < F.size(keys))
+    return F.when(several & (F.size(some) > 0), some)
 
 
 def rejects_view(wide: DataFrame) -> DataFrame:

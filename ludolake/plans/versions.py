@@ -177,10 +177,13 @@ def day_manifest(raw: DataFrame, days: set[str] | None = None) -> dict[str, list
     """Rows and order-free hash of each raw day (of ``days``). One aggregation
     with map-side sums; one row for each day comes to the driver."""
     rows = raw if days is None else raw.filter(on_days("date_par", days))
+    rows = rows.select("date_par", F.xxhash64(*[c for c in raw.columns if c != "date_par"]).alias("h"))
+    # The exact sum from those of the hashes' halves: a sum of decimals costs more
+    # than the hashes, and halves don't overflow below 2**31 rows a day.
     found = rows.groupBy("date_par").agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64(*[c for c in raw.columns if c != "date_par"]).cast("decimal(38,0)")).alias("h")).collect()
-    return {_name(r["date_par"]): [r["n"], str(r["h"])] for r in found}
+        F.count("*").alias("n"), F.sum(F.shiftright("h", 32)).alias("high"),
+        F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")).collect()
+    return {_name(r["date_par"]): [r["n"], str((r["high"] << 32) + r["low"])] for r in found}
 
 
 def day_listing(spark: SparkSession, raw_path: str) -> dict[str, str]:

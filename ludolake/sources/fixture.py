@@ -17,6 +17,8 @@ holds a third of all rows) joined back on the unique ``event_id``.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,8 +59,12 @@ def _p(key: str, slot: str, value: Column) -> Column:
 
 
 def _params(*entries: Column) -> Column:
-    arr = F.array(*entries) if entries else F.array().cast(f"array<{EVENT_PARAM.simpleString()}>")
-    return F.filter(arr, lambda x: x.isNotNull())
+    if not entries:
+        return F.array().cast(f"array<{EVENT_PARAM.simpleString()}>")
+    # Nearly all rows have all entries; a filter with a lambda isn't compiled,
+    # nor is anything inside it, so only rows that lack some pay for it.
+    arr = F.array(*entries)
+    return F.when(reduce(and_, [e.isNotNull() for e in entries]), arr).otherwise(F.filter(arr, lambda x: x.isNotNull()))
 
 
 def _derived(events: DataFrame, with_first: bool) -> DataFrame:
@@ -141,31 +147,38 @@ def raw_events(events: DataFrame, names: Iterable[str] | None = None) -> DataFra
 
     # The names come first and each row builds its own parameters alone: a reader
     # that needs no parameters (or those of one event) doesn't pay for the rest.
-    # A column of its own, as an expression inside explode isn't compiled.
-    df = df.withColumn("names", F.filter(F.array(*[F.when(specs[n][0], F.lit(n)) for n in wanted]),
-                                         lambda x: x.isNotNull()))
-    params = None
-    for n in wanted:
-        cond = F.col("event_name") == F.lit(n)
-        params = F.when(cond, specs[n][1]) if params is None else params.when(cond, specs[n][1])
-
+    # A column of its own, as an expression inside explode isn't compiled. Names
+    # that don't apply are dropped after it: a filter of the array isn't compiled.
     version = F.when(uid % 13 == 12, null_str).otherwise(F.concat(
         F.lit("1."),
         (uid % 3 + F.when(day >= 16, 1).otherwise(0)
          + F.when((uid % 7 == 3) & (k % 2 == 1), 1).otherwise(0)).cast("string")))
     country = F.when(uid % 13 == 5, null_str).otherwise(
         F.concat(F.lit("NATION_"), (uid % 25).cast("string")))
+    # What all events of a row have alike is made once, before they part.
+    df = df.withColumns({
+        "names": F.array(*[F.when(specs[n][0], F.lit(n)) for n in wanted]),
+        "user_pseudo_id": F.concat(F.lit("u"), uid.cast("string")),
+        "event_date": F.date_format("date_par", "yyyyMMdd"),
+        "version": version,
+        "country": country,
+        "platform": F.when(uid % 2 == 0, "ANDROID").otherwise("IOS"),
+    })
+    params = None
+    for n in wanted:
+        cond = F.col("event_name") == F.lit(n)
+        params = F.when(cond, specs[n][1]) if params is None else params.when(cond, specs[n][1])
 
-    rows = df.select("*", F.explode("names").alias("event_name"))
+    rows = df.select("*", F.explode("names").alias("event_name")).filter(F.col("event_name").isNotNull())
     return rows.select(
-        F.concat(F.lit("u"), uid.cast("string")).alias("user_pseudo_id"),
+        "user_pseudo_id",
         "event_name",
-        F.date_format("date_par", "yyyyMMdd").alias("event_date"),
+        "event_date",
         "date_par",
         F.col("us").alias("event_timestamp"),
-        version.alias("version"),
-        country.alias("country"),
-        F.when(uid % 2 == 0, "ANDROID").otherwise("IOS").alias("platform"),
+        "version",
+        "country",
+        "platform",
         F.when(F.col("event_name") == "in_app_purchase", F.col("value"))
          .cast("double").alias("event_value_in_usd"),
         params.alias("event_params"),
